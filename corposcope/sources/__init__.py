@@ -1 +1 @@
-
+"""Readers and writers: metadata pages, transcripts, status logs, manifests, events."""
