@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Fixed values.
 GENERIC_PHRASES = ("引发共鸣", "层层递进", "通俗易懂", "深入浅出", "既专业又亲切", "用通俗语言解释复杂问题", "生动形象", "干货满满", "娓娓道来", "逻辑清晰", "观点鲜明", "贴近生活", "真实自然", "情绪价值", "爆款")
@@ -26,7 +27,7 @@ def encoding_columns(text: Column) -> dict[str, Column]:
     return {"replacement_chars": bad.cast("long"), "question_marks": marks.cast("long"), "longest_run": longest.cast("long"), "density": density, "passed": ok}
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def without_fenced_code(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Text without closed code fences; a fence that is never closed stays. Line by line, so no expression has it."""
     for part in texts:

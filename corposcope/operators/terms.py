@@ -44,11 +44,12 @@ def term_evidence(docs: DataFrame, tokenizer=text.tokens) -> DataFrame:
     return found.crossJoin(F.broadcast(analysed(docs))).withColumn("coverage_ratio", ratios.floored_ratio(F.col("document_frequency"), F.col("n_docs"))).drop("n_docs")
 
 
-TERM_ORDER = [F.desc("document_frequency"), F.desc("title_document_frequency"), F.desc("total_frequency"), F.length("term"), F.col("term")]
+def term_order() -> list:
+    return [F.desc("document_frequency"), F.desc("title_document_frequency"), F.desc("total_frequency"), F.length("term"), F.col("term")]
 
 
 def top_terms(docs: DataFrame, limit: int, tokenizer=text.tokens) -> DataFrame:
-    return term_evidence(docs, tokenizer).orderBy(*TERM_ORDER).limit(limit)
+    return term_evidence(docs, tokenizer).orderBy(*term_order()).limit(limit)
 
 
 def term_sources(docs: DataFrame, terms: DataFrame, tokenizer=text.tokens) -> DataFrame:
