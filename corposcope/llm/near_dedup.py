@@ -179,7 +179,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id, class_id, kept) for every row: class_id is the smallest id that links of similarity `least` or more reach.
 
     Similarity is the weighted Jaccard of the multisets of five-word runs. Null texts and texts without a word link
-    with nothing; texts of fewer than five words are one run. Ids are taken as unique; other columns are ignored.
+    with nothing; texts of fewer than five words are one run. Rows of one id share
+    a class, so repeated rows stay or go together; a null id links with nothing. Other columns are ignored.
 
     Rows with equal multisets are one node. Nodes that share a band (16 bands of 4 registers; a pair of similarity
     0.8 shares one with a probability of 0.9998) are candidates. First each is compared with the smallest node of its
@@ -189,7 +190,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     made = written(sketches(rows, "id", "text"), "sketches")
-    nodes = written(made.where("key is not null").groupBy("key").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands"), F.min_by("sig", "id").alias("sig")), "nodes")
+    nodes = written(made.where("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands"), F.min_by("sig", "id").alias("sig")), "nodes")
     bands = nodes.select("id", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = written(bands.join(written(shared, "buckets"), "band"), "members")
@@ -210,8 +211,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         roots = written(components(links), "roots")
     classes = written(nodes.join(roots.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("root", "id").alias("class_id")), "classes")
     dropped(members, left, more, tried)
-    out = made.select("id", "key").join(classes, "key", "left").select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"))
-    return out.withColumn("kept", F.col(id_col) == F.col("class_id"))
+    out = made.select("id", F.expr("if(id is null, null, key)").alias("key")).join(classes, "key", "left").select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"))
+    return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("class_id")))
 
 
 def op8_near_dedup(spark, sf_dir: str) -> DataFrame:
