@@ -211,8 +211,9 @@ def predict(texts: list[str | None], model: PieceModel, cache_words: int = 300_0
     return out
 
 
-def identify(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col: str = "text", cache_words: int = 300_000, keep: list[str] | None = None) -> DataFrame:
+def identify(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col: str = "text", cache_words: int = 300_000, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
     """(id, lang_pred, score) for every row, from the whole text alone; with `keep`, those columns instead of the id.
+    `prefix` goes before the new names, where kept columns could clash with them.
 
     lang_pred is `und` with score 0 where the text is null or has no letter, and where the model
     knows no language. score is the posterior of lang_pred under equal priors. Ties go to the
@@ -221,15 +222,16 @@ def identify(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_co
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     columns = keep or [id_col]
+    names = [*columns, f"{prefix}lang_pred", f"{prefix}score"]
     at = columns.index(text_col) if text_col in columns else len(columns)
     rows = docs.select(*columns, *[text_col] * (text_col not in columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
             got = predict(batch.column(at).to_pylist(), shared.value, cache_words)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], [*columns, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], names)
 
-    schema = StructType([*rows.schema.fields[: len(columns)], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*rows.schema.fields[: len(columns)], StructField(names[-2], StringType()), StructField(names[-1], DoubleType())])
     return rows.mapInArrow(run, schema)
 
 

@@ -387,8 +387,9 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-def find_pii(docs: DataFrame, tagger: Tagger | None = None, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, keep: list[str] | None = None) -> DataFrame:
+def find_pii(docs: DataFrame, tagger: Tagger | None = None, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
     """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added[, clean]) for every row; with `keep`, those columns instead of the id.
+    `prefix` goes before the new names, where kept columns could clash with them.
 
     Null text counts as empty. The counts and base_sha256 are of the base spans, spans has base and
     added ones, n_added counts the latter. Base spans of different kinds may overlap; added ones
@@ -416,7 +417,7 @@ def find_pii(docs: DataFrame, tagger: Tagger | None = None, id_col: str = "doc_i
             yield pa.RecordBatch.from_arrays(out, schema.names)
 
     new = [*[(f"n_{k}", LongType()) for k in KINDS], ("base_sha256", StringType()), ("spans", StringType()), ("n_added", LongType()), *[("clean", StringType())] * with_text]
-    schema = StructType([*rows.schema.fields[: len(columns)], *[StructField(n, t) for n, t in new]])
+    schema = StructType([*rows.schema.fields[: len(columns)], *[StructField(prefix + n, t) for n, t in new]])
     return rows.mapInArrow(run, schema)
 
 
