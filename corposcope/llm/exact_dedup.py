@@ -23,7 +23,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     row or its bytes are used up; only rows of buckets with more are carried on, with the bytes they
     still have. Bucket sizes are partial aggregates, so a bucket with a third of all rows is counted
     before the shuffle; the join that hands them back reads written tables, so the adaptive skew
-    join can split it. Other columns of docs are ignored; repeated ids count as rows of their own.
+    join can split it. Other columns of docs are ignored; repeated ids count as rows of their own,
+    a null id is smaller than all others.
     """
     text = F.encode(F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER), "utf-8")
     rows = docs.select(F.col(id_col).alias("id"), text.alias("t")).select("id", F.sha2("t", 256).alias("sha"), F.octet_length("t").alias("len"), "t")
@@ -62,7 +63,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("id").alias(id_col),
         "keep_id",
         F.col("n").alias("group_size"),
-        (F.col("id") == F.col("keep_id")).alias("kept"),
+        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
 

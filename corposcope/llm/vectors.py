@@ -51,7 +51,7 @@ def vector_links(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id"
 
     Rows link when their labels are equal and not null and their cosine, in double precision, is
     `least` or more. Null or zero vectors and vectors with a null or non-finite component link with
-    nothing, nor do vectors of different length. Ids are taken as unique. Other columns are ignored.
+    nothing, nor do rows without an id or vectors of different length. Repeated ids count as rows of their own. Other columns are ignored.
 
     Equal vectors of a label are one node that counts for all its rows. Spherical k-means, fitted on
     at most `fit_rows` distinct nodes, gives at most `max_cells` cells, so what is sent to the workers
@@ -62,7 +62,7 @@ def vector_links(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id"
     group. A group returns link counts and a spanning set of its links, never all its pairs.
     """
     unit = F.transform(F.col(vec_col), lambda x: x.cast("double"))
-    fine = F.col(label_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(vec_col) > 0) & F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vec_col, lambda x: x != 0)
+    fine = F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(vec_col) > 0) & F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vec_col, lambda x: x != 0)
     rows = vectors.select(F.col(id_col).alias("id"), F.when(fine, F.col(label_col)).alias("label"), F.when(fine, unit).alias("v"))
     nodes = written(rows.where("v is not null").groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("times")), "nodes")
     n = nodes.count()
@@ -129,7 +129,7 @@ def vector_links(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id"
         F.coalesce("component_id", "id").alias("component_id"),
     )
     dropped(placed, sizes)
-    return out.withColumn("kept", F.col(id_col) == F.col("component_id"))
+    return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
 def op3_vectors(spark, sf_dir: str) -> DataFrame:
