@@ -9,7 +9,6 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -163,24 +162,31 @@ class Packer:
             have -= want
 
 
+NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+
+
+def to_batch(rows: list[tuple], part: int, like: pa.DataType) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(NAMES)
+    types = [like, *[pa.int64()] * 6, pa.binary()]
+    return pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(columns, types, strict=True)], pa.array([part] * len(rows), pa.int64())], [*NAMES, "part"])
+
+
 def repacked(level: int, last: bool, size: int, windows: int, slack: int):
     """Packs the open sequences of a group of partitions; the last group closes."""
 
-    def again(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        group = int(key[0])
+    def again(key: tuple, held: pa.Table) -> pa.Table:
+        group = key[0].as_py()
         packer = Packer(level * LEVEL + group * GROUP, size, windows, slack)
-        for r in frame.sort_values(["part", "offset", "doc_id", "start"], kind="stable").itertuples():
-            packer.add(r.doc_id, r.start, bytes(r.ids), r.doc_tokens)
+        order = [(c, "ascending") for c in ("part", "offset", "doc_id", "start")]
+        for r in held.sort_by(order).select(["doc_id", "start", "ids", "doc_tokens"]).to_pylist():
+            packer.add(r["doc_id"], r["start"], r["ids"], r["doc_tokens"])
         if last:
             packer.close()
-        rows = pd.DataFrame(packer.taken() + packer.left(), columns=NAMES)
-        rows["sequence_id"] = rows["sequence_id"].astype("Int64")
-        return rows.assign(part=group)
+        return pa.Table.from_batches([to_batch(packer.taken() + packer.left(), group, held.schema.field("doc_id").type)])
 
     return again
 
 
-NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 #: Sequence ids: the level of the merge, the group there, and a count within it.
 LEVEL, GROUP = 1 << 58, 1 << 32
 
@@ -195,11 +201,6 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, windows: int =
     """
     kind = dict(docs.dtypes)[id_col]
 
-    def to_batch(rows: list[tuple], part: int, like: pa.DataType) -> pa.RecordBatch:
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * len(NAMES)
-        types = [like, *[pa.int64()] * 6, pa.binary()]
-        return pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(columns, types, strict=True)], pa.array([part] * len(rows), pa.int64())], [*NAMES, "part"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -226,7 +227,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, windows: int =
         level += 1
         last = groups == 0
 
-        now = written(left.withColumn("group", F.floor(F.col("part") / merge)).groupBy("group").applyInPandas(repacked(level, last, size, windows, slack), schema), "packed")
+        now = written(left.withColumn("group", F.floor(F.col("part") / merge)).groupBy("group").applyInArrow(repacked(level, last, size, windows, slack), schema), "packed")
         out.append(now.where("sequence_id is not null"))
         if last:
             break
