@@ -102,8 +102,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     made = "n_tokens long, ids binary, decoded binary"
     pieces = cut.where("stitched").select("id", "chunk", "text").repartition("id", "chunk").mapInArrow(run, f"id {kind}, chunk int, {made}")
-    glued = lambda c: F.aggregate("all", F.lit(b""), lambda a, x: F.concat(a, x[c]))
-    long = pieces.groupBy("id").agg(F.sum("n_tokens").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("chunk", "ids", "decoded"))).alias("all")).select("id", "n_tokens", glued("ids").alias("ids"), glued("decoded").alias("decoded"))
+    glued = lambda c: F.expr(f"listagg({c}, X'') WITHIN GROUP (ORDER BY chunk)").alias(c)
+    long = pieces.groupBy("id").agg(F.sum("n_tokens").alias("n_tokens"), glued("ids"), glued("decoded"))
     short = whole.unionByName(joined).mapInArrow(run, f"id {kind}, {made}")
     return short.unionByName(long).withColumnRenamed("id", id_col)
 
