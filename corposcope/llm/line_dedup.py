@@ -57,8 +57,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, lines) for rows that repeat earlier text: the line numbers to delete, in order.
 
     A line goes if it is part of a run of lines, `least` words or more in all, that also stands earlier: in a row
-    with a smaller id, or further up in the same row without overlap. Empty lines count for nothing in a run.
-    Nulls have no lines. Ids are taken as unique.
+    with a smaller id, or further up in the same row without overlap. Empty lines count for nothing in a
+    run; one goes if it stands inside a repeated window.
+    Null texts have no lines. Rows of equal ids are told apart by nothing; rows without an id neither lose lines nor
+    make others lose them. Other columns are ignored.
 
     Windows carry as fingerprint the smallest line hash in them, so a repeated run holds a fingerprint in both
     places (the guarantee of winnowing). Positions are joined on the fingerprint; from there matches extend both
@@ -88,40 +90,21 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return lines.select(F.col("id").alias(id_col), numbers.alias("lines"))
 
 
-def without_lines(docs: DataFrame, repeated: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with `text_col` less the lines of repeated_lines(), and n_removed. A row whose lines all go keeps an empty text."""
+def without_lines(docs: DataFrame, repeated: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str = "n_removed") -> DataFrame:
+    """docs with `text_col` less the lines of repeated_lines(), and their number in `count_col`. A row whose lines all go keeps an empty text."""
     gone = repeated.select(F.col(id_col), F.col("lines").alias("__lines"))
     out = docs.join(gone, id_col, "left")
     parts = F.split(F.col(text_col), "\n", -1)
     kept = F.array_join(F.filter(parts, lambda x, n: ~F.array_contains("__lines", n)), "\n")
     text = F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(kept)
-    return out.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("n_removed"))
+    return out.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias(count_col))
 
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
-    """doc_id, n_lines, n_removed, kept_sha256 (of the text that is left, null as empty) of every document."""
+    """doc_id, n_left_lines, n_removed, kept_sha256 (of the text that is left, null as empty) of every document."""
     from corposcope.llm.common import table
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = without_lines(docs, repeated_lines(docs))
     lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))
     return out.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(lines).alias("n_left_lines").cast("long"), "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
-
-
-def brute_force(texts: dict[int, str | None], least: int = WORDS) -> dict[int, list[int]]:
-    """Lines to delete of each text by comparing all runs; for tests."""
-    place: dict[tuple, tuple] = {}
-    out: dict[int, set[int]] = {}
-    for ident in sorted(texts):
-        lines = [x.strip() for x in (texts[ident] or "").split("\n")]
-        runs = {}
-        for i in range(len(lines)):
-            for j in range(i, len(lines)):
-                body = tuple(x for x in lines[i : j + 1] if x)
-                if lines[i] and lines[j] and sum(len(x.split()) for x in body) >= least:
-                    runs[i, j] = body
-        for (i, j), body in sorted(runs.items()):
-            first = place.setdefault(body, (ident, i, j))
-            if ident > first[0] or i > first[2]:
-                out.setdefault(ident, set()).update(range(i, j + 1))
-    return {k: sorted(v) for k, v in out.items()}

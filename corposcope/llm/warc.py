@@ -34,7 +34,7 @@ def bare_sha1(digest: bytes) -> str:
 def with_kinds(pages: DataFrame, least: int = 0, id_col: str = "page_id", body_col: str = "html") -> DataFrame:
     """Adds payload (binary), payload_bytes, sha1, record_type and refers_to.
 
-    Null bodies are empty payloads. Of equal payloads (SHA-1, SHA-256 and length agree) of at least `least` bytes the
+    Null bodies are empty payloads; rows without an id are responses. Of equal payloads (SHA-1, SHA-256 and length agree) of at least `least` bytes the
     smallest id is the response, the others are revisits of it. Digests are counted in partial aggregates; only those
     that occur twice or more are joined back, from a written table, so a payload that a third of the rows share can be split.
     """
@@ -53,7 +53,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
     Payloads are handed to the writer as chunk rows (record, chunk number, bytes), so a worker holds one chunk.
     A file is named by its task attempt; only the files that the returned table names are complete, so a lost
-    executor or a repeated attempt leaves no record twice. Null URLs are written as urn:page:<id>.
+    executor or a repeated attempt leaves no record twice. Null URLs are written as urn:page:<id>,
+    and control characters and spaces are taken out of URLs.
     """
     size = F.when(F.col("record_type") == "response", F.col("payload_bytes")).otherwise(0)
     pieces = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(size / chunk).cast("int") - 1)), lambda i: F.when(size > 0, F.substring("payload", i * chunk + 1, F.lit(chunk))).otherwise(F.lit(b"")))
@@ -199,12 +200,12 @@ def op6_warc(spark, sf_dir: str) -> DataFrame:
     pages = with_kinds(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     chunks = read_archives(write_archives(pages, folder), folder)
     # the last chunk of a record has the digest of all of it; a revisit has the one it was written with
-    number = F.regexp_extract("record_id", "^<urn:page:(-?[0-9]+)>$", 1).cast("long")
+    number = F.regexp_extract("record_id", "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
     revisit = F.col("record_type") == "revisit"
     return chunks.where("last").select(
         number.alias("page_id"),
         F.when(revisit, F.col("payload_length")).otherwise(F.col("bytes_so_far")).alias("payload_bytes"),
         F.when(revisit, F.col("declared_digest")).otherwise(F.col("digest_so_far")).alias("payload_digest"),
         "record_type",
-        F.regexp_extract("refers_to", "^<urn:page:(-?[0-9]+)>$", 1).cast("long").alias("refers_to"),
+        F.regexp_extract("refers_to", "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long").alias("refers_to"),
     )
