@@ -14,13 +14,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = lang_id.train(docs, lang_id.public_pieces(public_tokenizers.path("piece_bpe_32k.model")))
-    found = lang_id.identify(docs, model, keep=docs.columns)
-    return found.where("lang_pred <> 'und' and score >= 0.5").select(*docs.columns)
+    found = lang_id.identify(docs, model, keep=docs.columns, prefix="__lang_")
+    return found.where("__lang_lang_pred <> 'und' and __lang_score >= 0.5").select(*docs.columns)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deletes repeated runs of lines; n_chars follows. Every document stays, if with an empty text."""
-    out = line_dedup.without_lines(docs, line_dedup.repeated_lines(docs))
+    out = line_dedup.without_lines(docs, line_dedup.repeated_lines(docs), count_col="__n_removed")
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
@@ -32,8 +32,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks personal data in every text; n_chars follows."""
-    clean = pii.find_pii(docs, with_text=True, keep=docs.columns)
-    return clean.withColumn("text", F.col("clean")).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    clean = pii.find_pii(docs, with_text=True, keep=docs.columns, prefix="__pii_")
+    return clean.withColumn("text", F.col("__pii_clean")).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
