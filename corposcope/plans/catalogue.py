@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corposcope.functions import text
-from corposcope.operators import coverage, entities, evidence, hygiene, overlap, status, terms, transcripts
+from corposcope.operators import coverage, entities, evidence, hygiene, ids, notes, overlap, status, terms, transcripts
 from corposcope.plans.presets import ENGLISH
 
 QUERIES: dict = {}
@@ -532,3 +532,97 @@ def transcript_text(spark, sf):
 def id_harvest(spark, sf):
     found = F.regexp_extract_all("text", F.lit(r"\b[0-9]{16,20}\b"), F.lit(0))
     return table(spark, sf, "documents").select("doc_id", F.size(found).cast("long").alias("n"), F.coalesce(F.get(found, F.lit(0)), F.lit("")).alias("first_id"))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, length(regexp_extract_all(t, 'https?://[^\s)>\]]+')) AS urls, length(list_distinct(regexp_extract_all(t, 'https?://[^\s)>\]]+'))) AS distinct_urls,
+       length(regexp_extract_all(t, '\b(?:TODO|FIXME|XXX)\b')) AS markers, length(list_filter(string_split(t, chr(10)), lambda x: starts_with(ltrim(x), '>') AND length(x) > 120)) AS long_quotes,
+       strlen(t) AS bytes, strlen(t) >= 1200 AS big_enough FROM d""")
+def note_metrics(spark, sf):
+    return notes.note_metrics(table(spark, sf, "documents"), "doc_id")
+
+
+@query(r"""SELECT page_id, html AS h, length(regexp_extract_all(html, 'https?://[^\s)>\]]+')) AS urls FROM pages""".replace("html AS h, ", ""))
+def page_urls(spark, sf):
+    return notes.note_metrics(table(spark, sf, "pages").select("page_id", F.col("html").alias("text")), "page_id").select("page_id", "urls")
+
+
+@query("""
+WITH b AS (SELECT event_id, event_type, user_id, lower(left(regexp_replace(event_type || ' ' || user_id, '[^A-Za-z0-9._-]+', '-', 'g'), 80)) AS base FROM events),
+f AS (SELECT base, count(*) AS n, min(event_id) AS first FROM b GROUP BY base)
+SELECT event_id, CASE WHEN n > 1 AND event_id <> first THEN base || '--' || left(sha256(event_type || ' ' || user_id), 10) ELSE base END AS artifact_id, n > 1 AND event_id <> first AS renamed FROM b JOIN f USING (base)""")
+def artifact_ids(spark, sf):
+    rows = table(spark, sf, "events").select(F.concat_ws(" ", "event_type", F.col("user_id").cast("string")).alias("key"), "event_id")
+    return ids.assigned(rows, "key", "event_id").drop("key")
+
+
+@query("""SELECT split_part(url, '/', 3) AS host, count(DISTINCT url) AS urls, CASE WHEN count(DISTINCT url) > 1 THEN 'conflict' WHEN count(*) > 1 THEN 'duplicate' ELSE 'single' END AS state FROM pages GROUP BY 1""")
+def url_conflicts(spark, sf):
+    return ids.url_conflicts(table(spark, sf, "pages").select(F.split_part("url", F.lit("/"), F.lit(3)).alias("host"), "url"), "host", "url")
+
+
+@query("""
+WITH a AS (SELECT doc_id, 0 AS l, -n_chars::DOUBLE AS v FROM documents ORDER BY n_chars DESC, doc_id LIMIT 10),
+b AS (SELECT doc_id, 1 AS l, -strlen(text)::DOUBLE AS v FROM documents ORDER BY strlen(text) DESC, doc_id LIMIT 10),
+u AS (SELECT * FROM a UNION ALL SELECT * FROM b) SELECT doc_id, min(l)::BIGINT AS list FROM u GROUP BY doc_id""")
+def representatives(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", "n_chars", F.octet_length("text").alias("bytes"))
+    return notes.representatives(rows, "doc_id", "n_chars", "bytes", 10).select("doc_id", F.col("place.list").cast("long").alias("list"))
+
+
+@query("""
+SELECT 'corpus' AS gate, c AS "check", p AS passed FROM (SELECT unnest(['enough', 'four_languages', 'no_nulls']) AS c,
+  unnest([count(*) >= 100, count(DISTINCT lang) = 4, count(*) FILTER (text IS NULL) = 0]) AS p FROM documents)""")
+def rule_checks(spark, sf):
+    return notes.rule_checks(table(spark, sf, "documents"), "corpus", {"enough": F.count("*") >= 100, "four_languages": F.count_distinct("lang") == 4, "no_nulls": F.count_if(F.col("text").isNull()) == 0})
+
+
+@query("""
+SELECT n_nationkey AS key, f AS field, m AS matches FROM (
+  SELECT n.n_nationkey, unnest(['regionkey', 'name']) AS f, unnest([n.n_regionkey IS NOT DISTINCT FROM r.r_regionkey, n.n_name IS NOT DISTINCT FROM r.r_name]) AS m
+  FROM nation n LEFT JOIN region r ON r.r_regionkey = n.n_nationkey)""")
+def field_matches(spark, sf):
+    left = table(spark, sf, "nation").select(F.col("n_nationkey").alias("key"), F.col("n_regionkey").alias("regionkey"), F.col("n_name").alias("name"))
+    right = table(spark, sf, "region").select(F.col("r_regionkey").alias("key"), F.col("r_regionkey").alias("regionkey"), F.col("r_name").alias("name"))
+    return evidence.matching_fields(left, right, "key", ["regionkey", "name"])
+
+
+@query("""
+WITH e AS (SELECT doc_id, sha256(text) AS f FROM documents), r AS (SELECT doc_id, CASE WHEN quality = 1 THEN sha256(text) ELSE 'old' END AS f FROM (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) JOIN documents USING (doc_id))
+SELECT CASE WHEN r.f IS NULL THEN 'missing' WHEN r.f <> e.f THEN 'stale' ELSE 'fresh' END AS state, count(*) AS n FROM e LEFT JOIN r USING (doc_id) GROUP BY 1""")
+def freshness(spark, sf):
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("artifact"), F.sha2("text", 256).alias("fingerprint"))
+    marks = table(spark, sf, "labels").groupBy(F.col("doc_id").alias("artifact")).agg(F.max("quality").alias("quality"))
+    held = docs.join(marks, "artifact").select("artifact", F.when(F.col("quality") == 1, F.col("fingerprint")).otherwise("old").alias("fingerprint"))
+    return evidence.freshness(docs, held).groupBy("state").agg(F.count("*").alias("n"))
+
+
+@query(r"""
+WITH p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]*/([^?]*)', 1) AS i FROM pages)
+SELECT page_id, CASE WHEN trim(i) = '' THEN 'empty' WHEN length(i) > 512 THEN 'too_long' WHEN contains(i, '/') THEN 'separator' ELSE 'ok' END AS problem FROM p""")
+def id_policy(spark, sf):
+    ident = F.regexp_extract("url", r"^[a-z]+://[^/]*/([^?]*)", 1)
+    return table(spark, sf, "pages").select("page_id", F.coalesce(hygiene.id_problem(ident), F.lit("ok")).alias("problem"))
+
+
+@query("""
+SELECT conv_id, '/turns/' || (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) AS pointer, turn::VARCHAR AS video_id, 'turn' AS reference_kind, 'transcript' AS required_type FROM conversations""")
+def reference_list(spark, sf):
+    docs = table(spark, sf, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list("turn")), lambda t: t.cast("string")).alias("turns"))
+    return evidence.flattened(docs, [("turns", "turn", "transcript")], "conv_id").drop("position")
+
+
+@query("""
+WITH c AS (SELECT conv_id, turn * 5000 AS s, turn * 5000 + 4000 + (length(text) % 2) * 1000 AS e FROM conversations),
+l AS (SELECT conv_id, s, lag(e) OVER (PARTITION BY conv_id ORDER BY s) AS expected_start FROM c)
+SELECT conv_id, s AS start_ms, expected_start FROM l WHERE expected_start IS NOT NULL AND expected_start <> s""")
+def chunk_continuity(spark, sf):
+    rows = table(spark, sf, "conversations").select("conv_id", (F.col("turn") * 5000).alias("start_ms"), (F.col("turn") * 5000 + 4000 + F.length("text") % 2 * 1000).alias("end_ms"))
+    return status.discontinuities(rows, "conv_id", ["start_ms"], "start_ms", "end_ms").drop("end_ms")
+
+
+@query()
+def parsed_segments(spark, sf):
+    payload = F.to_json(F.struct(F.array(F.struct(F.array(F.struct((F.col("turn") * 1000).alias("begin_time"), (F.col("turn") * 1000 + 900).alias("end_time"), F.col("text"))).alias("sentences"))).alias("transcripts")))
+    return transcripts.parse_responses(table(spark, sf, "conversations").select("conv_id", payload.alias("payload")), "conv_id", "payload")
