@@ -25,6 +25,13 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> n
     return c
 
 
+def unit_rows(column) -> np.ndarray:
+    """Vectors as unit rows in double precision; scaled first, so that no norm overflows."""
+    x = np.stack([np.asarray(v, np.float64) for v in column])
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def spanning(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
     """Links that join the same nodes as all links of the matrix, fewer than it has rows and columns."""
     root: dict[int, int] = {}
@@ -46,7 +53,7 @@ def spanning(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple
     return out
 
 
-def vector_links(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", fit_rows: int = 20_000, rows_per_cell: int = 500, max_cells: int = 2048, block: int = 512) -> DataFrame:
+def vector_links(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", fit_rows: int = 20_000, rows_per_cell: int = 4000, max_cells: int = 2048, block: int = 2048) -> DataFrame:
     """(id, n_links, component_id, kept) for every row.
 
     Rows link when their labels are equal and not null and their cosine, in double precision, is
@@ -54,31 +61,26 @@ def vector_links(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id"
     nothing, nor do rows without an id or vectors of different length. Repeated ids count as rows of their own. Other columns are ignored.
 
     Equal vectors of a label are one node that counts for all its rows. Spherical k-means, fitted on
-    at most `fit_rows` distinct nodes, gives at most `max_cells` cells, so what is sent to the workers
-    is bounded. A node lives in the cell of its closest centroid c and also visits each cell whose
+    at most `fit_rows` distinct nodes, gives a cell for each `rows_per_cell` nodes of the largest label and
+    at most `max_cells`, so what is sent to the workers is bounded. A node lives in the cell of its closest centroid c and also visits each cell whose
     centroid d has v.(c - d) <= r |c - d|, r = sqrt(2 - 2 least): a node w of that cell has
     w.(d - c) >= 0 and lies within r of v if they link, so no link is lost. In every cell and label
     the visitors meet the residents in blocks of about `block` rows; every block pair is its own task
     group. A group returns link counts and a spanning set of its links, never all its pairs.
     """
-    unit = F.transform(F.col(vec_col), lambda x: x.cast("double"))
     fine = F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(vec_col) > 0) & F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vec_col, lambda x: x != 0)
-    rows = vectors.select(F.col(id_col).alias("id"), F.when(fine, F.col(label_col)).alias("label"), F.when(fine, unit).alias("v"))
+    rows = vectors.select(F.col(id_col).alias("id"), F.when(fine, F.col(label_col)).alias("label"), F.when(fine, F.col(vec_col)).alias("v"))
     nodes = written(rows.where("v is not null").groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("times")), "nodes")
     n = nodes.count()
+    most = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     r = float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-9
 
-    def unit_rows(col) -> np.ndarray:
-        x = np.stack([np.asarray(v, np.float64) for v in col])
-        x = x / np.abs(x).max(axis=1, keepdims=True)
-        return x / np.linalg.norm(x, axis=1, keepdims=True)
-
     centres: dict[int, np.ndarray] = {}
     if n:
         chance = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(1e6 * min(1.0, fit_rows / n))
         sample = nodes.where(chance).select("id", "v").orderBy(F.xxhash64("id")).limit(fit_rows).toPandas()
         for width, part in sample.groupby(sample["v"].map(len)):
-            k = int(min(max_cells, max(1, n * len(part) / max(1, len(sample)) / rows_per_cell)))
+            k = int(min(max_cells, max(1, most * len(part) / max(1, len(sample)) / rows_per_cell)))
             centres[int(width)] = spherical_kmeans(unit_rows(part["v"]), k)
     shared = vectors.sparkSession.sparkContext.broadcast(centres)
 
@@ -93,24 +95,24 @@ def vector_links(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id"
                 visit = near[np.arange(len(x)), home][:, None] - near <= r * apart[home] + 1e-9
                 visit[np.arange(len(x)), home] = True
                 i, cell = np.nonzero(visit)
-                yield pd.DataFrame({"label": part["label"].to_numpy()[i], "width": width, "cell": cell, "resident": cell == home[i], "id": part["id"].to_numpy()[i], "times": part["times"].to_numpy()[i], "u": list(x[i])})
+                yield pd.DataFrame({"label": part["label"].to_numpy()[i], "width": width, "cell": cell, "resident": cell == home[i], "id": part["id"].to_numpy()[i], "times": part["times"].to_numpy()[i], "v": part["v"].to_numpy()[i]})
 
-    kind, label = dict(vectors.dtypes)[id_col], dict(vectors.dtypes)[label_col]
-    placed = written(nodes.mapInPandas(place, f"label {label}, width int, cell int, resident boolean, id {kind}, times long, u array<double>"), "placed")
+    kind, label, vector = (dict(vectors.dtypes)[c] for c in (id_col, label_col, vec_col))
+    placed = written(nodes.mapInPandas(place, f"label {label}, width int, cell int, resident boolean, id {kind}, times long, v {vector}"), "placed")
     sizes = written(placed.groupBy("label", "width", "cell").agg(F.count("*").alias("visits"), F.sum(F.col("resident").cast("int")).alias("residents")), "cells")
     parts = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / block)).cast("int")
     cells = placed.join(sizes.select("label", "width", "cell", parts("visits").alias("nv"), parts("residents").alias("nr")), ["label", "width", "cell"])
     mine = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     guests = cells.withColumn("i", F.pmod(mine, F.col("nv")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nr") - 1))).withColumn("guest", F.lit(True))
     hosts = cells.where("resident").withColumn("j", F.pmod(mine, F.col("nr")).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nv") - 1))).withColumn("guest", F.lit(False))
-    pairs = guests.unionByName(hosts).select("label", "width", "cell", "i", "j", "guest", "id", "times", "u")
+    pairs = guests.unionByName(hosts).select("label", "width", "cell", "i", "j", "guest", "id", "times", "v")
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
         guest, host = frame[frame["guest"]], frame[~frame["guest"]]
         if guest.empty or host.empty:
             return pd.DataFrame({"id": [], "n": [], "other": []}).astype({"id": "int64", "n": "int64", "other": "float64"})
         a, b = guest["id"].to_numpy(), host["id"].to_numpy()
-        hit = np.stack(guest["u"]) @ np.stack(host["u"]).T >= least
+        hit = unit_rows(guest["v"]) @ unit_rows(host["v"]).T >= least
         hit &= a[:, None] != b[None, :]
         n = hit.astype(np.int64) @ host["times"].to_numpy()
         tree = spanning(hit, a, b)
