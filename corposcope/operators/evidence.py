@@ -76,3 +76,16 @@ def freshness(expected: DataFrame, recorded: DataFrame) -> DataFrame:
     """(artifact, state): missing, stale or fresh, by the fingerprints of both tables (artifact, fingerprint)."""
     both = expected.join(recorded.withColumnRenamed("fingerprint", "recorded"), "artifact", "left")
     return both.select("artifact", F.when(F.col("recorded").isNull(), "missing").when(F.col("recorded") != F.col("fingerprint"), "stale").otherwise("fresh").alias("state"))
+
+
+def anchors(refs: DataFrame, corpus: DataFrame, state: DataFrame, least: int = 15, per_topic: int = 2) -> DataFrame:
+    """(check, passed, n) of anchors (topic, video_id): enough valid ones, and enough distinct ids in each topic.
+
+    An anchor is valid if its id is in the corpus and accepted once, without conflict.
+    """
+    known = refs.join(corpus.select("video_id").distinct().withColumn("there", F.lit(True)), "video_id", "left").join(state, "video_id", "left")
+    valid = F.coalesce(F.col("there") & F.col("accepted") & ~F.col("repeated"), F.lit(False))
+    marked = known.withColumn("valid", valid)
+    total = marked.agg(F.count_distinct(F.when(F.col("valid"), F.col("video_id"))).alias("n")).select(F.lit("enough_anchors").alias("check"), (F.col("n") >= least).alias("passed"), "n")
+    topics = marked.groupBy("topic").agg(F.count_distinct("video_id").alias("k")).agg(F.count_if(F.col("k") < per_topic).alias("n"))
+    return total.unionByName(topics.select(F.lit("distinct_ids_per_topic").alias("check"), (F.col("n") == 0).alias("passed"), "n"))

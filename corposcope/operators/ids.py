@@ -13,11 +13,11 @@ def assigned(items: DataFrame, key: str, order: str) -> DataFrame:
 
     Only names that occur twice are numbered, after an aggregate over all names.
     """
-    base = items.select(key, order, F.lower(safe_name(F.col(key).cast("string"), "video")).alias("base"))
-    shared = base.groupBy("base").agg(F.count("*").alias("n"), F.min(order).alias("first"))
-    out = base.join(shared, "base")
-    again = (F.col("n") > 1) & (F.col(order) != F.col("first"))
-    return out.select(key, order, F.when(again, F.concat("base", F.lit("--"), F.left(F.sha2(F.col(key).cast("string"), 256), F.lit(10)))).otherwise(F.col("base")).alias("artifact_id"), again.alias("renamed"))
+    base = items.select(key, order, F.lower(safe_name(F.col(key).cast("string"), "video")).alias("__base"))
+    shared = base.groupBy("__base").agg(F.count("*").alias("__n"), F.min(order).alias("__first"))
+    out = base.join(shared, "__base")
+    again = (F.col("__n") > 1) & (F.col(order) != F.col("__first"))
+    return out.select(key, order, F.when(again, F.concat("__base", F.lit("--"), F.left(F.sha2(F.col(key).cast("string"), 256), F.lit(10)))).otherwise(F.col("__base")).alias("artifact_id"), again.alias("renamed"))
 
 
 def url_conflicts(rows: DataFrame, key: str, url: str) -> DataFrame:

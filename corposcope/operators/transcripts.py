@@ -129,3 +129,10 @@ def _paragraphs(content: str, limit: int) -> str:
             out.append(now)
             now = ""
     return "\n\n".join([*out, *[now] * bool(now)])
+
+
+def with_transcripts(items: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Items (artifact_id, platform_video_id, ...) with text of the corpus (artifact_id, text): by artifact id, else by raw id, else empty."""
+    named, raw = corpus.selectExpr("artifact_id", "text named_text"), corpus.selectExpr("artifact_id platform_video_id", "text raw_text")
+    out = items.join(named, "artifact_id", "left").join(raw, "platform_video_id", "left")
+    return out.withColumn("text", F.coalesce("named_text", "raw_text", F.lit(""))).drop("named_text", "raw_text")

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corposcope.functions import text
-from corposcope.operators import coverage, entities, evidence, hygiene, ids, notes, overlap, status, terms, transcripts
+from corposcope.operators import coverage, entities, evidence, hygiene, ids, notes, overlap, retention, status, terms, transcripts
 from corposcope.plans.presets import ENGLISH
+from corposcope.sources import reports
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -626,3 +627,27 @@ def chunk_continuity(spark, sf):
 def parsed_segments(spark, sf):
     payload = F.to_json(F.struct(F.array(F.struct(F.array(F.struct((F.col("turn") * 1000).alias("begin_time"), (F.col("turn") * 1000 + 900).alias("end_time"), F.col("text"))).alias("sentences"))).alias("transcripts")))
     return transcripts.parse_responses(table(spark, sf, "conversations").select("conv_id", payload.alias("payload")), "conv_id", "payload")
+
+
+@query("""
+WITH st AS (SELECT doc_id, bool_or(quality = 1) AS a, bool_or(quality <> 1) AS r, count(*) > 1 AS rep FROM labels GROUP BY doc_id),
+k AS (SELECT e.event_type AS topic, e.user_id, d.doc_id IS NOT NULL AND coalesce(a AND NOT rep, false) AS ok FROM events e LEFT JOIN documents d ON d.doc_id = e.user_id LEFT JOIN st ON st.doc_id = e.user_id),
+t AS (SELECT topic, count(DISTINCT user_id) AS n FROM k GROUP BY topic)
+SELECT 'enough_anchors' AS "check", count(DISTINCT CASE WHEN ok THEN user_id END) >= 15 AS passed, count(DISTINCT CASE WHEN ok THEN user_id END) AS n FROM k
+UNION ALL SELECT 'distinct_ids_per_topic', count(*) FILTER (n < 2) = 0, count(*) FILTER (n < 2) FROM t""")
+def anchor_checks(spark, sf):
+    refs = table(spark, sf, "events").select(F.col("event_type").alias("topic"), F.col("user_id").cast("string").alias("video_id"))
+    return evidence.anchors(refs, table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("video_id")), _decisions(spark, sf))
+
+
+@query("""
+WITH f AS (SELECT regexp_extract(url, '^[a-z]+://[^/]*/([^?]*)', 1) AS path, strlen(html) AS bytes FROM pages)
+SELECT regexp_matches(path, '^(?:skill|research|reports|transcripts)/|\\.json$') AS keep, count(*) AS files, sum(bytes)::BIGINT AS bytes FROM f GROUP BY 1""")
+def retention_totals(spark, sf):
+    files = table(spark, sf, "pages").select(F.regexp_extract("url", r"^[a-z]+://[^/]*/([^?]*)", 1).alias("path"), F.octet_length("html").cast("long").alias("bytes"))
+    return retention.totals(retention.plan(files, "derived"))
+
+
+@query()
+def transcript_summaries(spark, sf):
+    return reports.transcript_summary(table(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), "text"), "id").withColumn("top_terms", F.array_join("top_terms", ", "))

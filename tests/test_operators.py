@@ -5,8 +5,8 @@ import random
 from pyspark.sql import functions as F
 
 from corposcope.functions import ratios, text
-from corposcope.operators import coverage, entities, evidence, hygiene, overlap, status, terms, transcripts
-from corposcope.sources import readers, writers
+from corposcope.operators import coverage, entities, evidence, hygiene, ids, notes, overlap, retention, status, terms, transcripts
+from corposcope.sources import readers, reports, writers
 
 
 def rows(df, *cols):
@@ -189,3 +189,41 @@ def test_upsert_and_freshness(spark):
     b = spark.createDataFrame([("y", "3"), ("z", "4")], "artifact string, fingerprint string")
     assert rows(status.upserted(a, b, "artifact"), "artifact", "fingerprint") == [("x", "1"), ("y", "3"), ("z", "4")]
     assert rows(evidence.freshness(a, b), "artifact", "state") == [("x", "missing"), ("y", "stale")]
+
+
+def test_reports(spark):
+    df = spark.createDataFrame([("a|b", ["x", "y"], 1), (None, [], 2)], "name string, tags array<string>, n int")
+    assert reports.markdown_table(df, 5, "T").splitlines() == ["## T", "", "| name | tags | n |", "|---|---|---|", "| a&#124;b | x, y | 1 |", "|  |  | 2 |"]
+    docs = spark.createDataFrame([("1", "Cats and cats. Dogs!"), ("2", None)], "id string, text string")
+    assert rows(reports.transcript_summary(docs, "id"), "chars", "top_terms") == [(0, []), (20, ["cats: 2", "dogs: 1"])]
+
+
+def test_transcripts_by_either_id(spark):
+    items = spark.createDataFrame([("a1", "r1"), ("a2", "r2"), ("a3", "r3")], "artifact_id string, platform_video_id string")
+    corpus = spark.createDataFrame([("a1", "one"), ("r2", "two")], "artifact_id string, text string")
+    assert rows(transcripts.with_transcripts(items, corpus), "artifact_id", "text") == [("a1", "one"), ("a2", "two"), ("a3", "")]
+
+
+def test_artifact_ids(spark):
+    df = spark.createDataFrame([("A b", 1), ("a-b", 2), ("//", 3)], "k string, n int")
+    got = {r["n"]: r["artifact_id"] for r in ids.assigned(df, "k", "n").collect()}
+    assert got[1] == "a-b" and got[2].startswith("a-b--") and len(got[2]) == 15 and got[3] == "video"
+
+
+def test_sections(spark):
+    df = spark.createDataFrame([("f", "intro\n## One\n- a\n* b\ntext\n## Two\n- c")], "id string, text string")
+    assert rows(notes.sections(df, "id"), "section", "bullets") == [("", 0), ("One", 2), ("Two", 1)]
+
+
+def test_retention(spark):
+    df = spark.createDataFrame([("skill/a.md", 1), ("video/b.mp4", 9)], "path string, bytes long")
+    assert rows(retention.totals(retention.plan(df, "final")), "keep", "files", "bytes") == [(False, 1, 9), (True, 1, 1)]
+    assert retention.listing_digest(df).first()["files"] == 2
+
+
+def test_overlay_and_range_anti_join(spark):
+    preset = spark.createDataFrame([("k", "Kay", "x"), ("p", "Pea", "x")], "entity_key string, canonical string, category string")
+    project = spark.createDataFrame([("k", "K!", "y")], "entity_key string, canonical string, category string")
+    assert rows(entities.overlaid_definitions(preset, project), "entity_key", "canonical", "alias", "origin") == [("k", "K!", "Kay", "project"), ("p", "Pea", None, "preset")]
+    found = spark.createDataFrame([(1, 2, 4), (1, 8, 12)], "d int, start int, end int")
+    assert rows(entities.outside_spans(found, spark.createDataFrame([(1, 0, 5)], "d int, start int, end int"), "d"), "start") == [(8,)]
