@@ -19,8 +19,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deletes repeated runs of lines; n_chars follows. Every document stays, if with an empty text."""
+    """Deletes repeated runs of lines; n_chars follows. A document goes if nothing but white space is left of its lines."""
     out = line_dedup.without_lines(docs, line_dedup.repeated_lines(docs), count_col="__n_removed")
+    out = out.where((F.col("__n_removed") == 0) | F.col("text").rlike(r"\S"))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
