@@ -31,7 +31,7 @@ def test_language_keeps_clean_documents(spark, docs):
 
 def test_lines(spark, docs):
     out = corpus_pipeline.repeated_lines(spark, docs, SF)
-    assert out.columns == docs.columns and out.count() == docs.count()
+    assert out.columns == docs.columns
     texts = {r["doc_id"]: r["text"] for r in docs.where("doc_id is not null and length(text) < 20000").collect()}
     whole = {r["doc_id"]: r["text"] for r in docs.where("doc_id is not null").collect()}
     gone = brute.lines_to_delete(texts) if len(texts) == len(whole) else None
@@ -40,7 +40,10 @@ def test_lines(spark, docs):
     if gone is not None:
         for i, t in whole.items():
             want = t if i not in gone else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in set(gone[i]))
-            assert got[i]["text"] == want
+            if i in gone and not want.strip():
+                assert i not in got
+            else:
+                assert got[i]["text"] == want
 
 
 def test_near_duplicates(spark, docs):
