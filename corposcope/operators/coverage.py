@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corposcope.functions import ratios, text
+from corposcope.sources.scratch import written
 
 SHORT = 800
 LONG = 5000
@@ -148,7 +149,9 @@ def periods(rows: DataFrame, order: Sequence, parts: int = 3, name: str = "perio
 
     Numbers are dealt by range partitions and their counts, so no task holds all rows.
     """
-    ordered = rows.withColumn("__key", F.struct(*order)).repartitionByRange("__key").withColumn("__part", F.spark_partition_id())
+    dealt = rows.withColumn("__key", F.struct(*order)).repartitionByRange("__key").withColumn("__part", F.spark_partition_id())
+    # written, as range bounds come from a sample and both reads below must see the same ones
+    ordered = written(dealt, "periods")
     counts = ordered.groupBy("__part").agg(F.count("*").alias("c")).withColumn("__before", F.sum("c").over(Window.orderBy("__part")) - F.col("c"))
     total = rows.agg(F.count("*").alias("__n"))
     w = Window.partitionBy("__part").orderBy("__key")
