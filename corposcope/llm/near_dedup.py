@@ -14,6 +14,10 @@ from corposcope.llm.common import components, dropped, portions, written
 
 SHINGLE, LEAST = 5, 0.8
 REGISTERS, BANDS = 64, 16
+#: Registers that must agree before a pair's texts are compared; a pair of similarity 0.8 has fewer with a probability of 3e-5.
+AGREE = 38
+#: Nodes on each side of a block of comparisons inside a bucket.
+BLOCK = 512
 #: Odd constants of the public splitmix64 generator (fixed values).
 STEP, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -104,9 +108,9 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int = REGIS
 
 
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard of two bags."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = int(np.minimum(a[1][i], b[1][j]).sum())
+    """Weighted Jaccard of two bags that aren't empty."""
+    at = np.minimum(np.searchsorted(a[0], b[0]), len(a[0]) - 1)
+    both = int(np.minimum(a[1][at], b[1])[a[0][at] == b[0]].sum())
     return both / (int(a[1].sum()) + int(b[1].sum()) - both)
 
 
@@ -137,7 +141,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose signatures agree in half of the registers or more; a pair of similarity 0.8 falls below that with a probability under 1e-7."""
+    """Pairs (a, b) whose signatures agree in AGREE registers or more."""
     kind = dict(pairs.dtypes)["a"]
     both = pairs.join(nodes.selectExpr("id a", "sig sa"), "a").join(nodes.selectExpr("id b", "sig sb"), "b").select("a", "b", "sa", "sb")
 
@@ -146,7 +150,7 @@ def alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, REGISTERS) for k in (2, 3))
-            yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= REGISTERS // 2))
+            yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= AGREE))
 
     return both.mapInArrow(run, f"a {kind}, b {kind}")
 
@@ -175,6 +179,87 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return out
 
 
+def bucket_links(held: pa.Table, least: float) -> list[tuple]:
+    """Links between guests and hosts of a block (one bucket, or a part of it) that join different classes.
+
+    A pair is compared in the first band that it shares, and if its classes haven't met through other links of
+    the block; so links come as a spanning set, and the pairs of a large group never leave the task.
+    """
+    guest = np.array(held["guest"].to_pylist())
+    ids, roots, texts = (held[c].to_pylist() for c in ("id", "root", "text"))
+    band, outside = held["band"][0].as_py(), np.array(held["outside"].to_pylist())
+    bands = np.array(held["bands"].to_pylist(), np.int64)
+    sig = np.frombuffer(b"".join(held["sig"].to_pylist()), "<u2").reshape(-1, REGISTERS)
+    g, h = np.flatnonzero(guest), np.flatnonzero(~guest)
+    if not len(g) or not len(h):
+        return []
+    here = int(np.flatnonzero((bands[g[0]] == band))[0])
+    fit = np.ones((len(g), len(h)), bool)
+    for k in range(here):
+        fit &= bands[g, k][:, None] != bands[h, k][None, :]
+    agree = np.zeros(fit.shape, np.int16)
+    for k in range(REGISTERS):
+        agree += sig[g, k][:, None] == sig[h, k][None, :]
+    fit &= agree >= AGREE
+    order = {v: n for n, v in enumerate(sorted(set(ids)))}
+    rank = np.array([order[v] for v in ids])
+    # two guests meet twice, once as guest and host each way
+    fit &= ~outside[h][None, :] | (rank[g][:, None] > rank[h][None, :])
+    i, j = np.nonzero(fit)
+    best = np.argsort(-agree[i, j], kind="stable")
+    up = {v: v for v in roots}
+
+    def find(v):
+        while up[v] != v:
+            up[v] = v = up[up[v]]
+        return v
+
+    known, bags, out = WordHashes(), {}, []
+    for x, y in zip(g[i[best]].tolist(), h[j[best]].tolist(), strict=True):
+        p, q = find(roots[x]), find(roots[y])
+        if p == q:
+            continue
+        for n in (x, y):
+            if n not in bags:
+                bags[n] = bag(shingles(texts[n], known))
+        if overlap(bags[x], bags[y]) >= least:
+            out.append((max(ids[x], ids[y]), min(ids[x], ids[y])))
+            up[max(p, q)] = min(p, q)
+    return out
+
+
+def residual_links(members: DataFrame, nodes: DataFrame, roots: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between classes that are still apart in a bucket they share.
+
+    In each such bucket the nodes outside its largest class are guests; they meet all its nodes, in blocks of BLOCK
+    by BLOCK, each a task group of its own. The largest class doesn't meet itself, so a bucket costs its size times
+    the blocks of its guests.
+    """
+    placed = members.select("band", "id").join(roots.selectExpr("node id", "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    sizes = placed.groupBy("band", "root").agg(F.count("*").alias("n"))
+    buckets = sizes.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")).where("all > most")
+    parts = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    buckets = written(buckets.select("band", "main", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("ng"), parts("all").alias("nh")), "buckets")
+    left = written(placed.join(buckets, "band"), "left")
+    wanted = left.select("id").distinct()
+    bodies = written(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]).join(nodes.select("id", "bands", "sig"), "id"), "bodies")
+    rows = left.join(bodies, "id").withColumn("outside", F.col("root") != F.col("main"))
+    mine = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    guests = rows.where("outside").withColumn("i", F.pmod(mine, F.col("ng")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nh") - 1))).withColumn("guest", F.lit(True))
+    hosts = rows.withColumn("j", F.pmod(mine, F.col("nh")).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ng") - 1))).withColumn("guest", F.lit(False))
+    columns = ["band", "i", "j", "guest", "outside", "id", "root", "bands", "sig", "text"]
+    kind = dict(nodes.dtypes)["id"]
+
+    def meet(held: pa.Table) -> pa.Table:
+        out = bucket_links(held, least)
+        like = held.schema.field("id").type
+        return pa.table({"a": pa.array([x for x, _ in out], like), "b": pa.array([y for _, y in out], like)})
+
+    links = written(guests.select(*columns).unionByName(hosts.select(*columns)).groupBy("band", "i", "j").applyInArrow(meet, f"a {kind}, b {kind}"), "links")
+    dropped(left, bodies, buckets)
+    return links
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
     """(id, class_id, kept) for every row: class_id is the smallest id that links of similarity `least` or more reach.
 
@@ -184,9 +269,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows with equal multisets are one node. Nodes that share a band (16 bands of 4 registers; a pair of similarity
     0.8 shares one with a probability of 0.9998) are candidates. First each is compared with the smallest node of its
-    buckets. Only buckets that then still hold several classes are gone through again: there every node outside the
-    bucket's main class meets the nodes of other classes, so no candidate is left out, and no group of like nodes
-    is ever expanded into its pairs.
+    buckets. Where a bucket then still holds several classes, its nodes outside the largest one meet all others, in
+    blocks; links come out as a spanning set, so no candidate is left out and no group is expanded into its pairs.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     made = written(sketches(rows, "id", "text"), "sketches")
@@ -198,19 +282,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tried = written(alike(pairs, nodes), "pairs")
     links = verified(tried, rows, least)
     roots = written(components(links), "roots")
-    # buckets of several classes
-    placed = members.join(roots.selectExpr("node id", "root"), "id", "left").select("band", "id", "first", F.coalesce("root", "id").alias("root"))
-    mixed_ = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    left = written(placed.join(mixed_.select("band"), "band"), "left")
-    main = left.where("id = first").selectExpr("band", "root main")
-    others = left.join(main, "band").where("root <> main").select("band", "id", "root")
-    more = others.alias("x").join(left.alias("y"), F.expr("x.band = y.band and x.root <> y.root")).selectExpr("least(x.id, y.id) a", "greatest(x.id, y.id) b").distinct()
-    more = written(alike(more.join(tried, ["a", "b"], "left_anti"), nodes), "pairs")
+    more = residual_links(members, nodes, roots, rows, least)
     if not more.isEmpty():
-        links = links.unionByName(verified(more, rows, least))
-        roots = written(components(links), "roots")
+        roots = written(components(links.unionByName(more)), "roots")
     classes = written(nodes.join(roots.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("root", "id").alias("class_id")), "classes")
-    dropped(members, left, more, tried)
+    dropped(members, more, tried, links)
     out = made.select("id", F.expr("if(id is null, null, key)").alias("key")).join(classes, "key", "left").select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"))
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("class_id")))
 
