@@ -2,49 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corposcope.sources.scratch import dropped, scratch_path, shared_folder, written
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a local one only where the session names none."""
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not named:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="corposcope-"))
-        named = sc.getCheckpointDir()
-    return named.rstrip("/")
-
+__all__ = ["components", "dropped", "id_crc", "portions", "scratch_path", "shared_folder", "table", "written"]
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/corposcope-{label}-{uuid.uuid4().hex}"
 
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows of df as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._scratch = path  # type: ignore[attr-defined]
-    return out
-
-
-def dropped(*tables: DataFrame) -> None:
-    """Removes tables made by written() that no later plan reads."""
-    for df in tables:
-        path = getattr(df, "_scratch", None)
-        if path:
-            spark = df.sparkSession
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def id_crc(column: str = "doc_id"):
