@@ -31,9 +31,55 @@ def public_pieces(path: str) -> list[str]:
     return sorted(x for x in kept if len(x) <= 16 and "▁" not in x[1:])
 
 
+class PieceTable:
+    """Looks up many substrings at once: pieces by a 64-bit hash of their characters, in open tables of arrays."""
+
+    PRIME = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, pieces: list[str]) -> None:
+        self.widest = max(map(len, pieces), default=1)
+        self.none = len(pieces)
+        left = [(int(h), i) for i, h in enumerate(map(self.hashed, pieces))]
+        self.tables: list[tuple[np.uint64, np.ndarray, np.ndarray]] = []
+        shift = 46
+        while left:
+            keys, values, rest = np.zeros(1 << 18, np.uint64), np.full(1 << 18, self.none, np.int32), []
+            for h, i in left:
+                slot = h >> shift & 0x3FFFF
+                if values[slot] == self.none:
+                    keys[slot], values[slot] = h, i
+                else:
+                    rest.append((h, i))
+            self.tables.append((np.uint64(shift), keys, values))
+            left, shift = rest, shift - 9 if shift > 9 else 46
+
+    def extended(self, h: np.ndarray, c: np.ndarray) -> np.ndarray:
+        h = (h ^ c) * self.PRIME
+        return h ^ (h >> np.uint64(29))
+
+    def hashed(self, piece: str) -> np.uint64:
+        h = np.full(1, len(piece), np.uint64)
+        for c in characters([piece])[0]:
+            h = self.extended(h, c)
+        return h[0]
+
+    def found(self, h: np.ndarray) -> np.ndarray:
+        out = np.full(len(h), self.none, np.int32)
+        for shift, keys, values in self.tables:
+            slot = (h >> shift & np.uint64(0x3FFFF)).astype(np.int64)
+            hit = np.flatnonzero((keys[slot] == h) & (out == self.none))
+            out[hit] = values[slot[hit]]
+        return out
+
+
+def characters(words: list[str]) -> np.ndarray:
+    """Code points of words of one length, [word, character]."""
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), -1).astype(np.uint64)
+
+
 @dataclass
 class PieceModel:
-    """logp[piece, language]; prior[language]. Pieces mark a word's start by U+2581."""
+    """p[piece, language]; prior[language]. Pieces mark a word's start by U+2581."""
 
     langs: list[str]
     index: dict[str, int]
@@ -41,22 +87,32 @@ class PieceModel:
     prior: np.ndarray
 
     def __post_init__(self) -> None:
-        self.widest = max(map(len, self.index), default=1)
+        self.table = PieceTable(list(self.index))
+        self.widest = self.table.widest
         #: Words scored so far in this process: word -> row of `rows`.
         self.place: dict[str, int] = {}
-        self.rows = np.empty((0, len(self.langs)))
-
-
-def lattice(words: list[str], index: dict[str, int], widest: int, none: int) -> np.ndarray:
-    """ids[w, end, length - 1] for words of one length; `none` where no piece fits."""
-    n = len(words[0])
-    ids = np.full((len(words), n + 1, min(widest, n)), none, np.int32)
-    for w, word in enumerate(words):
-        for end in range(1, n + 1):
-            for size in range(1, min(widest, end) + 1):
-                i = index.get(word[end - size : end])
-                if i is not None:
-                    ids[w, end, size - 1] = i
+        self.rows = np.empty((1 << 12, len(self.langs)))
+
+    def remember(self, scores: np.ndarray) -> None:
+        """Puts the scores of the words that were added to `place` last into their rows."""
+        used = len(self.place)
+        if used > len(self.rows):
+            grown = np.empty((2 * used, len(self.langs)))
+            grown[: used - len(scores)] = self.rows[: used - len(scores)]
+            self.rows = grown
+        self.rows[used - len(scores) : used] = scores
+
+
+def lattice(words: list[str], table: PieceTable) -> np.ndarray:
+    """ids[w, end, length - 1] for words of one length; table.none where no piece fits."""
+    c = characters(words)
+    n = c.shape[1]
+    ids = np.full((len(words), n + 1, min(table.widest, n)), table.none, np.int32)
+    for size in range(1, min(table.widest, n) + 1):
+        h = np.full((len(words), n - size + 1), size, np.uint64)
+        for k in range(size):
+            h = table.extended(h, c[:, k : n - size + 1 + k])
+        ids[:, size:, size - 1] = table.found(h.ravel()).reshape(h.shape)
     return ids
 
 
@@ -68,7 +124,9 @@ def forward(ids: np.ndarray, p: np.ndarray) -> np.ndarray:
     alpha[:, 0] = 1
     for end in range(1, ends):
         for size in range(1, min(widest, end) + 1):
-            alpha[:, end] += alpha[:, end - size] * p[ids[:, end, size - 1]]
+            some = np.flatnonzero(ids[:, end, size - 1] != none)
+            if len(some):
+                alpha[some, end] += alpha[some, end - size] * p[ids[some, end, size - 1]]
         alone = ids[:, end, 0] == none
         alpha[alone, end] += alpha[alone, end - 1] * UNSEEN
     return alpha
@@ -86,9 +144,9 @@ def word_scores(words: list[str], model: PieceModel) -> np.ndarray:
             for k in ks:
                 out[k] = long_score(words[k], model, p)
             continue
-        for at in range(0, len(ks), 4096):
-            some = ks[at : at + 4096]
-            out[some] = np.log(forward(lattice([words[k] for k in some], model.index, model.widest, len(model.p)), p)[:, -1])
+        for at in range(0, len(ks), 1024):
+            some = ks[at : at + 1024]
+            out[some] = np.log(forward(lattice([words[k] for k in some], model.table), p)[:, -1])
     return out
 
 
@@ -120,7 +178,7 @@ def fit(counts: dict[str, dict[str, int]], pieces: list[str], rounds: int = 3, s
     """
     langs = sorted(counts)
     index = {x: i for i, x in enumerate(pieces)}
-    widest = max(map(len, index), default=1)
+    table = PieceTable(pieces)
     none = len(pieces)
     p = np.empty((none, len(langs)))
     prior = np.array([max(1, sum(counts[x].values())) for x in langs], float)
@@ -129,7 +187,7 @@ def fit(counts: dict[str, dict[str, int]], pieces: list[str], rounds: int = 3, s
         for word in sorted(counts[lang]):
             if len(word) <= LONG:
                 by_length.setdefault(len(word) + 1, []).append("▁" + word)
-        parts = [(lattice(x, index, widest, none), np.array([counts[lang][w[1:]] for w in x], float)) for _, x in sorted(by_length.items())]
+        parts = [(lattice(x, table), np.array([counts[lang][w[1:]] for w in x], float)) for _, x in sorted(by_length.items())]
         now = np.full((none + 1, 1), 1.0 / max(1, none))
         now[none] = 0
         for _ in range(rounds):
@@ -171,10 +229,10 @@ def train(docs: DataFrame, pieces: list[str], docs_per_lang: int = 300, chars_pe
     return fit(counts, pieces)
 
 
-def predict(texts: list[str | None], model: PieceModel, cache_words: int = 300_000) -> list[tuple[str, float]]:
+def predict(texts: list[str | None], model: PieceModel, cache_words: int = 500_000) -> list[tuple[str, float]]:
     """(language, posterior) of each text."""
     if len(model.place) > cache_words:
-        model.place, model.rows = {}, model.rows[:0]
+        model.place = {}
     place, split, new = model.place, [], []
     for text in texts:
         if text is None or not model.langs or not LETTER.search(text):
@@ -194,7 +252,7 @@ def predict(texts: list[str | None], model: PieceModel, cache_words: int = 300_0
             at = list(map(place.get, words))
         split.append((at, wide))
     if new:
-        model.rows = np.vstack([model.rows, word_scores(new, model)])
+        model.remember(word_scores(new, model))
     out = []
     for found in split:
         if found is None:
@@ -211,7 +269,7 @@ def predict(texts: list[str | None], model: PieceModel, cache_words: int = 300_0
     return out
 
 
-def identify(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col: str = "text", cache_words: int = 300_000, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
+def identify(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col: str = "text", cache_words: int = 500_000, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
     """(id, lang_pred, score) for every row, from the whole text alone; with `keep`, those columns instead of the id.
     `prefix` goes before the new names, where kept columns could clash with them.
 
