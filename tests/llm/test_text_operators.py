@@ -65,6 +65,16 @@ def test_forward_sums_all_segmentations():
         assert np.isclose(lang_id.long_score("▁" + word, model, np.vstack([p[:, None], [[0]]]))[0], want)
 
 
+def test_piece_table():
+    pieces = lang_id.public_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    table = lang_id.PieceTable(pieces)
+    for n in (1, 4, 9):
+        some = [x for x in pieces if len(x) == n][:500] + ["~" * n]
+        ids = lang_id.lattice(some, table)[:, n, n - 1]
+        assert [int(i) for i in ids[:-1]] == [pieces.index(x) for x in some[:-1]] and ids[-1] in (table.none, *range(len(pieces)))
+    assert (lang_id.lattice(["qzxqj" * 3], table)[0, 15, -1]) == table.none
+
+
 def test_em_raises_likelihood():
     counts = {"x": {"abab": 5, "aba": 3, "b": 1}}
     pieces = ["▁", "a", "b", "ab", "▁ab", "▁a", "▁b"]
