@@ -156,11 +156,9 @@ def alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) whose bags overlap by `least` or more, from their whole texts."""
+    """Pairs (a, b) whose bags overlap by `least` or more, from their whole texts (id, text)."""
     kind = dict(pairs.dtypes)["a"]
-    wanted = pairs.selectExpr("a id").union(pairs.selectExpr("b id")).distinct()
-    some = written(texts.join(wanted, "id", "left_semi"), "texts")
-    both = pairs.join(some.selectExpr("id b", "text tb"), "b").join(some.selectExpr("id a", "text ta"), "a").select("a", "b", "ta", "tb")
+    both = pairs.join(texts.selectExpr("id b", "text tb"), "b").join(texts.selectExpr("id a", "text ta"), "a").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last, mine = WordHashes(), None, None
@@ -174,9 +172,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 keep.append(overlap(mine, bag(shingles(tb.as_py(), known))) >= least)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    out = written(both.mapInArrow(run, f"a {kind}, b {kind}"), "links")
-    dropped(some)
-    return out
+    return written(both.mapInArrow(run, f"a {kind}, b {kind}"), "links")
 
 
 def bucket_links(held: pa.Table, least: float) -> list[tuple]:
@@ -242,7 +238,7 @@ def residual_links(members: DataFrame, nodes: DataFrame, roots: DataFrame, texts
     buckets = written(buckets.select("band", "main", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("ng"), parts("all").alias("nh")), "buckets")
     left = written(placed.join(buckets, "band"), "left")
     wanted = left.select("id").distinct()
-    bodies = written(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]).join(nodes.select("id", "bands", "sig"), "id"), "bodies")
+    bodies = written(texts.join(wanted, "id", "left_semi").join(nodes.select("id", "bands", "sig"), "id"), "bodies")
     rows = left.join(bodies, "id").withColumn("outside", F.col("root") != F.col("main"))
     mine = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     guests = rows.where("outside").withColumn("i", F.pmod(mine, F.col("ng")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nh") - 1))).withColumn("guest", F.lit(True))
@@ -280,13 +276,16 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = written(bands.join(written(shared, "buckets"), "band"), "members")
     pairs = members.where("id <> first").selectExpr("first a", "id b").distinct()
     tried = written(alike(pairs, nodes), "pairs")
-    links = verified(tried, rows, least)
+    # the texts of all nodes that share a bucket, taken from the documents once; a shuffle join at every size,
+    # as these nodes are a share of the corpus
+    texts = written(rows.join(members.select("id").distinct().hint("merge"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "texts")
+    links = verified(tried, texts, least)
     roots = written(components(links), "roots")
-    more = residual_links(members, nodes, roots, rows, least)
+    more = residual_links(members, nodes, roots, texts, least)
     if not more.isEmpty():
         roots = written(components(links.unionByName(more)), "roots")
     classes = written(nodes.join(roots.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("root", "id").alias("class_id")), "classes")
-    dropped(members, more, tried, links)
+    dropped(members, more, tried, links, texts)
     out = made.select("id", F.expr("if(id is null, null, key)").alias("key")).join(classes, "key", "left").select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"))
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("class_id")))
 
