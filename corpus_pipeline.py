@@ -26,9 +26,16 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates, the one with the smallest doc_id."""
-    kept = near_dedup.near_groups(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Keeps one row of each group of near duplicates, the one with the smallest doc_id; a row without doc_id links with nothing and stays.
+
+    Rows are told apart by a key of their own, written with them, so rows that repeat a doc_id are grouped by their texts.
+    """
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    named = rows.where("doc_id is not null")
+    groups = near_dedup.near_groups(named, id_col="__row").select("__row", "class_id")
+    first = named.select("__row", "doc_id").join(groups, "__row").groupBy("class_id").agg(F.min(F.struct("doc_id", "__row"))["__row"].alias("__row"))
+    kept = named.join(first.select("__row"), "__row", "left_semi")
+    return kept.unionByName(rows.where("doc_id is null")).select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

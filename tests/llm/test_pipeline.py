@@ -53,6 +53,19 @@ def test_near_duplicates(spark, docs):
     assert {r["doc_id"] for r in out.collect()} - {None} == kept
 
 
+def test_near_duplicates_null_and_repeated_ids(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    other = " ".join(f"v{k}" for k in range(60))
+    near = base + " end"
+    rows = [(1, base), (1, base), (1, near), (1, other), (2, near), (3, other), (4, "alone in all of them"), (4, "quite another text of one id"), (None, base), (None, "without an id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()), key=repr)
+    first = [x for x in out if x[1] in (base, near) and x[0] is not None]
+    assert len(first) == 1 and first[0][0] == 1
+    want = [first[0], (1, other), (4, "alone in all of them"), (4, "quite another text of one id"), (None, base), (None, "without an id")]
+    assert out == sorted(want, key=repr)
+
+
 def test_personal_data(spark, docs):
     out = corpus_pipeline.personal_data(spark, docs, SF)
     assert out.columns == docs.columns and out.count() == docs.count()
