@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corposcope.llm.common import portions, written
+from corposcope.llm.common import dropped, portions, written
 
 #: Characters that a chunk shares with the one after it; the last of a cut-off chunk that the pattern could still change.
 OVERLAP, TAIL = 1024, 4
@@ -53,7 +53,8 @@ def packed(ids: list[int]) -> bytes:
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = 32_768) -> DataFrame:
     """(id, n_tokens, ids, decoded) for every row: ids as little-endian unsigned 32-bit integers, decoded as bytes.
 
-    Null text is empty: no ids. Ids of rows are taken as unique. A text of up to `chunk_chars` characters
+    Null text is empty: no ids. Repeated and null ids have rows of their own: long texts are chunked under a
+    key that is written with them. A text of up to `chunk_chars` characters
     is one piece. Longer ones are cut into chunks that overlap and are pre-tokenised in parallel; each
     neighbouring pair is stitched at the first pre-token boundary that both found in their overlap, and the
     pieces between these places are encoded in parallel. From a common boundary on, both scans are alike, as
@@ -65,19 +66,21 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     size = F.length("text")
     whole = rows.where(size <= chunk_chars)
     count = F.ceil((size - OVERLAP) / chunk_chars).cast("int")
-    chunks = rows.where(size > chunk_chars).select("id", F.posexplode(F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring("text", i * chunk_chars + 1, F.lit(chunk_chars + OVERLAP)))).alias("chunk", "text"))
+    keyed = written(rows.where(size > chunk_chars).withColumn("row", F.monotonically_increasing_id()), "long")
+    chunks = keyed.select("row", "id", F.posexplode(F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring("text", i * chunk_chars + 1, F.lit(chunk_chars + OVERLAP)))).alias("chunk", "text"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
-            texts = batch.column(2).to_pylist()
+            texts = batch.column(3).to_pylist()
             head = [boundaries(t, pattern, 0, OVERLAP) for t in texts]
             tail = [[x - chunk_chars for x in boundaries(t, pattern, chunk_chars, len(t) - TAIL)] for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(head, pa.list_(pa.int32())), pa.array(tail, pa.list_(pa.int32()))], ["id", "chunk", "text", "head", "tail"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(head, pa.list_(pa.int32())), pa.array(tail, pa.list_(pa.int32()))], ["row", "id", "chunk", "text", "head", "tail"])
 
-    scanned = chunks.repartition("id", "chunk").mapInArrow(scan, f"id {kind}, chunk int, text string, head array<int>, tail array<int>")
-    by_text = Window.partitionBy("id").orderBy("chunk")
+    scanned = chunks.repartition("row", "chunk").mapInArrow(scan, f"row long, id {kind}, chunk int, text string, head array<int>, tail array<int>")
+    by_text = Window.partitionBy("row").orderBy("chunk")
     common = lambda a, b: F.array_min(F.array_intersect(a, b))
     cut = scanned.select(
+        "row",
         "id",
         "chunk",
         "text",
@@ -85,12 +88,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         F.when(F.col("chunk") == 0, 0).otherwise(common("head", F.lag("tail").over(by_text))).alias("start"),
         common("tail", F.lead("head").over(by_text)).alias("stop"),
     )
-    cut = cut.withColumn("stitched", F.min((F.col("start").isNotNull() & (F.col("last") | F.col("stop").isNotNull())).cast("int")).over(Window.partitionBy("id")) == 1)
+    cut = cut.withColumn("stitched", F.min((F.col("start").isNotNull() & (F.col("last") | F.col("stop").isNotNull())).cast("int")).over(Window.partitionBy("row")) == 1)
     # without a common boundary a chunk keeps its own part, to be joined again
     piece = F.when(F.col("stitched"), F.when(F.col("last"), F.expr("substring(text, start + 1)")).otherwise(F.expr(f"substring(text, start + 1, {chunk_chars} + stop - start)")))
     piece = F.coalesce(piece, F.when(F.col("last"), F.col("text")).otherwise(F.substring("text", 1, chunk_chars)))
-    cut = written(cut.select("id", "chunk", "stitched", piece.alias("text")), "pieces")
-    joined = cut.where("not stitched").groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "text"))), lambda x: x["text"]), "").alias("text"))
+    cut = written(cut.select("row", "id", "chunk", "stitched", piece.alias("text")), "pieces")
+    dropped(keyed)
+    joined = cut.where("not stitched").groupBy("row", "id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "text"))), lambda x: x["text"]), "").alias("text")).drop("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to = encoder(ranks_path, pattern)
@@ -101,9 +105,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], [*batch.schema.names[:-1], "n_tokens", "ids", "decoded"])
 
     made = "n_tokens long, ids binary, decoded binary"
-    pieces = cut.where("stitched").select("id", "chunk", "text").repartition("id", "chunk").mapInArrow(run, f"id {kind}, chunk int, {made}")
+    pieces = cut.where("stitched").select("row", "id", "chunk", "text").repartition("row", "chunk").mapInArrow(run, f"row long, id {kind}, chunk int, {made}")
     glued = lambda c: F.expr(f"listagg({c}, X'') WITHIN GROUP (ORDER BY chunk)").alias(c)
-    long = pieces.groupBy("id").agg(F.sum("n_tokens").alias("n_tokens"), glued("ids"), glued("decoded"))
+    long = pieces.groupBy("row", "id").agg(F.sum("n_tokens").alias("n_tokens"), glued("ids"), glued("decoded")).drop("row")
     short = whole.unionByName(joined).mapInArrow(run, f"id {kind}, {made}")
     return short.unionByName(long).withColumnRenamed("id", id_col)
 

@@ -203,6 +203,14 @@ def test_tokens_against_library(spark, odd, empty):
     assert {r["doc_id"]: bytes(r["decoded"]).decode() for r in back.collect()} == {i: t or "" for i, t in rows}
 
 
+def test_tokens_of_long_texts_with_repeated_and_null_ids(spark):
+    long = [" ".join(f"{x}{k}" for k in range(900)) for x in "abcd"]
+    rows = [(1, long[0]), (1, long[1]), (1, long[1]), (None, long[2]), (None, long[3]), (1, "short"), (2, "y" * 4000), (2, "z" * 4000), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["n_tokens"], hashlib.sha256(r["ids"]).hexdigest(), hashlib.sha256(r["decoded"]).hexdigest()) for r in tokens.encode(df, RANKS, PATTERN, chunk_chars=1500).collect()]
+    assert sorted(got, key=repr) == sorted(((i, *tokens.reference_hashes(t, RANKS, PATTERN)) for i, t in rows), key=repr)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab 's\n\té1日.", max_size=120), st.integers(1, 119))
 def test_cut_after_visible_boundary_is_lossless(text, at):
