@@ -10,10 +10,15 @@ from corposcope.llm.common import written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without text or letters, and those whose language the model can't tell (score under 0.5)."""
+    """Drops documents without text or letters, and those whose language the model can't tell (score under 0.5).
+
+    Where no row has text and a language, there is nothing to learn from, and documents with letters pass.
+    """
     import public_tokenizers
 
     model = lang_id.train(docs, lang_id.public_pieces(public_tokenizers.path("piece_bpe_32k.model")))
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = lang_id.identify(docs, model, keep=docs.columns, prefix="__lang_")
     return found.where("__lang_lang_pred <> 'und' and __lang_score >= 0.5").select(*docs.columns)
 

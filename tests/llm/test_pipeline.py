@@ -29,6 +29,14 @@ def test_language_keeps_clean_documents(spark, docs):
     assert {r["doc_id"] for r in gone.collect()} - {None} == {9001, 9002, 9003}
 
 
+def test_language_without_labels_keeps_documents_with_letters(spark, docs):
+    bare = docs.where("doc_id is null or doc_id < 20 or doc_id > 9000").withColumn("lang", F.lit(None).cast("string"))
+    out = corpus_pipeline.language(spark, bare, SF)
+    assert out.columns == docs.columns
+    want = sorted(((r["doc_id"], r["text"]) for r in bare.collect() if any(c.isalpha() for c in r["text"] or "")), key=repr)
+    assert want and sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == want
+
+
 def test_lines(spark, docs):
     out = corpus_pipeline.repeated_lines(spark, docs, SF)
     assert out.columns == docs.columns
