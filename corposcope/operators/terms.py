@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corposcope.functions import ratios, text
+from corposcope.sources.scratch import written
 
 
 def fragments(docs: DataFrame) -> DataFrame:
@@ -85,19 +86,32 @@ def repeated_phrases(docs: DataFrame, least_docs: int = 2, tokenizer=text.tokens
 
     Ranks: documents, tokens, occurrences (all descending), phrase. A phrase inside another is found by an equi join
     on its text and the document set: phrases have 37 characters at most, so each gives a bounded number of substrings.
+    First each phrase meets only itself less its first or last word. The phrase that ranks first of those around another
+    is inside none itself, so all substrings are needed of what this leaves only.
     """
     per_doc = phrase_rows(docs, tokenizer).groupBy("phrase", "video_id").agg(F.count("*").alias("n"), F.max("n_tokens").alias("n_tokens"))
     found = per_doc.groupBy("phrase").agg(F.count("*").alias("document_frequency"), F.sum("n").alias("total_frequency"), F.max("n_tokens").cast("long").alias("n_tokens"), doc_set().alias("docs"))
     rank = F.struct(F.negative("document_frequency").alias("a"), F.negative("n_tokens").alias("b"), F.negative("total_frequency").alias("c"), F.col("phrase").alias("d"))
-    ranked = found.where(F.col("document_frequency") >= least_docs).withColumn("rank", rank)
-    inner = ranked.select("docs", F.col("rank").alias("outer"), F.explode(_inside(F.col("phrase"))).alias("phrase"))
-    gone = ranked.alias("p").join(inner.alias("q"), (F.col("p.docs") == F.col("q.docs")) & (F.col("p.phrase") == F.col("q.phrase")) & (F.col("q.outer") < F.col("p.rank"))).select(F.col("p.phrase").alias("phrase")).distinct()
-    kept = ranked.join(gone, "phrase", "left_anti").crossJoin(F.broadcast(analysed(docs)))
+    ranked = written(found.where(F.col("document_frequency") >= least_docs).withColumn("rank", rank), "phrases")
+    left = written(_outermost(ranked, _one_less), "phrases")
+    kept = _outermost(left, _inside).crossJoin(F.broadcast(analysed(docs)))
     kept = kept.withColumn("coverage_ratio", ratios.floored_ratio(F.col("document_frequency"), F.col("n_docs")))
     level, score = ratios.phrase_confidence(F.col("document_frequency"), F.col("coverage_ratio"))
     return kept.select("phrase", "document_frequency", "total_frequency", "n_tokens", "coverage_ratio", level.alias("confidence_level"), score.alias("confidence_score"))
 
 
+def _outermost(ranked: DataFrame, parts) -> DataFrame:
+    """ranked less the phrases that are among the `parts` of one of the same documents that ranks before them."""
+    inner = ranked.select("docs", F.col("rank").alias("outer"), F.explode(parts(F.col("phrase"))).alias("phrase"))
+    gone = ranked.alias("p").join(inner.alias("q"), (F.col("p.docs") == F.col("q.docs")) & (F.col("p.phrase") == F.col("q.phrase")) & (F.col("q.outer") < F.col("p.rank"))).select(F.col("p.phrase").alias("phrase")).distinct()
+    return ranked.join(gone, "phrase", "left_anti")
+
+
+def _one_less(phrase):
+    """A phrase less its first and less its last word, where it has spaces."""
+    return F.array(F.regexp_replace(phrase, "^[^ ]* ", ""), F.regexp_replace(phrase, " [^ ]*$", ""))
+
+
 def _inside(phrase):
     """All substrings of a phrase that could be a phrase."""
     n = F.length(phrase)

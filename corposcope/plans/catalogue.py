@@ -156,6 +156,11 @@ def repeated_phrases(spark, sf):
     return terms.repeated_phrases(documents(spark, sf, "benchmark", "item_id"))
 
 
+@query(PHRASES.replace(ITEMS, SOURCE))
+def document_phrases(spark, sf):
+    return terms.repeated_phrases(documents(spark, sf))
+
+
 @query(f"""
 WITH {SOURCE}, {FRAGMENTS}, t AS (SELECT id, unnest(list_filter(w, lambda x: {IS_TERM})) AS term FROM toks),
 p AS (SELECT term, array_to_string(list_sort(list(DISTINCT id)), ',') AS ids, count(DISTINCT id) AS df, min(id) AS first_id, count(*) AS tf FROM t GROUP BY term HAVING count(DISTINCT id) >= 2)
@@ -172,7 +177,7 @@ def topic_candidates(spark, sf):
 
 @query()
 def distinct_terms(spark, sf):
-    return terms.topic_groups(documents(spark, sf, "benchmark", "item_id")).select("first_id", "document_frequency", F.array_join(terms.distinct_terms(F.col("terms")), ",").alias("picked"))
+    return terms.topic_groups(documents(spark, sf)).select("first_id", "document_frequency", F.array_join(terms.distinct_terms(F.col("terms")), ",").alias("picked"))
 
 
 BOTH = "lower(concat_ws(' ', coalesce(string_split(text, chr(10))[1], ''), coalesce(text, '')))"
