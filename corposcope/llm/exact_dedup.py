@@ -21,9 +21,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Buckets are split by successive runs of bytes. The first digit is the length with the first
     `first_digit` bytes, later digits are runs that grow by `growth`. A bucket ends when it has one
     row or its bytes are used up; only rows of buckets with more are carried on, with the bytes they
-    still have. Bucket sizes are partial aggregates, so a bucket with a third of all rows is counted
-    before the shuffle; the join that hands them back reads written tables, so the adaptive skew
-    join can split it. Other columns of docs are ignored; repeated ids count as rows of their own,
+    still have, under a number of their bucket that is written with its size. Bucket sizes are
+    partial aggregates, so a bucket with a third of all rows is counted before the shuffle; the join
+    that hands them back reads written tables, so the adaptive skew join can split it. Other columns of docs are ignored; repeated ids count as rows of their own,
     a null id is smaller than all others.
     """
     text = F.encode(F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER), "utf-8")
@@ -35,7 +35,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         digit = F.substring("t", 1, width)
         key = ["bucket", "len", "d"]
         cut = now.withColumn("d", digit)
-        sizes = written(cut.groupBy(*key).agg(F.count("*").alias("n"), F.max("id").alias("top")), "radix")
+        sizes = written(cut.groupBy(*key).agg(F.count("*").alias("n"), F.max("id").alias("top")).withColumn("name", F.monotonically_increasing_id()), "radix")
         here = [F.col(f"c.{c}").eqNullSafe(F.col(f"s.{c}")) for c in key]
         full = cut.alias("c").join(sizes.where("n > 1").alias("s"), reduce(lambda x, y: x & y, here), "left")
         more = F.col("s.n").isNotNull() & (F.col("c.len") > width)
@@ -44,7 +44,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 "c.id",
                 "c.sha",
                 more.alias("more"),
-                F.when(more, F.col("s.top")).alias("bucket"),
+                F.when(more, F.col("s.name")).alias("bucket"),
                 F.when(more, F.col("c.len") - width).alias("len"),
                 F.when(more, F.expr(f"substring(c.t, {width + 1})")).alias("t"),
                 F.coalesce("s.top", "c.id").alias("keep_id"),

@@ -58,6 +58,14 @@ def test_exact_groups(spark):
     assert exact_dedup.exact_groups(df.where("false")).count() == 0
 
 
+def test_exact_groups_of_repeated_ids_and_equal_tails(spark):
+    a, b, tail = "a" * 48, "b" * 48, "the same tail " * 10
+    rows = [(None, a + tail), (None, a + tail), (None, b + tail), (None, b + tail), (7, "c" * 48 + tail), (7, "c" * 48 + tail), (7, "d" * 48 + tail), (7, "d" * 48 + tail)]
+    got = exact_dedup.exact_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = Counter((i, i, 2, True, hashlib.sha256(t.encode()).hexdigest()) for i, t in rows)
+    assert Counter(tuple(r) for r in got) == want
+
+
 def test_line_dedup_brute_force(spark):
     rng = random.Random(5)
     lines = ["a b c d e f", "x", "y z", "one two", "", " x ", "p q r s t", "end"]
