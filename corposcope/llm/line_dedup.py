@@ -62,9 +62,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null texts have no lines. Rows of equal ids are told apart by nothing; rows without an id neither lose lines nor
     make others lose them. Other columns are ignored.
 
-    Windows carry as fingerprint the smallest line hash in them, so a repeated run holds a fingerprint in both
-    places (the guarantee of winnowing). Positions are joined on the fingerprint; from there matches extend both
-    ways, window by window, to every line that a window with an earlier equal covers. The earliest place of each
+    Windows carry as fingerprint the smallest line hash in them, and a hash of all their lines. All windows are
+    grouped by both, so the lines' hash decides; no minima are selected and no match is extended. The earliest place of each
     window is a partial aggregate, so a line that stands in a third of all rows is met once per task; what is
     joined back is a written table of repeated windows only, which the adaptive join can split.
     """
