@@ -18,6 +18,12 @@ from corposcope.llm.common import portions, written
 END = 1
 #: The white space that a tokenizer drops between words and that no word of it can hold.
 GAPS = re.compile(r"[ \t\n\r]+")
+#: Words whose normal form is their lower case: visible ASCII and the Latin letters of two bytes from U+00C0 to U+00FF.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: The tokenizer's own pattern, for lower-case plain words (fixed value).
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: Longer words aren't kept in the table.
+LONGEST = 64
 
 PIECE = "doc_id {0}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -26,20 +32,27 @@ class WordIds:
     """Token ids of texts as bytes, little-endian unsigned 32-bit.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its words in a
-    row; each word is given to the tokenizer once and kept in a bounded table.
+    row. Ids of words are kept in a table of two generations: a word that is met moves to the young one; when
+    that has `most` words, it becomes the old one and the old one goes. So common words stay, and what is kept
+    is bounded. A plain word that is new is split by the tokenizer's pattern and its parts go to the
+    tokenizer's model; other new words go through the whole tokenizer.
     """
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 300_000) -> None:
         from tokenizers import Tokenizer
 
         self.of = Tokenizer.from_file(path)
         self.most = most
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        letters = [chr(c) for c in (*range(33, 127), *range(0xC0, 0x100))]
+        # how the tokenizer's model sees each character: as one character for each byte
+        self.seen = str.maketrans({c: "".join(part for part, _ in self.of.pre_tokenizer.pre_tokenize_str(c)) for c in letters})
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.most:
-            self.known = {}
-        get, out, late = self.known.get, [], []
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        get, out, late = self.young.get, [], []
         for text in texts:
             if any(x in text for x in SEPARATORS):
                 words = [w for w in GAPS.split(text) if w]
@@ -47,27 +60,38 @@ class WordIds:
                 words = (text.lower() if text.isascii() and "<|" not in text else text).split()
             parts = list(map(get, words))
             if None in parts:
-                late.append((len(out), words, [w for w, p in zip(words, parts, strict=True) if p is None]))
-                out.append(b"")
-            else:
-                out.append(b"".join(parts))
-        new = list(dict.fromkeys(w for _, _, missed in late for w in missed))
+                parts = [self.found(w) if p is None else p for w, p in zip(words, parts, strict=True)]
+                if None in parts:
+                    late.append((len(out), words, parts))
+                    parts = []
+            out.append(b"".join(parts))
+        new = list(dict.fromkeys(w for _, words, parts in late for w, p in zip(words, parts, strict=True) if p is None))
+        learned: dict[str, bytes] = {}
         for at in range(0, len(new), 2048):
-            self.learn(new[at : at + 2048])
-        for k, words, _ in late:
-            out[k] = b"".join(map(get, words))
+            some = new[at : at + 2048]
+            for w, e in zip(some, self.of.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                learned[w] = np.asarray(e.ids, "<u4").tobytes()
+                if len(w) <= LONGEST:
+                    self.young[w] = learned[w]
+        for k, words, parts in late:
+            out[k] = b"".join(learned[w] if p is None else p for w, p in zip(words, parts, strict=True))
         return out
 
-    def learn(self, words: list[str]) -> None:
-        """Encodes the words as one text and deals its ids out by where they start."""
-        e = self.of.encode(" ".join(words), add_special_tokens=False)
-        ends = np.cumsum([len(w) + 1 for w in words])
-        ids = np.asarray(e.ids, "<u4")
-        cuts = np.searchsorted([a for a, _ in e.offsets], ends)
-        at = 0
-        for word, end in zip(words, cuts.tolist(), strict=True):
-            self.known[word] = ids[at:end].tobytes()
-            at = end
+    def found(self, word: str) -> bytes | None:
+        """Ids of a word that the young table may lack; None where only the whole tokenizer can tell."""
+        ids = self.young.get(word) or self.old.get(word)
+        if ids is None:
+            if not PLAIN.fullmatch(word) or "<|" in word:
+                return None
+            parts = PARTS.findall(word.lower())
+            if len(parts) == 1:
+                ids = np.asarray([t.id for t in self.of.model.tokenize(parts[0].translate(self.seen))], "<u4").tobytes()
+            else:
+                ids = b"".join(map(self.found, parts))
+        if len(word) <= LONGEST:
+            self.young[word] = ids
+        return ids
+
 
 @lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
@@ -97,12 +121,12 @@ class Packer:
         self.rows: list[tuple] = []
 
     def add(self, doc, start: int, ids: bytes, total: int) -> None:
-        while len(ids) // 4 >= self.size:
-            self.emit(Open(self.size, [(doc, start, ids[: 4 * self.size], total)]))
-            ids, start = ids[4 * self.size :], start + self.size
-        n = len(ids) // 4
-        if n:
-            self.place(doc, start, ids, n, total)
+        whole = len(ids) // 4 // self.size
+        for at in range(whole):
+            self.emit(Open(self.size, [(doc, start + at * self.size, ids[4 * at * self.size : 4 * (at + 1) * self.size], total)]))
+        rest = ids[4 * whole * self.size :]
+        if rest:
+            self.place(doc, start + whole * self.size, rest, len(rest) // 4, total)
 
     def place(self, doc, start: int, ids: bytes, n: int, total: int) -> None:
         fits = [w for w in self.open if w.used + n <= self.size]

@@ -267,3 +267,30 @@ def test_word_ids_are_the_tokenizers(text):
     words = packing.word_ids(WORDS)
     want = words.of.encode(text, add_special_tokens=False).ids
     assert np.frombuffer(words([text])[0], "<u4").tolist() == want
+
+
+def test_word_table_forgets_and_learns_again(docs):
+    words = packing.WordIds(WORDS, most=300)
+    texts = [r["text"] or "" for r in docs.select("text").limit(60).collect()] + ["Éß-ÀÿX", "Σς Москва naïve", "x" * 500, "日本語" * 40]
+    for _ in range(2):
+        for at in range(0, len(texts), 8):
+            some = texts[at : at + 8]
+            assert [np.frombuffer(x, "<u4").tolist() for x in words(some)] == [words.of.encode(t, add_special_tokens=False).ids for t in some]
+    assert words.old and max(map(len, words.young)) <= packing.LONGEST
+
+
+def test_plain_letters_are_split_as_the_tokenizer_does():
+    words = packing.WordIds(WORDS)
+    for c in map(chr, (*range(33, 127), *range(0xA0, 0x180))):
+        for word in (c, c + c, f"a{c}b", f"1{c}", f"{c}'s"):
+            assert np.frombuffer(words([word])[0], "<u4").tolist() == words.of.encode(word, add_special_tokens=False).ids, word
+
+
+def test_packer_takes_a_very_long_text_in_linear_time():
+    import time
+
+    began, n = time.process_time(), 20_000_000
+    packer = packing.Packer(0, 2048, 16, 16)
+    packer.add(1, 0, bytes(4 * n), n)
+    rows = packer.taken() + packer.left()
+    assert sum(r[2] for r in rows) == n and [r[1] for r in rows] == list(range(0, n, 2048)) and time.process_time() - began < 20
