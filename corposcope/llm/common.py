@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corposcope.sources.scratch import dropped, scratch_path, shared_folder, written
+from corposcope.sources.scratch import dropped, scope, scratch_path, shared_folder, written
 
-__all__ = ["components", "dropped", "id_crc", "portions", "scratch_path", "shared_folder", "table", "written"]
+__all__ = ["components", "dropped", "id_crc", "portions", "scope", "scratch_path", "shared_folder", "table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +25,7 @@ def is_star_forest(edges: DataFrame) -> bool:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of edges (a, b): root is the smallest node reachable.
+    """(node, root) for every node of edges (a, b), a written table: root is the smallest node reachable.
 
     Alternating large-star and small-star rounds until every edge is a star's; each round's edges and minima
     are written tables, so a hub's rows can be split by the adaptive skew join. Self loops are ignored.
@@ -43,7 +43,9 @@ def components(edges: DataFrame) -> DataFrame:
         after = written(small, "edges")
         dropped(now, large, low)
         now = after
-    return now.selectExpr("a node", "b root").unionByName(now.selectExpr("b node", "b root").distinct())
+    roots = written(now.selectExpr("a node", "b root").unionByName(now.selectExpr("b node", "b root").distinct()), "roots")
+    dropped(now)
+    return roots
 
 
 def portions(batches, rows: int = 256, size: int = 4 << 20):

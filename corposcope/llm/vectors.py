@@ -53,76 +53,95 @@ def spanning(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple
     return out
 
 
-def vector_links(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", fit_rows: int = 20_000, rows_per_cell: int = 4000, max_cells: int = 2048, block: int = 2048) -> DataFrame:
+def cells_of(most: int, max_cells: int) -> int:
+    """Half the square root of the rows of the largest label: cells stay worth a visit, and visits fewer than blocks would be."""
+    return int(min(max_cells, max(1, np.ceil(np.sqrt(most) / 2))))
+
+
+def visits(x: np.ndarray, c: np.ndarray, r: float) -> tuple[np.ndarray, np.ndarray]:
+    """(home cell of each row, matrix of the cells with larger numbers that may hold a partner within distance r)."""
+    near = x @ c.T
+    home = np.argmax(near, axis=1)
+    apart = np.sqrt(np.maximum(0, 2 - 2 * c @ c.T))
+    may = near[np.arange(len(x)), home][:, None] - near <= r * apart[home] + 1e-9
+    return home, may & (np.arange(len(c))[None, :] > home[:, None])
+
+
+def vector_links(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", fit_rows: int = 20_000, max_cells: int = 2048, block: int = 2048) -> DataFrame:
     """(id, n_links, component_id, kept) for every row.
 
     Rows link when their labels are equal and not null and their cosine, in double precision, is
     `least` or more. Null or zero vectors and vectors with a null or non-finite component link with
-    nothing, nor do rows without an id or vectors of different length. Repeated ids count as rows of their own. Other columns are ignored.
-
-    Equal vectors of a label are one node that counts for all its rows. Spherical k-means, fitted on
-    at most `fit_rows` distinct nodes, gives a cell for each `rows_per_cell` nodes of the largest label and
-    at most `max_cells`, so what is sent to the workers is bounded. A node lives in the cell of its closest centroid c and also visits each cell whose
-    centroid d has v.(c - d) <= r |c - d|, r = sqrt(2 - 2 least): a node w of that cell has
-    w.(d - c) >= 0 and lies within r of v if they link, so no link is lost. In every cell and label
-    the visitors meet the residents in blocks of about `block` rows; every block pair is its own task
-    group. A group returns link counts and a spanning set of its links, never all its pairs.
+    nothing, nor do rows without an id or vectors of different length. Rows that repeat an id count as rows of
+    their own, whether their vectors are equal or not. Other columns are ignored.
+
+    Equal vectors of a label are one node, under a number that is written with it, that counts for all its rows.
+    Spherical k-means, fitted on at most `fit_rows` distinct nodes, gives cells_of() cells, at most `max_cells`, so
+    what is sent to the workers is bounded. A node lives in the cell of its closest centroid c. It also visits each
+    cell of a larger number whose centroid d has v.(c - d) <= r |c - d|, r = sqrt(2 - 2 least): a node w of that
+    cell has w.(d - c) >= 0 and lies within r of v if they link, so of two nodes that link, the one with the smaller
+    cell visits the other, and no link is lost or met twice. In every cell and label the visitors and residents meet
+    the residents in blocks of about `block` rows; every block pair is its own task group. A group returns link
+    counts and a spanning set of its links, never all its pairs.
     """
-    fine = F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(vec_col) > 0) & F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vec_col, lambda x: x != 0)
+    usable = F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(vec_col) > 0)
+    fine = usable & F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vec_col, lambda x: x != 0)
     rows = vectors.select(F.col(id_col).alias("id"), F.when(fine, F.col(label_col)).alias("label"), F.when(fine, F.col(vec_col)).alias("v"))
-    nodes = written(rows.where("v is not null").groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("times")), "nodes")
+    nodes = written(rows.where("v is not null").groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("times")).withColumn("node", F.monotonically_increasing_id()), "nodes")
     n = nodes.count()
     most = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     r = float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-9
 
     centres: dict[int, np.ndarray] = {}
     if n:
-        chance = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(1e6 * min(1.0, fit_rows / n))
-        sample = nodes.where(chance).select("id", "v").orderBy(F.xxhash64("id")).limit(fit_rows).toPandas()
+        chance = F.pmod(F.xxhash64("label", "id"), F.lit(1_000_000)) < F.lit(1e6 * min(1.0, fit_rows / n))
+        sample = nodes.where(chance).select("id", "v").orderBy(F.xxhash64("id"), "id", "v").limit(fit_rows).toPandas()
         for width, part in sample.groupby(sample["v"].map(len)):
-            k = int(min(max_cells, max(1, most * len(part) / max(1, len(sample)) / rows_per_cell)))
-            centres[int(width)] = spherical_kmeans(unit_rows(part["v"]), k)
+            centres[int(width)] = spherical_kmeans(unit_rows(part["v"]), cells_of(int(most * len(part) / max(1, len(sample))), max_cells))
     shared = vectors.sparkSession.sparkContext.broadcast(centres)
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for width, part in frame.groupby(frame["v"].map(len)):
-                x = unit_rows(part["v"])
-                c = shared.value.get(int(width), np.eye(1, int(width)))
-                near = x @ c.T
-                home = np.argmax(near, axis=1)
-                apart = np.sqrt(np.maximum(0, 2 - 2 * c @ c.T))
-                visit = near[np.arange(len(x)), home][:, None] - near <= r * apart[home] + 1e-9
-                visit[np.arange(len(x)), home] = True
-                i, cell = np.nonzero(visit)
-                yield pd.DataFrame({"label": part["label"].to_numpy()[i], "width": width, "cell": cell, "resident": cell == home[i], "id": part["id"].to_numpy()[i], "times": part["times"].to_numpy()[i], "v": part["v"].to_numpy()[i]})
-
-    kind, label, vector = (dict(vectors.dtypes)[c] for c in (id_col, label_col, vec_col))
-    placed = written(nodes.mapInPandas(place, f"label {label}, width int, cell int, resident boolean, id {kind}, times long, v {vector}"), "placed")
-    sizes = written(placed.groupBy("label", "width", "cell").agg(F.count("*").alias("visits"), F.sum(F.col("resident").cast("int")).alias("residents")), "cells")
-    parts = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / block)).cast("int")
-    cells = placed.join(sizes.select("label", "width", "cell", parts("visits").alias("nv"), parts("residents").alias("nr")), ["label", "width", "cell"])
-    mine = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    guests = cells.withColumn("i", F.pmod(mine, F.col("nv")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nr") - 1))).withColumn("guest", F.lit(True))
-    hosts = cells.where("resident").withColumn("j", F.pmod(mine, F.col("nr")).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nv") - 1))).withColumn("guest", F.lit(False))
-    pairs = guests.unionByName(hosts).select("label", "width", "cell", "i", "j", "guest", "id", "times", "v")
+                home, may = visits(unit_rows(part["v"]), shared.value.get(int(width), np.eye(1, int(width))), r)
+                yield part.assign(width=width, home=home, away=[np.flatnonzero(x) for x in may])
+
+    label, vector = (dict(vectors.dtypes)[c] for c in (label_col, vec_col))
+    cells = ["label", "width", "cell"]
+    placed = written(nodes.select("label", "node", "times", "v").mapInPandas(place, f"label {label}, node long, times long, v {vector}, width int, home int, away array<int>"), "placed")
+    hosts = placed.select("label", "width", F.col("home").alias("cell"), "node")
+    guests = hosts.withColumn("resident", F.lit(True)).unionByName(placed.select("label", "width", F.explode("away").alias("cell"), "node", F.lit(False).alias("resident")))
+    parts = lambda c: F.greatest(F.lit(1), F.ceil(c / block)).cast("int")
+    sizes = guests.groupBy(*cells).agg(parts(F.count("*")).alias("ng"), parts(F.count_if("resident")).alias("nh"), F.count_if("resident").alias("residents"))
+    sizes = written(sizes.where("residents > 0").drop("residents"), "cells")
+    mine = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
+    every = F.array_union(F.array("home"), "away")
+    at = placed.select("label", "width", "node", "times", "v", "home", F.explode(every).alias("cell")).withColumn("resident", F.col("home") == F.col("cell")).drop("home").join(sizes, cells)
+    guest = at.withColumn("i", F.pmod(mine, F.col("ng")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nh") - 1))).withColumn("guest", F.lit(True))
+    host = at.where("resident").withColumn("j", F.pmod(mine, F.col("nh")).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ng") - 1))).withColumn("guest", F.lit(False))
+    pairs = guest.unionByName(host).select(*cells, "i", "j", "guest", "resident", "node", "times", "v")
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
         guest, host = frame[frame["guest"]], frame[~frame["guest"]]
         if guest.empty or host.empty:
-            return pd.DataFrame({"id": [], "n": [], "other": []}).astype({"id": "int64", "n": "int64", "other": "float64"})
-        a, b = guest["id"].to_numpy(), host["id"].to_numpy()
+            return pd.DataFrame({"node": [], "n": [], "other": []}).astype({"node": "int64", "n": "int64", "other": "float64"})
+        a, b = guest["node"].to_numpy(), host["node"].to_numpy()
         hit = unit_rows(guest["v"]) @ unit_rows(host["v"]).T >= least
         hit &= a[:, None] != b[None, :]
+        # two residents meet once from each side, a visitor and a resident only here
         n = hit.astype(np.int64) @ host["times"].to_numpy()
+        back = np.where(guest["resident"], 0, guest["times"]) @ hit.astype(np.int64)
         tree = spanning(hit, a, b)
-        return pd.concat([pd.DataFrame({"id": a[n > 0], "n": n[n > 0], "other": None}), pd.DataFrame({"id": [x for x, _ in tree], "n": 0, "other": [y for _, y in tree]})], ignore_index=True)
-
-    found = written(pairs.groupBy("label", "width", "cell", "i", "j").applyInPandas(meet, f"id {kind}, n long, other {kind}"), "links")
-    counts = found.where("other is null").groupBy("id").agg(F.sum("n").alias("n"))
-    roots = components(found.where("other is not null").selectExpr("id a", "other b"))
+        found = [pd.DataFrame({"node": x[m > 0], "n": m[m > 0], "other": None}) for x, m in ((a, n), (b, back))]
+        return pd.concat([*found, pd.DataFrame({"node": [x for x, _ in tree], "n": 0, "other": [y for _, y in tree]})], ignore_index=True)
+
+    found = written(pairs.groupBy(*cells, "i", "j").applyInPandas(meet, "node long, n long, other long"), "links")
+    counts = found.where("other is null").groupBy("node").agg(F.sum("n").alias("n"))
+    roots = components(found.where("other is not null").selectExpr("node a", "other b"))
+    lowest = roots.join(nodes.select("node", "id"), "node").groupBy("root").agg(F.min("id").alias("component_id"))
+    named = roots.join(lowest, "root").select("node", "component_id")
     whole = written(
-        nodes.join(counts, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left").select("label", "v", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("root", "id").alias("component_id")),
+        nodes.join(counts, "node", "left").join(named, "node", "left").select("label", "v", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component_id")),
         "nodes",
     )
     out = rows.join(whole, ["label", "v"], "left").select(
@@ -130,11 +149,12 @@ def vector_links(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id"
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "id").alias("component_id"),
     )
-    dropped(placed, sizes)
+    dropped(nodes, placed, sizes, found, roots)
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
 def op3_vectors(spark, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every vector, at a cosine of 0.98."""
     from corposcope.llm.common import table
 
     return vector_links(table(spark, sf_dir, "embeddings"))

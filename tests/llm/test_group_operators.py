@@ -151,7 +151,7 @@ def test_vectors_brute_force(spark):
                     n[a] += 1
                     n[b] += 1
     want = union_find([i for i in n if i is not None], links)
-    for kw in ({}, {"rows_per_cell": 20, "block": 16}):
+    for kw in ({}, {"block": 16}, {"max_cells": 1, "block": 40}, {"max_cells": 2}):
         got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in vectors.vector_links(df, **kw).collect()}
         assert len(got) == len(rows) and len(links) > 100
         assert all(got[i] == (n[i], c, c == i) for i, c in want.items())
@@ -159,6 +159,33 @@ def test_vectors_brute_force(spark):
     assert vectors.vector_links(df.where("false")).count() == 0
 
 
+def test_vectors_of_repeated_ids(spark):
+    x, near, far, other = [1.0, 0.0, 0.0], [1.0, 0.05, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(1, x, 0), (1, far, 0), (2, near, 0), (3, other, 0), (3, other, 0), (3, other, 1), (None, x, 0), (None, x, 0)]
+    got = sorted((tuple(r) for r in vectors.vector_links(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()), key=repr)
+    assert got == sorted([(1, 1, 1, True), (1, 0, 1, True), (2, 1, 1, False), (3, 1, 3, True), (3, 1, 3, True), (3, 0, 3, True), (None, 0, None, True), (None, 0, None, True)], key=repr)
+
+
+def test_vectors_go_through_cells(spark, monkeypatch):
+    asked = []
+    plain = vectors.spherical_kmeans
+    monkeypatch.setattr(vectors, "spherical_kmeans", lambda x, k, **kw: asked.append(k) or plain(x, k, **kw))
+    assert vectors.op3_vectors(spark, "/root/testdata/sf0.1").count() == 2000
+    assert asked and min(asked) > 4
+
+
+def test_visits_reach_every_partner():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(700, 4))
+    x = np.concatenate([x, x + rng.normal(scale=0.06, size=x.shape)])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    home, may = vectors.visits(x, vectors.spherical_kmeans(x, 30), np.sqrt(0.04) + 1e-9)
+    a, b = np.nonzero(np.triu(x @ x.T >= 0.98, 1))
+    low, high = np.where(home[a] <= home[b], a, b), np.where(home[a] <= home[b], b, a)
+    apart = home[a] != home[b]
+    assert apart.sum() > 20 and may[low[apart], home[high[apart]]].all() and may.mean() < 0.5
+
+
 @pytest.mark.parametrize("least", [0, 10])
 def test_warc_round_trip(spark, least):
     big = "é" * 400_000
