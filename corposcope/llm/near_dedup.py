@@ -114,11 +114,12 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return both / (int(a[1].sum()) + int(b[1].sum()) - both)
 
 
-SKETCH = ["id", "key", "bands", "sig"]
+SKETCH = ["id", "mark", "key", "bands", "sig"]
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, key, bands, sig): digest of the bag, band hashes, and 16 bits of each register. Null for texts without a word."""
+    """(id, mark, key, bands, sig): a hash of the text, which tells rows of one id apart, a digest of the bag, band hashes,
+    and 16 bits of each register. The last three are null for texts without a word."""
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +127,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in portions(batches):
             if len(known) > 500_000:
                 known.clear()
-            bags = [bag(shingles(x.as_py(), known)) for x in batch.column(1)]
+            bags = [bag(shingles(x.as_py(), known)) for x in batch.column(2)]
             sig = signatures(bags)
             bits = mixed(sig.view(np.uint64))
             keys, bands, short = [], [], []
@@ -135,15 +136,14 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 keys.append(xxhash.xxh3_128_digest(e.tobytes() + w.tobytes()) if len(e) else None)
                 bands.append([xxhash.xxh3_64_intdigest(s[k * rows : (k + 1) * rows].tobytes(), k) - (1 << 63) for k in range(BANDS)] if len(e) else None)
                 short.append((s & np.uint64(0xFFFF)).astype("<u2").tobytes() if len(e) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(short, pa.binary())], SKETCH)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(short, pa.binary())], SKETCH)
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, key binary, bands array<long>, sig binary")
+    return docs.select(id_col, F.xxhash64(text_col).alias("mark"), text_col).mapInArrow(run, f"id {kind}, mark long, key binary, bands array<long>, sig binary")
 
 
 def alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose signatures agree in AGREE registers or more."""
-    kind = dict(pairs.dtypes)["a"]
-    both = pairs.join(nodes.selectExpr("id a", "sig sa"), "a").join(nodes.selectExpr("id b", "sig sb"), "b").select("a", "b", "sa", "sb")
+    """Pairs of nodes (a, b) whose signatures agree in AGREE registers or more."""
+    both = pairs.join(nodes.selectExpr("node a", "sig sa"), "a").join(nodes.selectExpr("node b", "sig sb"), "b").select("a", "b", "sa", "sb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,13 +152,12 @@ def alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, REGISTERS) for k in (2, 3))
             yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= AGREE))
 
-    return both.mapInArrow(run, f"a {kind}, b {kind}")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) whose bags overlap by `least` or more, from their whole texts (id, text)."""
-    kind = dict(pairs.dtypes)["a"]
-    both = pairs.join(texts.selectExpr("id b", "text tb"), "b").join(texts.selectExpr("id a", "text ta"), "a").select("a", "b", "ta", "tb")
+    """Pairs of nodes (a, b) whose bags overlap by `least` or more, from their whole texts (node, text)."""
+    both = pairs.join(texts.selectExpr("node b", "text tb"), "b").join(texts.selectExpr("node a", "text ta"), "a").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last, mine = WordHashes(), None, None
@@ -172,37 +171,42 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 keep.append(overlap(mine, bag(shingles(tb.as_py(), known))) >= least)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return written(both.mapInArrow(run, f"a {kind}, b {kind}"), "links")
+    return written(both.mapInArrow(run, "a long, b long"), "links")
 
 
-def bucket_links(held: pa.Table, least: float) -> list[tuple]:
-    """Links between guests and hosts of a block (one bucket, or a part of it) that join different classes.
+def candidates(held: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(guest rows, host rows, registers that agree) of the pairs to compare in a block: one bucket, or a part of it.
 
-    A pair is compared in the first band that it shares, and if its classes haven't met through other links of
-    the block; so links come as a spanning set, and the pairs of a large group never leave the task.
+    A pair is compared in the first band that it shares. Two guests meet twice, once as guest and host each way,
+    and are compared once.
     """
-    guest = np.array(held["guest"].to_pylist())
-    ids, roots, texts = (held[c].to_pylist() for c in ("id", "root", "text"))
-    band, outside = held["band"][0].as_py(), np.array(held["outside"].to_pylist())
-    bands = np.array(held["bands"].to_pylist(), np.int64)
+    guest, outside = (held[c].to_numpy(zero_copy_only=False) for c in ("guest", "outside"))
+    node = held["node"].to_numpy()
+    band, bands = held["band"][0].as_py(), np.array(held["bands"].to_pylist(), np.int64)
     sig = np.frombuffer(b"".join(held["sig"].to_pylist()), "<u2").reshape(-1, REGISTERS)
     g, h = np.flatnonzero(guest), np.flatnonzero(~guest)
     if not len(g) or not len(h):
-        return []
-    here = int(np.flatnonzero((bands[g[0]] == band))[0])
+        return np.empty(0, int), np.empty(0, int), np.empty(0, int)
     fit = np.ones((len(g), len(h)), bool)
-    for k in range(here):
+    for k in range(int(np.flatnonzero(bands[g[0]] == band)[0])):
         fit &= bands[g, k][:, None] != bands[h, k][None, :]
     agree = np.zeros(fit.shape, np.int16)
     for k in range(REGISTERS):
         agree += sig[g, k][:, None] == sig[h, k][None, :]
     fit &= agree >= AGREE
-    order = {v: n for n, v in enumerate(sorted(set(ids)))}
-    rank = np.array([order[v] for v in ids])
-    # two guests meet twice, once as guest and host each way
-    fit &= ~outside[h][None, :] | (rank[g][:, None] > rank[h][None, :])
+    fit &= ~outside[h][None, :] | (node[g][:, None] > node[h][None, :])
     i, j = np.nonzero(fit)
-    best = np.argsort(-agree[i, j], kind="stable")
+    return g[i], h[j], agree[i, j]
+
+
+def block_links(held: pa.Table, least: float) -> list[tuple[int, int]]:
+    """Links of a block that join different classes, from whole texts.
+
+    Pairs that agree most come first, and a pair whose classes have met through other links of the block isn't
+    compared; so links come as a spanning set, and the pairs of a large group never leave the task.
+    """
+    x, y, agree = candidates(held)
+    node, roots, texts = (held[c].to_pylist() for c in ("node", "root", "text"))
     up = {v: v for v in roots}
 
     def find(v):
@@ -211,15 +215,16 @@ def bucket_links(held: pa.Table, least: float) -> list[tuple]:
         return v
 
     known, bags, out = WordHashes(), {}, []
-    for x, y in zip(g[i[best]].tolist(), h[j[best]].tolist(), strict=True):
-        p, q = find(roots[x]), find(roots[y])
+    for k in np.argsort(-agree, kind="stable"):
+        ends = int(x[k]), int(y[k])
+        p, q = (find(roots[n]) for n in ends)
         if p == q:
             continue
-        for n in (x, y):
+        for n in ends:
             if n not in bags:
                 bags[n] = bag(shingles(texts[n], known))
-        if overlap(bags[x], bags[y]) >= least:
-            out.append((max(ids[x], ids[y]), min(ids[x], ids[y])))
+        if overlap(bags[ends[0]], bags[ends[1]]) >= least:
+            out.append((max(node[n] for n in ends), min(node[n] for n in ends)))
             up[max(p, q)] = min(p, q)
     return out
 
@@ -229,30 +234,34 @@ def residual_links(members: DataFrame, nodes: DataFrame, roots: DataFrame, texts
 
     In each such bucket the nodes outside its largest class are guests; they meet all its nodes, in blocks of BLOCK
     by BLOCK, each a task group of its own. The largest class doesn't meet itself, so a bucket costs its size times
-    the blocks of its guests.
+    the blocks of its guests. Blocks are gone through twice: first signatures alone tell which nodes have a candidate
+    in a block at all, then the texts of these go there.
     """
-    placed = members.select("band", "id").join(roots.selectExpr("node id", "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    placed = members.select("band", "node").join(roots.selectExpr("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = placed.groupBy("band", "root").agg(F.count("*").alias("n"))
     buckets = sizes.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")).where("all > most")
-    parts = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    buckets = written(buckets.select("band", "main", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("ng"), parts("all").alias("nh")), "buckets")
-    left = written(placed.join(buckets, "band"), "left")
-    wanted = left.select("id").distinct()
-    bodies = written(texts.join(wanted, "id", "left_semi").join(nodes.select("id", "bands", "sig"), "id"), "bodies")
-    rows = left.join(bodies, "id").withColumn("outside", F.col("root") != F.col("main"))
-    mine = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    guests = rows.where("outside").withColumn("i", F.pmod(mine, F.col("ng")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nh") - 1))).withColumn("guest", F.lit(True))
-    hosts = rows.withColumn("j", F.pmod(mine, F.col("nh")).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ng") - 1))).withColumn("guest", F.lit(False))
-    columns = ["band", "i", "j", "guest", "outside", "id", "root", "bands", "sig", "text"]
-    kind = dict(nodes.dtypes)["id"]
+    parts = lambda c: F.ceil(c / BLOCK).cast("int")
+    buckets = written(buckets.select("band", "main", parts(F.col("all") - F.col("most")).alias("ng"), parts(F.col("all")).alias("nh")), "buckets")
+    left = placed.join(buckets, "band").join(nodes.select("node", "bands", "sig"), "node").withColumn("outside", F.col("root") != F.col("main"))
+    left = written(left.drop("main"), "left")
+    mine = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
+    guests = left.where("outside").withColumn("i", F.pmod(mine, F.col("ng")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nh") - 1))).withColumn("guest", F.lit(True))
+    hosts = left.withColumn("j", F.pmod(mine, F.col("nh")).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ng") - 1))).withColumn("guest", F.lit(False))
+    columns = ["band", "i", "j", "guest", "outside", "node", "root", "bands", "sig"]
+    blocks = guests.select(*columns).unionByName(hosts.select(*columns))
+
+    def choose(held: pa.Table) -> pa.Table:
+        x, y, _ = candidates(held)
+        return held.take(pa.array(np.unique(np.concatenate([x, y]))))
 
     def meet(held: pa.Table) -> pa.Table:
-        out = bucket_links(held, least)
-        like = held.schema.field("id").type
-        return pa.table({"a": pa.array([x for x, _ in out], like), "b": pa.array([y for _, y in out], like)})
+        out = block_links(held, least)
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    links = written(guests.select(*columns).unionByName(hosts.select(*columns)).groupBy("band", "i", "j").applyInArrow(meet, f"a {kind}, b {kind}"), "links")
-    dropped(left, bodies, buckets)
+    kinds = dict(blocks.dtypes)
+    chosen = written(blocks.groupBy("band", "i", "j").applyInArrow(choose, ", ".join(f"{c} {kinds[c]}" for c in columns)), "chosen")
+    links = written(chosen.join(texts, "node").groupBy("band", "i", "j").applyInArrow(meet, "a long, b long"), "links")
+    dropped(left, buckets, chosen)
     return links
 
 
@@ -260,37 +269,47 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id, class_id, kept) for every row: class_id is the smallest id that links of similarity `least` or more reach.
 
     Similarity is the weighted Jaccard of the multisets of five-word runs. Null texts and texts without a word link
-    with nothing; texts of fewer than five words are one run. Rows of one id share
-    a class, so repeated rows stay or go together; a null id links with nothing. Other columns are ignored.
-
-    Rows with equal multisets are one node. Nodes that share a band (16 bands of 4 registers; a pair of similarity
-    0.8 shares one with a probability of 0.9998) are candidates. First each is compared with the smallest node of its
-    buckets. Where a bucket then still holds several classes, its nodes outside the largest one meet all others, in
-    blocks; links come out as a spanning set, so no candidate is left out and no group is expanded into its pairs.
+    with nothing; texts of fewer than five words are one run. Rows that repeat an id are rows of their own, grouped
+    by their texts; a null id links with nothing. Other columns are ignored.
+
+    Rows with equal multisets are one node, under a number that is written with it. Nodes that share a band (16 bands
+    of 4 registers; a pair of similarity 0.8 shares one with a probability of 0.9998) are candidates. First each is
+    compared with the smallest node of its buckets. Where a bucket then still holds several classes, its nodes outside
+    the largest one meet all others, in blocks; links come out as a spanning set, so no candidate is left out and no
+    group is expanded into its pairs.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     made = written(sketches(rows, "id", "text"), "sketches")
-    nodes = written(made.where("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands"), F.min_by("sig", "id").alias("sig")), "nodes")
-    bands = nodes.select("id", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = written(bands.join(written(shared, "buckets"), "band"), "members")
-    pairs = members.where("id <> first").selectExpr("first a", "id b").distinct()
+    place = F.struct("id", "mark")
+    nodes = made.where("key is not null and id is not null").groupBy("key").agg(F.min(place).alias("place"), F.min_by("bands", place).alias("bands"), F.min_by("sig", place).alias("sig"))
+    nodes = written(nodes.select("key", "place.*", "bands", "sig", F.monotonically_increasing_id().alias("node")), "nodes")
+    bands = nodes.select("node", F.explode("bands").alias("band"))
+    shared = written(bands.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "buckets")
+    members = written(bands.join(shared, "band"), "members")
+    dropped(shared)
+    pairs = members.where("node <> first").selectExpr("first a", "node b").distinct()
     tried = written(alike(pairs, nodes), "pairs")
     # the texts of all nodes that share a bucket, taken from the documents once; a shuffle join at every size,
     # as these nodes are a share of the corpus
-    texts = written(rows.join(members.select("id").distinct().hint("merge"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "texts")
+    wanted = nodes.select("id", "mark", "node").join(members.select("node").distinct(), "node", "left_semi").hint("merge")
+    texts = rows.withColumn("mark", F.xxhash64("text")).join(wanted, ["id", "mark"]).groupBy("id", "mark").agg(F.min("node").alias("node"), F.min("text").alias("text"))
+    texts = written(texts.select("node", "text"), "texts")
     links = verified(tried, texts, least)
-    roots = written(components(links), "roots")
+    roots = components(links)
     more = residual_links(members, nodes, roots, texts, least)
     if not more.isEmpty():
-        roots = written(components(links.unionByName(more)), "roots")
-    classes = written(nodes.join(roots.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("root", "id").alias("class_id")), "classes")
-    dropped(members, more, tried, links, texts)
+        dropped(roots)
+        roots = components(links.unionByName(more))
+    lowest = nodes.join(roots, "node").groupBy("root").agg(F.min("id").alias("class_id"))
+    named = roots.join(lowest, "root").select("node", "class_id")
+    classes = written(nodes.join(named, "node", "left").select("key", F.coalesce("class_id", "id").alias("class_id")), "classes")
+    dropped(nodes, members, more, tried, links, texts, roots)
     out = made.select("id", F.expr("if(id is null, null, key)").alias("key")).join(classes, "key", "left").select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"))
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("class_id")))
 
 
 def op8_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """doc_id, class_id, kept of every document, at a similarity of 0.8 of five-word runs."""
     from corposcope.llm.common import table
 
     return near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
