@@ -81,6 +81,42 @@ def test_line_dedup_brute_force(spark):
     assert line_dedup.repeated_lines(df.where("false")).count() == 0
 
 
+def test_minima_are_few_and_shared():
+    lines = ["one", "two", "three", "four", "five", "six", "seven", "eight"] * 12
+    text = "\n".join(f"{x}{k // 8}" for k, x in enumerate(lines))
+    found = line_dedup.minima(text)
+    assert len(found) < 0.6 * len(lines)
+    other = "some other lines\n" + "\n".join(text.split("\n")[20:60])
+    assert {m[1] for m in line_dedup.minima(other)} & {m[1] for m in found}
+    assert [m[0] for m in line_dedup.minima("a b c d e\n\nv w x y z")] == [0, 2]
+
+
+def test_fingerprint_decides_where_neighbours_agree(spark):
+    # the middle lines differ only, so the lines before and after them are the same in all rows
+    rows = [(k, f"top\n{x} {x} {x}\nend") for k, x in enumerate(("a", "c", "a"))]
+    got = {r["doc_id"]: r["lines"] for r in line_dedup.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {2: [0, 1, 2]}
+
+
+def test_line_dedup_of_repeated_ids(spark):
+    line, own = "the first line of some words", "words that stand nowhere else at all"
+    rows = [(1, f"{line}\n{own} one"), (2, f"{line}\n{own} two"), (2, f"{own} three\nlast line of the second row"), (2, f"{own} three\nlast line of the second row"), (None, line), (3, line)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted(((r["doc_id"], r["text"], r["n_removed"]) for r in line_dedup.without_lines(df, line_dedup.repeated_lines(df)).collect()), key=repr)
+    assert out == sorted([(1, rows[0][1], 0), (2, f"{own} two", 1), (*rows[2], 0), (*rows[3], 0), (None, line, 0), (3, "", 1)], key=repr)
+
+
+def test_line_dedup_of_a_very_long_text(spark):
+    import time
+
+    n = 60_000
+    rows = [(1, "\n".join(f"line {k} of the long text\n" for k in range(n))), (2, "own words that no other has\n" + "\n".join(f"line {k} of the long text" for k in range(n)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    began = time.time()
+    out = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.without_lines(df, line_dedup.repeated_lines(df)).collect()}
+    assert out == {1: (rows[0][1], 0), 2: ("own words that no other has", n)} and time.time() - began < 60
+
+
 def test_shared_passage_goes_from_later_documents_only(spark):
     passage = "\n".join(" ".join(f"w{i}{k}" for k in range(12)) for i in range(5))
     rows = [(1, "first own line here now ok\n" + passage), (2, "second own line is this one\n" + passage + "\nlast words of mine are here"), (3, "a clean document with its own line")]
@@ -128,10 +164,35 @@ def test_near_groups_brute_force(spark):
     got = {r["doc_id"]: (r["class_id"], r["kept"]) for r in near_dedup.near_groups(df).collect()}
     assert got == {i: (c, c == i) for i, c in want.items()}
     repeated = df.unionByName(df).unionByName(spark.createDataFrame([(None, "one two", "k")], df.schema))
-    assert near_dedup.near_groups(repeated).count() == 2 * len(texts) + 1
+    twice = near_dedup.near_groups(repeated).collect()
+    assert len(twice) == 2 * len(texts) + 1 and {(r["doc_id"], r["class_id"]) for r in twice} == {*((i, c) for i, c in want.items()), (None, None)}
     assert near_dedup.near_groups(df.where("false")).count() == 0
 
 
+def test_near_groups_of_repeated_ids(spark):
+    a, z = (" ".join(f"{x}{k}" for k in range(100)) for x in "az")
+    rows = [(5, a), (5, z + " more"), (3, z), (5, None), (7, a + " more"), (None, a), (9, "words of one row"), (9, "and of another of the same id")]
+    got = sorted((tuple(r) for r in near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert got == sorted([(5, 5, True), (5, 3, False), (3, 3, True), (5, 5, True), (7, 5, False), (None, None, True), (9, 9, True), (9, 9, True)], key=repr)
+
+
+def test_blocks_of_a_large_family(spark, monkeypatch):
+    """Many classes in the same buckets, met in blocks of 8 by 8."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(60)]
+    texts = {}
+    for k in range(150):
+        words = list(base)
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(60)] = f"x{rng.randrange(99)}"
+        texts[k] = " ".join(words)
+    bags = bags_of(texts)
+    want = union_find(texts, [(a, b) for a in bags for b in bags if a < b and weighted_jaccard(bags[a], bags[b]) >= 0.8])
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == want and len(set(want.values())) > 5
+
+
 def test_vectors_brute_force(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(12, 16))
