@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -67,7 +69,8 @@ def base_spans(text: str) -> list[Span]:
 
 # --- the tagger -----------------------------------------------------------------------------------
 
-WINDOW, STRIDE, REACH = 96, 48, 44
+#: Windows of the first round; those of each later round are twice as wide and as far apart.
+WINDOW, STRIDE = 96, 48
 SYMBOLS = 128
 TAGS = 1 + 2 * len(KINDS)  # outside; then begin and inside of each kind
 
@@ -81,19 +84,14 @@ def coded(text: str) -> np.ndarray:
     return out
 
 
-def allowed() -> tuple[np.ndarray, np.ndarray]:
-    """Structure of the tags: an inside tag follows the begin or inside tag of its kind only."""
-    step, first = np.zeros((TAGS, TAGS)), np.zeros(TAGS)
+def allowed() -> np.ndarray:
+    """Structure of the tags: an inside tag follows the begin or inside tag of its kind only. A window may start inside."""
+    step = np.zeros((TAGS, TAGS))
     for k in range(len(KINDS)):
         inside = 2 + 2 * k
         step[:, inside] = -1e4
         step[[inside - 1, inside], inside] = 0
-        first[inside] = -1e4
-    return step, first
-
-
-def sigmoid(x):
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    return step
 
 
 class Tagger:
@@ -103,47 +101,46 @@ class Tagger:
         rng = np.random.default_rng(seed)
         self.hidden = hidden
         self.w = {"embed": rng.normal(0, 0.3, (SYMBOLS, width)), "out": rng.normal(0, 0.2, (2 * hidden, TAGS)), "bias": np.zeros(TAGS), "step": np.zeros((TAGS, TAGS)), "first": np.zeros(TAGS)}
-        for side in ("f", "b"):
+        for side in "fb":
             self.w |= {f"x{side}": rng.normal(0, 0.25, (width, 4 * hidden)), f"h{side}": rng.normal(0, 0.2, (hidden, 4 * hidden)), f"c{side}": np.repeat([0.0, 1.0, 0.0, 0.0], hidden)}
         self.w = {k: v.astype(np.float32) for k, v in self.w.items()}
 
-    def run(self, x: np.ndarray, side: str, keep: list | None = None) -> np.ndarray:
-        """States [time, batch, hidden] of one direction; x is [batch, time]."""
+    def states(self, x: np.ndarray, keep: list | None = None) -> np.ndarray:
+        """States [time, batch, 2 hidden]; x is [batch, time]. Both directions go in one loop, the second over the reversed text."""
         n, w = self.hidden, self.w
-        order = range(x.shape[1]) if side == "f" else range(x.shape[1] - 1, -1, -1)
-        table = w["embed"] @ w[f"x{side}"] + w[f"c{side}"]
-        h = c = np.zeros((len(x), n), np.float32)
-        out = np.empty((x.shape[1], len(x), n), np.float32)
-        for t in order:
-            z = table[x[:, t]] + h @ w[f"h{side}"]
-            gates, g = sigmoid(z[:, : 3 * n]), np.tanh(z[:, 3 * n :])
-            i, f, o = gates[:, :n], gates[:, n : 2 * n], gates[:, 2 * n :]
+        table = np.concatenate([w["embed"] @ w[f"x{s}"] + w[f"c{s}"] for s in "fb"])
+        into = np.stack([w["hf"], w["hb"]])
+        # one tanh for all four gates: sigmoid(z) is tanh(z / 2) / 2 + 1 / 2
+        scale = np.repeat(np.float32([0.5, 0.5, 0.5, 1.0]), n)
+        index = np.stack([x.T, x.T[::-1] + SYMBOLS], axis=1)
+        h = c = np.zeros((2, len(x), n), np.float32)
+        out = np.empty((len(index), 2, len(x), n), np.float32)
+        for t in range(len(index)):
+            z = np.tanh((table[index[t]] + h @ into) * scale)
+            gates, g = 0.5 * z[..., : 3 * n] + 0.5, z[..., 3 * n :]
+            i, f, o = gates[..., :n], gates[..., n : 2 * n], gates[..., 2 * n :]
             before = c
             c = f * c + i * g
             s = np.tanh(c)
             if keep is not None:
-                keep.append((t, i, f, o, g, before, s, h))
+                keep.append((i, f, o, g, before, s, h))
             h = o * s
             out[t] = h
-        return out
+        return np.concatenate([out[:, 0], out[::-1, 1]], axis=2)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Emission scores [time, batch, tag]."""
-        return np.concatenate([self.run(x, "f"), self.run(x, "b")], axis=2) @ self.w["out"] + self.w["bias"]
-
-    def transitions(self) -> tuple[np.ndarray, np.ndarray]:
-        step, first = allowed()
-        return self.w["step"] + step, self.w["first"] + first
+        return self.states(x) @ self.w["out"] + self.w["bias"]
 
     def decode(self, x: np.ndarray) -> np.ndarray:
         """The best tag path [batch, time] by Viterbi."""
         e = self.scores(x)
-        step, first = self.transitions()
-        best, back = e[0] + first, np.empty((len(e), x.shape[0], TAGS), np.int8)
+        step = self.w["step"] + allowed()
+        best, back = e[0] + self.w["first"], np.empty((len(e), x.shape[0], TAGS), np.int8)
         for t in range(1, len(e)):
-            all_ = best[:, :, None] + step
-            back[t] = all_.argmax(axis=1)
-            best = all_.max(axis=1) + e[t]
+            every = best[:, :, None] + step
+            back[t] = every.argmax(axis=1)
+            best = every.max(axis=1) + e[t]
         path = np.empty(x.shape, np.int8)
         path[:, -1] = best.argmax(axis=1)
         for t in range(len(e) - 1, 0, -1):
@@ -151,54 +148,58 @@ class Tagger:
         return path
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        kept: dict[str, list] = {"f": [], "b": []}
-        states = np.concatenate([self.run(x, s, kept[s]) for s in "fb"], axis=2)
+        kept: list[tuple] = []
+        states = self.states(x, kept)
         e = (states @ self.w["out"] + self.w["bias"]).astype(np.float64)
-        step, first = self.transitions()
-        steps, rows = len(e), np.arange(len(x))
-
-        def lse(a, axis):
-            top = a.max(axis=axis, keepdims=True)
-            return (top + np.log(np.exp(a - top).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-        alpha, beta = np.empty_like(e), np.zeros_like(e)
-        alpha[0] = e[0] + first
-        for t in range(1, steps):
-            alpha[t] = lse(alpha[t - 1][:, :, None] + step, 1) + e[t]
-        for t in range(steps - 2, -1, -1):
-            beta[t] = lse(step + (e[t + 1] + beta[t + 1])[:, None, :], 2)
-        z = lse(alpha[-1], 1)
-        seen = np.zeros_like(e)
+        step, first = self.w["step"] + allowed(), self.w["first"].astype(np.float64)
+        steps, rows, times = len(e), np.arange(len(x)), np.arange(len(e))[:, None]
+        # forward and backward sums, each time scaled to one
+        top = e.max(axis=2, keepdims=True)
+        emit, pass_ = np.exp(e - top), np.exp(step)
+        alpha, beta, size = np.empty_like(e), np.ones_like(e), np.empty((steps, len(x), 1))
+        alpha[0] = emit[0] * np.exp(first)
         for t in range(steps):
-            seen[t, rows, y[:, t]] = 1
-        gold = (e * seen).sum(axis=(0, 2)) + first[y[:, 0]] + step[y[:, :-1], y[:, 1:]].sum(axis=1)
-        d = (np.exp(alpha + beta - z[:, None]) - seen) / len(x)
-        g = {k: np.zeros_like(v) for k, v in self.w.items()}
-        for t in range(1, steps):
-            pair = np.exp(alpha[t - 1][:, :, None] + step + (e[t] + beta[t])[:, None, :] - z[:, None, None]).sum(axis=0)
-            np.subtract.at(pair, (y[:, t - 1], y[:, t]), 1)
-            g["step"] += pair / len(x)
-        g["first"] += d[0].sum(axis=0)
-        g["out"] += np.einsum("tbh,tbk->hk", states, d)
-        g["bias"] += d.sum(axis=(0, 1))
-        down = (d @ self.w["out"].T).astype(np.float32)
-        n = self.hidden
-        for side, part in (("f", down[..., :n]), ("b", down[..., n:])):
-            dh = dc = np.zeros((len(x), n), np.float32)
-            table = np.zeros((SYMBOLS, 4 * n), np.float32)
-            for t, i, f, o, c, before, s, h in reversed(kept[side]):
-                dh = dh + part[t]
-                dc = dc + dh * o * (1 - s * s)
-                dz = np.concatenate([dc * c * i * (1 - i), dc * before * f * (1 - f), dh * s * o * (1 - o), dc * i * (1 - c * c)], axis=1)
-                np.add.at(table, x[:, t], dz)
-                g[f"h{side}"] += h.T @ dz
-                dh, dc = dz @ self.w[f"h{side}"].T, dc * f
-            g[f"c{side}"] += table.sum(axis=0)
-            g[f"x{side}"] += self.w["embed"].T @ table
+            if t:
+                alpha[t] = (alpha[t - 1] @ pass_) * emit[t]
+            size[t] = alpha[t].sum(axis=1, keepdims=True)
+            alpha[t] /= size[t]
+        for t in range(steps - 2, -1, -1):
+            beta[t] = (emit[t + 1] * beta[t + 1]) @ pass_.T
+            beta[t] /= beta[t].sum(axis=1, keepdims=True)
+        z = (np.log(size) + top).sum(axis=(0, 2))
+        gold = e[times, rows, y.T].sum(axis=0) + first[y[:, 0]] + step[y[:, :-1], y[:, 1:]].sum(axis=1)
+        d = alpha * beta
+        d /= d.sum(axis=2, keepdims=True)
+        d[times, rows, y.T] -= 1
+        d /= len(x)
+        onward = emit[1:] * beta[1:]
+        pair = np.einsum("tbi,tbj->ij", alpha[:-1] / ((alpha[:-1] @ pass_) * onward).sum(axis=2, keepdims=True), onward) * pass_
+        np.subtract.at(pair, (y[:, :-1], y[:, 1:]), 1)
+        g = {"step": pair / len(x), "first": d[0].sum(axis=0), "out": np.einsum("tbh,tbk->hk", states, d, optimize=True), "bias": d.sum(axis=(0, 1))}
+        down, n = (d @ self.w["out"].T).astype(states.dtype), self.hidden
+        parts = np.stack([down[..., :n], down[::-1, :, n:]], axis=1)
+        into = np.stack([self.w["hf"], self.w["hb"]])
+        dh = dc = np.zeros((2, len(x), n), states.dtype)
+        dz, held = np.empty((steps, 2, len(x), 4 * n), states.dtype), np.empty((steps, 2, len(x), n), states.dtype)
+        for t in range(steps - 1, -1, -1):
+            i, f, o, c, before, s, held[t] = kept[t]
+            dh = dh + parts[t]
+            dc = dc + dh * o * (1 - s * s)
+            dz[t] = np.concatenate([dc * c * i * (1 - i), dc * before * f * (1 - f), dh * s * o * (1 - o), dc * i * (1 - c * c)], axis=2)
+            dh, dc = dz[t] @ into.transpose(0, 2, 1), dc * f
+        g["embed"] = np.zeros_like(self.w["embed"])
+        for k, side in enumerate("fb"):
+            flat = dz[:, k].reshape(-1, 4 * n)
+            seen = (x.T if side == "f" else x.T[::-1]).reshape(-1)
+            table = np.zeros((SYMBOLS, len(flat)), states.dtype)
+            table[seen, np.arange(len(flat))] = 1
+            table = table @ flat
+            g[f"h{side}"] = held[:, k].reshape(-1, n).T @ flat
+            g[f"c{side}"], g[f"x{side}"] = table.sum(axis=0), self.w["embed"].T @ table
             g["embed"] += table @ self.w[f"x{side}"].T
         return float((z - gold).mean()), g
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 4, batch: int = 32, rate: float = 0.015, seed: int = 5) -> float:
+    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 7, batch: int = 48, rate: float = 0.03, seed: int = 5) -> float:
         rng, m, v, n, loss = np.random.default_rng(seed), {}, {}, 0, 0.0
         total = epochs * max(1, len(x) // batch)
         for _ in range(epochs):
@@ -233,7 +234,8 @@ def labelled(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
         return "".join(c for c in word().lower() if c.isascii() and c.isalnum()) or "mail"
 
     def email() -> str:
-        name, tld = pick(host(), f"{host()}.{some(1, 2)}", f"{host()}_{host()}"), pick("com", "org", "net", "de", "fr")
+        long = pick(".", "", "_").join(host() * int(rng.integers(1, 4)) for _ in range(int(rng.integers(2, 7)))) if rng.random() < 0.8 else host()[0] * int(rng.integers(20, 70))
+        name, tld = pick(host(), host(), f"{host()}.{some(1, 2)}", f"{host()}_{host()}", long), pick("com", "org", "net", "de", "fr")
         place = pick(host(), f"{host()}{some(1, 1)}.example")
         return pick(f"{name}@{place}.{tld}", f"{name} [at] {place} [dot] {tld}", f"{name} (at) {place} (dot) {tld}", f"{name}[at]{place}.{tld}", f"{name} @ {place}.{tld}")
 
@@ -267,16 +269,15 @@ def labelled(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
         xs[k] = coded(text)[cut : cut + WINDOW]
         for kind, a, b in spans:
             a, b = a - cut, b - cut
-            if a >= 0 and b <= WINDOW:
+            ys[k, max(a, 0) : max(b, 0)] = 2 + 2 * kind  # spans that the edge cuts start or end there
+            if 0 <= a < WINDOW:
                 ys[k, a] = 1 + 2 * kind
-                ys[k, a + 1 : b] = 2 + 2 * kind
-            elif a < WINDOW and b > 0:  # spans cut by the edge are blanked, for the next window has them whole
-                xs[k, max(a, 0) : b] = 32
     return xs, ys
 
 
 @lru_cache(maxsize=2)
-def trained(windows: int = 1536, epochs: int = 6, seed: int = 3) -> Tagger:
+def trained(windows: int = 1536, epochs: int = 7, seed: int = 3) -> Tagger:
+    """The tagger of this seed, fitted on so many labelled windows; once for each Python process, in a few seconds."""
     tagger = Tagger(seed=seed)
     tagger.fit(*labelled(windows, seed + 8), epochs=epochs)
     return tagger
@@ -285,49 +286,92 @@ def trained(windows: int = 1536, epochs: int = 6, seed: int = 3) -> Tagger:
 # --- windows, reconciliation, checks ------------------------------------------------------------------
 
 
+def around(position: int, stride: int) -> tuple[int, int]:
+    """Numbers of the two windows that hold a position; a span of up to `stride` characters there is whole in one of them."""
+    return position // stride - 1, position // stride
+
+
 def windows(text: str) -> list[int]:
-    """Starts of overlapping windows that cover all text within REACH of an anchor; a span is at most WINDOW - STRIDE long."""
-    starts: list[int] = []
-    covered = -1
+    """Starts of the windows that hold an anchor."""
+    numbers: list[int] = []
     for m in ANCHOR.finditer(text):
-        if m.start() + REACH < covered:
-            continue
-        low, high = max(0, m.start() - REACH, (starts[-1] + STRIDE) if starts and starts[-1] + WINDOW > m.start() - REACH else 0), m.start() + REACH
-        while True:
-            starts.append(low)
-            covered = low + WINDOW
-            if covered >= min(high, len(text)):
-                break
-            low += STRIDE
-    return starts
+        numbers += [n for n in around(m.start(), STRIDE) if n >= 0 and (not numbers or n > numbers[-1])]
+    return [n * STRIDE for n in numbers]
 
 
 def plausible(kind: str, text: str) -> bool:
-    """Whether a span of the tagger has the parts of its kind; keeps clean text clean."""
-    digits = re.sub("[^0-9]", "", text)
+    """Whether a span of the tagger can be read as its kind: an address has two sides and a dot, numbers are in range,
+    a card's digits pass Luhn. The shape of the text is the tagger's business."""
     if kind == "email":
-        return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+(@| ?[(\[{] ?at ?[)\]}] ?| @ )[A-Za-z0-9-]+((\.| ?[(\[{] ?dot ?[)\]}] ?)[A-Za-z0-9-]+)+", text))
+        sides = AT.split(text)
+        return len(sides) == 2 and bool(sides[0]) and not re.search(r"\s", sides[0]) and bool(DOT.search(sides[1]))
+    numbers = re.findall("[0-9]+", text)
+    n = sum(map(len, numbers))
+    if re.search(r"[^\W\d_]", text):
+        return False
     if kind == "ip":
-        return bool(re.fullmatch(r"[0-9]{1,3}(?:( ?\[?\.\]? ?)[0-9]{1,3}){3}", text)) and all(int(x) <= 255 for x in re.findall("[0-9]+", text))
-    if kind == "card":
-        return bool(re.fullmatch(r"[0-9]{4}([ ._-]?[0-9]{2,6})+", text)) and 16 <= len(digits) <= 19 and luhn(digits)
-    return bool(re.fullmatch(r"\+?[0-9 ]*\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}", text)) and 8 <= len(digits) <= 15
+        return len(numbers) == 4 and all(len(x) < 4 and int(x) <= 255 for x in numbers)
+    return 16 <= n <= 19 and luhn("".join(numbers)) if kind == "card" else 8 <= n <= 15
+
+
+def hopeless(kind: str, text: str) -> bool:
+    """Whether no longer span around a fragment can be plausible."""
+    if kind == "email":
+        return len(AT.findall(text)) > 1 or bool(re.search(r"\s\S+\s\S+\s\S+\s\S+\s\S+\s", text))
+    return len(re.findall("[0-9]", text)) > {"ip": 12, "card": 19, "phone": 15}[kind] or bool(re.search(r"[^\W\d_]", text))
+
 
+#: The sign between the sides of an address, and a dot of its host; both may be written out.
+AT = re.compile(r"\s*(?:@|[(\[{]\s?at\s?[)\]}])\s*", re.I)
+DOT = re.compile(r"[A-Za-z0-9-](?:\.|\s?[(\[{]\s?dot\s?[)\]}]\s?)[A-Za-z0-9-]+", re.I)
 
-def reconciled(found: list[tuple[str, int, int, int]], base: list[Span]) -> list[Span]:
+
+def trimmed(kind: str, text: str, a: int, b: int) -> tuple[int, int]:
+    """A span without the punctuation after it; one of an address starts with the last word before its sign."""
+    body = text[a:b].rstrip(".,;:!?\"' \n")
+    sign = AT.search(body) if kind == "email" else None
+    skip = len(body[: sign.start()]) - len(body[: sign.start()].split()[-1]) if sign and body[: sign.start()].split() else 0
+    return a + skip, a + len(body)
+
+
+class Covered:
+    """Characters that any of some spans cover, as disjoint intervals."""
+
+    def __init__(self, spans) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted((a, b) for _, a, b in spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        at = bisect_right(self.ends, a)
+        return at < len(self.starts) and self.starts[at] < b
+
+
+def reconciled(found: list[Span], base: list[Span]) -> list[Span]:
     """Spans of all windows of a text made one set: base spans stay, the rest are chosen so that none overlap
-    and the characters they cover, counted once for each window that agrees, are most."""
-    votes: dict[Span, int] = {}
-    for kind, a, b, _ in found:
-        votes[kind, a, b] = votes.get((kind, a, b), 0) + 1
-    taken = sorted((a, b) for _, a, b in base)
-    free = sorted((s for s in votes if not any(a < s[2] and s[1] < b for a, b in taken)), key=lambda s: (s[2], s[1], s[0]))
-    best: list[tuple[int, list[Span]]] = [(0, [])]
+    and the characters they cover, counted once for each window that agrees, are most. Weighted interval
+    scheduling: spans by their ends, the best of each prefix, and a walk back."""
+    taken = Covered(base)
+    votes = Counter(s for s in found if not taken.meets(s[1], s[2]))
+    free = sorted(votes, key=lambda s: (s[2], s[1], s[0]))
+    ends = [s[2] for s in free]
+    best, before = [0], []
     for n, s in enumerate(free):
-        before = next((k for k in range(n, 0, -1) if free[k - 1][2] <= s[1]), 0)
-        gain = best[before][0] + votes[s] * (s[2] - s[1])
-        best.append((gain, [*best[before][1], s]) if gain > best[n][0] else best[n])
-    return best[-1][1]
+        before.append(bisect_right(ends, s[1], 0, n))
+        best.append(max(best[n], best[before[n]] + votes[s] * (s[2] - s[1])))
+    out, n = [], len(free)
+    while n:
+        if best[n] > best[n - 1]:
+            out.append(free[n - 1])
+            n = before[n - 1]
+        else:
+            n -= 1
+    return out[::-1]
 
 
 def ordered(spans: list[Span]) -> list[Span]:
@@ -338,42 +382,45 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
+def runs(path: np.ndarray) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of the runs of tags of a window; one that the left edge cuts starts at 0."""
+    out: list[tuple[str, int, int]] = []
+    for i in np.flatnonzero(path).tolist():
+        kind = KINDS[(path[i] - 1) // 2]
+        if path[i] % 2 == 0 and out and out[-1][0] == kind and out[-1][2] == i:
+            out[-1] = (kind, out[-1][1], i + 1)
+        else:
+            out.append((kind, i, i + 1))
+    return out
+
+
 def tag(texts: list[str], tagger: Tagger, most: int = 1024) -> list[tuple[list[Span], list[Span]]]:
-    """(base spans, added spans) of each text."""
+    """(base spans, added spans) of each text.
+
+    A run of tags that the edge of its window cuts is no span. If nothing found so far covers any of it, the windows
+    twice as wide that hold it are decoded in the next round, until no run is cut; so no span is too long.
+    """
     base = [base_spans(t) if ANCHOR.search(t) else [] for t in texts]
-    found: list[list[tuple[str, int, int, int]]] = [[] for _ in texts]
-    where: list[tuple[int, int]] = []
-    rows: list[np.ndarray] = []
-
-    def flush() -> None:
-        if not rows:
-            return
-        for (k, start), path in zip(where, tagger.decode(np.stack(rows)), strict=True):
-            i = 0
-            while i < WINDOW:
-                if path[i] % 2 == 1:
-                    j = i + 1
-                    while j < WINDOW and path[j] == path[i] + 1:
-                        j += 1
-                    kind = KINDS[(path[i] - 1) // 2]
-                    whole = texts[k][start + i : start + j]
-                    body = whole.rstrip(".,;:!?\"' \n")
-                    if plausible(kind, body):
-                        found[k].append((kind, start + i, start + i + len(body), 0))
-                    i = j
-                else:
-                    i += 1
-        rows.clear()
-        where.clear()
-
-    for k, text in enumerate(texts):
-        for start in windows(text):
-            part = coded(text[start : start + WINDOW])
-            rows.append(np.pad(part, (0, WINDOW - len(part)), constant_values=32))
-            where.append((k, start))
-            if len(rows) >= most:
-                flush()
-    flush()
+    found: list[list[Span]] = [[] for _ in texts]
+    todo = [(k, start) for k, text in enumerate(texts) for start in windows(text)]
+    width, stride = WINDOW, STRIDE
+    while todo:
+        cut: list[tuple[int, Span]] = []
+        each = max(1, most * WINDOW // width)
+        for at in range(0, len(todo), each):
+            some = todo[at : at + each]
+            rows = [coded(texts[k][start : start + width]) for k, start in some]
+            rows = [np.pad(x, (0, width - len(x)), constant_values=32) for x in rows]
+            for (k, start), path in zip(some, tagger.decode(np.stack(rows)), strict=True):
+                for kind, i, j in runs(path):
+                    a, b = trimmed(kind, texts[k], start + i, start + j)
+                    if (a == start and start) or (j == width and start + width < len(texts[k])):
+                        cut.append((k, (kind, a, max(b, a + 1))))
+                    elif plausible(kind, texts[k][a:b]):
+                        found[k].append((kind, a, b))
+        width, stride = 2 * width, 2 * stride
+        known = {k: Covered([*base[k], *found[k]]) for k in {k for k, _ in cut}}
+        todo = sorted({(k, n * stride) for k, (kind, a, b) in cut if not known[k].meets(a, b) and not hopeless(kind, texts[k][a:b]) for n in around(a, stride) if n >= 0})
     return [(b, reconciled(f, b) if f else []) for f, b in zip(found, base, strict=True)]
 
 
@@ -388,14 +435,15 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def find_pii(docs: DataFrame, tagger: Tagger | None = None, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
-    """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added[, clean]) for every row; with `keep`, those columns instead of the id.
+    """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_spans[, clean]) for every row; with `keep`, those columns instead of the id.
     `prefix` goes before the new names, where kept columns could clash with them.
 
     Null text counts as empty. The counts and base_sha256 are of the base spans, spans has base and
     added ones, n_added counts the latter. Base spans of different kinds may overlap; added ones
     overlap nothing. Offsets are code points, ends exclusive. clean, if asked for, is the text with
-    spans masked (null where text is null). Texts of any length are read whole: patterns run over all of it,
-    windows cover everything within reach of a digit, an @ or a written-out at, one of which every span holds.
+    spans masked (null where text is null). n_spans counts all. Texts of any length are read whole: patterns run over
+    all of it, windows hold every digit, @ and written-out at, one of which every span holds, and grow with the spans
+    that they cut, so a span may have any length. Repeated rows and ids, and rows without an id, have a row each.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tagger or trained())
 
@@ -411,17 +459,18 @@ def find_pii(docs: DataFrame, tagger: Tagger | None = None, id_col: str = "doc_i
             base = [ordered(b) for b, _ in got]
             every = [ordered([*b, *more]) for b, more in got]
             out = [*batch.columns[: len(columns)]] + [pa.array([sum(s[0] == kind for s in b) for b in base], pa.int64()) for kind in KINDS]
-            out += [pa.array([hashlib.sha256(joined(b).encode()).hexdigest() for b in base], pa.string()), pa.array([joined(b) for b in every], pa.string()), pa.array([len(more) for _, more in got], pa.int64())]
+            out += [pa.array([hashlib.sha256(joined(b).encode()).hexdigest() for b in base], pa.string()), pa.array([joined(b) for b in every], pa.string()), pa.array([len(more) for _, more in got], pa.int64()), pa.array([len(x) for x in every], pa.int64())]
             if with_text:
                 out.append(pa.array([x if x is None else masked(x, s) for x, s in zip(values, every, strict=True)], pa.string()))
             yield pa.RecordBatch.from_arrays(out, schema.names)
 
-    new = [*[(f"n_{k}", LongType()) for k in KINDS], ("base_sha256", StringType()), ("spans", StringType()), ("n_added", LongType()), *[("clean", StringType())] * with_text]
+    new = [*[(f"n_{k}", LongType()) for k in KINDS], ("base_sha256", StringType()), ("spans", StringType()), ("n_added", LongType()), ("n_spans", LongType()), *[("clean", StringType())] * with_text]
     schema = StructType([*rows.schema.fields[: len(columns)], *[StructField(prefix + n, t) for n, t in new]])
     return rows.mapInArrow(run, schema)
 
 
 def op4_pii(spark, sf_dir: str) -> DataFrame:
+    """doc_id, counts and digest of the base spans, and all spans of every document."""
     from corposcope.llm.common import table
 
     return find_pii(table(spark, sf_dir, "documents"))
