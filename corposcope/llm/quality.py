@@ -102,21 +102,22 @@ def fit(good: list[str], bad: list[str], share_good: float, size: int = 64 << 10
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, chars_per_doc: int = 20_000) -> QualityModel:
     """Fits on labelled rows. The sample is bounded by its parameters: `per_class` rows of each class,
     those with the smallest hash of doc_id, and `chars_per_doc` characters of each. Rows without a
-    quality of 0 or 1 are left out."""
-    known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    quality of 0 or 1, or without an id, are left out; an id with both labels counts as good. Rows of documents that
+    repeat an id are all used."""
+    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     shares = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     of: dict[int, list[str]] = {0: [], 1: []}
-    for y in (0, 1):
-        ids = known.where(F.col("quality") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).select("doc_id")
-        rows = docs.where("text <> ''").join(F.broadcast(ids), "doc_id").select("doc_id", F.substring("text", 1, chars_per_doc).alias("text"))
-        of[y] = [r["text"] for r in sorted(rows.collect(), key=lambda r: (r["doc_id"], r["text"]))]
+    first = lambda y: known.where(F.col("quality") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+    rows = docs.where("text <> ''").select("doc_id", F.substring("text", 1, chars_per_doc).alias("text")).join(F.broadcast(first(0).unionByName(first(1))), "doc_id")
+    for r in sorted(rows.collect(), key=lambda r: (r["doc_id"], r["text"])):
+        of[r["quality"]].append(r["text"])
     return fit(of[1], of[0], shares.get(1, 0) / sum(shares.values()) if shares else 0.5)
 
 
 def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, predicted) for every row, from the whole text alone.
 
-    Null and empty texts get the share of label 1 as their score. predicted is 1 from a score of 0.5 on.
+    Repeated rows and ids, and rows without an id, have a row each; other columns are ignored. Null and empty texts get the share of label 1 as their score. predicted is 1 from a score of 0.5 on.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -131,6 +132,7 @@ def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document; learned from labels of rows that are not held out."""
     from corposcope.llm.common import table
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
