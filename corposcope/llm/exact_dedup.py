@@ -69,6 +69,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 of every document."""
     from corposcope.llm.common import table
 
     return exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -294,6 +294,7 @@ def identify(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_co
 
 
 def op1_lang_id(spark, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every document; learned from rows that are not held out."""
     import public_tokenizers
 
     from corposcope.llm.common import table

@@ -262,6 +262,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, windows: int =
 
 
 def op7_packing(spark, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece of every document, in sequences of 2048 ids."""
     import public_tokenizers
 
     from corposcope.llm.common import table

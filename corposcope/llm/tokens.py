@@ -126,6 +126,7 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
 
 
 def op10_byte_bpe(spark, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     import public_tokenizers
 
     from corposcope.llm.common import table

@@ -34,7 +34,8 @@ def bare_sha1(digest: bytes) -> str:
 def with_kinds(pages: DataFrame, least: int = 0, id_col: str = "page_id", body_col: str = "html") -> DataFrame:
     """Adds payload (binary), payload_bytes, sha1, record_type and refers_to.
 
-    Null bodies are empty payloads; rows without an id are responses. Of equal payloads (SHA-1, SHA-256 and length agree) of at least `least` bytes the
+    Columns of the caller with these names, or named first or sha256, are replaced or dropped. Null bodies are empty
+    payloads; rows without an id are responses. Of equal payloads (SHA-1, SHA-256 and length agree) of at least `least` bytes the
     smallest id is the response, the others are revisits of it. Digests are counted in partial aggregates; only those
     that occur twice or more are joined back, from a written table, so a payload that a third of the rows share can be split.
     """
@@ -51,16 +52,19 @@ def with_kinds(pages: DataFrame, least: int = 0, id_col: str = "page_id", body_c
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", chunk: int = CHUNK) -> DataFrame:
     """Writes the rows of with_kinds() as gzipped WARC files, one a partition; returns (path, records, bytes).
 
-    Payloads are handed to the writer as chunk rows (record, chunk number, bytes), so a worker holds one chunk.
+    Payloads are handed to the writer as chunk rows (record, chunk number, bytes), each cut from the payload when it is
+    its turn. The JVM holds the row that it reads, a Python worker an Arrow batch of chunks (bounded by Spark's
+    arrow.maxBytesPerBatch, and a chunk at least), never a whole payload.
     A file is named by its task attempt; only the files that the returned table names are complete, so a lost
     executor or a repeated attempt leaves no record twice. Null URLs are written as urn:page:<id>,
     and control characters and spaces are taken out of URLs.
     """
     size = F.when(F.col("record_type") == "response", F.col("payload_bytes")).otherwise(0)
-    pieces = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(size / chunk).cast("int") - 1)), lambda i: F.when(size > 0, F.substring("payload", i * chunk + 1, F.lit(chunk))).otherwise(F.lit(b"")))
+    numbers = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(size / chunk).cast("int") - 1))
+    piece = F.when(size > 0, F.substring("payload", F.col("chunk") * chunk + 1, F.lit(chunk))).otherwise(F.lit(b""))
     url = F.coalesce(F.regexp_replace(F.col(url_col), r"[\x00-\x20\x7f]", ""), F.concat(F.lit("urn:page:"), F.col(id_col).cast("string")))
-    rows = pages.select(
-        F.col(id_col).cast("string").alias("id"), url.alias("url"), "record_type", F.col("refers_to").cast("string").alias("refers_to"), "payload_bytes", F.unhex("sha1").alias("sha1"), F.posexplode(pieces).alias("chunk", "data")
+    rows = pages.select("*", F.explode(numbers).alias("chunk")).select(
+        F.col(id_col).cast("string").alias("id"), url.alias("url"), "record_type", F.col("refers_to").cast("string").alias("refers_to"), "payload_bytes", F.unhex("sha1").alias("sha1"), "chunk", piece.alias("data")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +170,7 @@ CHUNK_TABLE = "record_id string, record_type string, refers_to string, url strin
 
 def read_archives(archives: DataFrame, folder: str, chunk: int = CHUNK, files_per_task: int = 1) -> DataFrame:
     """The chunk table of the archives that write_archives() returned: rows of record id and chunk number, each with
-    the bytes and the SHA-1 of the payload so far. A worker holds one chunk and one block of a file."""
+    the bytes and the SHA-1 of the payload so far. A worker holds one chunk, or as many small ones, and one block of a file."""
     names = [x.strip().split(" ")[0] for x in CHUNK_TABLE.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,6 +198,7 @@ def read_archives(archives: DataFrame, folder: str, chunk: int = CHUNK, files_pe
 
 
 def op6_warc(spark, sf_dir: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every page, as read back from the archives; a page_id that is no integer comes back as null."""
     from corposcope.llm.common import table
 
     folder = scratch_path(spark, "warc")

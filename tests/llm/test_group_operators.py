@@ -10,25 +10,12 @@ import numpy as np
 import pytest
 
 import brute
+from brute import bags_of, union_find, weighted_jaccard
 from corposcope.llm import common, exact_dedup, line_dedup, near_dedup, vectors, warc
 
 SF = "/root/testdata/sf0.001"
 
 
-def union_find(nodes, links):
-    root = {v: v for v in nodes}
-
-    def find(v):
-        while root[v] != v:
-            v = root[v]
-        return v
-
-    for a, b in links:
-        x, y = find(a), find(b)
-        root[max(x, y)] = min(x, y)
-    return {v: find(v) for v in nodes}
-
-
 def test_components(spark):
     rng = random.Random(3)
     links = [(i, i + 1) for i in range(100, 140)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(30)] + [(200, x) for x in range(201, 260)] + [(7, 7)]
@@ -125,15 +112,6 @@ def test_shared_passage_goes_from_later_documents_only(spark):
     assert got == {2: [1, 2, 3, 4, 5]}
 
 
-def weighted_jaccard(a, b):
-    both = sum((a & b).values())
-    return both / (sum(a.values()) + sum(b.values()) - both)
-
-
-def bags_of(texts):
-    return {i: Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) for i, t in texts.items() if (w := (t or "").lower().split())}
-
-
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(0)
     a = {int(k): int(w) for k, w in zip(rng.integers(1, 1 << 60, 40), rng.integers(1, 30, 40), strict=True)}

@@ -57,8 +57,9 @@ def test_lines(spark, docs):
 def test_near_duplicates(spark, docs):
     out = corpus_pipeline.near_duplicates(spark, docs, SF)
     assert out.columns == docs.columns
-    kept = {r["doc_id"] for r in near_dedup.near_groups(docs).where("kept").collect()} - {None}
-    assert {r["doc_id"] for r in out.collect()} - {None} == kept
+    rows = docs.select("doc_id", "text").collect()
+    want = {(c, next(r["text"] for r in rows if r["doc_id"] == c)) for c in brute.near_classes({r["doc_id"]: r["text"] for r in rows if r["doc_id"] is not None}).values()}
+    assert {(r["doc_id"], r["text"]) for r in out.collect()} == want | {(None, "the one without an id of them all")} and out.count() == len(want) + 1
 
 
 def test_near_duplicates_null_and_repeated_ids(spark):
@@ -80,6 +81,43 @@ def test_personal_data(spark, docs):
     assert not [r for r in out.collect() if pii.base_spans(r["text"] or "")]
 
 
-def test_whole_run(spark):
-    rows = corpus_pipeline.run(spark, SF)
-    assert {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"} == set(rows.columns) and rows.count() > 100
+def ids_of(texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    of = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    return {i: [*of.encode(t or "", add_special_tokens=False).ids, 1] for i, t in texts.items()}
+
+
+def test_packed(spark, docs):
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = [tuple(r) for r in corpus_pipeline.packed(spark, docs, SF).orderBy("doc_id", "start").collect()]
+    assert brute.check_packing(rows, ids_of(texts), 2048) < 0.01
+
+
+def test_whole_run(spark, tmp_path):
+    """Every row followed through all stages by plain versions of them; only the language is asked of the stage itself."""
+    base = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 4000")
+    copy = base.where("doc_id < 20").withColumn("doc_id", F.col("doc_id") + 5000)
+    repeated = base.where("doc_id = 30 or doc_id = 31").withColumn("doc_id", F.lit(7000).cast("long"))
+    base.unionByName(copy).unionByName(repeated).coalesce(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.language(spark, docs, str(tmp_path)).collect()]
+    assert len(kept) > 100
+    # rows that repeat an id come in the order of a hash of their text
+    hashes = {r["text"]: r["h"] for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    keyed = {(i, hashes[t]): t for i, t in kept}
+    gone = brute.lines_to_delete(keyed)
+    lines = {k: brute.without(t, gone.get(k, [])) for k, t in keyed.items()}
+    lines = {k: t for k, t in lines.items() if k not in gone or t.strip()}
+    classes = brute.near_classes(lines)
+    best = {}
+    for k in lines:
+        best[classes[k]] = min(best.get(classes[k], k), k)
+    left = {k[0]: lines[k] for k in best.values()}
+    tagger = pii.trained()
+    clean = {i: pii.masked(t, pii.ordered([s for part in pii.tag([t], tagger)[0] for s in part])) for i, t in left.items()}
+    assert len(clean) == len(best) and any(clean[i] != left[i] for i in clean)
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert brute.check_packing([tuple(r) for r in out.orderBy("doc_id", "start").collect()], ids_of(clean), 2048) < 0.05

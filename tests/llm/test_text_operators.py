@@ -1,11 +1,11 @@
 """Language, quality, personal data, token ids, packing: small fixtures, odd rows, brute force."""
 
 import hashlib
-import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+from brute import check_packing
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -111,6 +111,40 @@ def test_quality_held_out(spark):
     assert got.agg(F.avg((F.col("predicted") == F.col("quality")).cast("int"))).first()[0] > 0.95
 
 
+def plain_score(model, text):
+    """The score by compressing each block of 4 KB anew, with the library's plain objects."""
+    import zstandard
+
+    raw = text.encode()
+    size = lambda d: sum(len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_checksum=False, write_content_size=False, write_dict_id=False).compress(raw[k : k + 4096])) for k in range(0, len(raw), 4096))
+    good, bad = size(model.good), size(model.bad)
+    return (bad - good) / (bad + good)
+
+
+def test_quality_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    m = quality.train(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.where("text <> ''").collect()}
+    some = sorted(texts)[::9]
+    got = {r["doc_id"]: (r["score"], r["predicted"]) for r in quality.score(docs, m).collect()}
+    for i in some:
+        want = 1 / (1 + np.exp(-(m.slope * plain_score(m, texts[i]) + m.offset)))
+        assert np.isclose(got[i][0], want, atol=1e-9) and got[i][1] == int(got[i][0] >= 0.5)
+    # the curve: no step in any direction gives the fitted texts a better likelihood
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(0.1, 0.1, 200), rng.normal(-0.1, 0.1, 150)])
+    y = np.repeat([1.0, 0.0], [200, 150])
+    slope, offset = quality.calibrated(x, y, ridge=1e-9)
+
+    def likelihood(a, b):
+        p = 1 / (1 + np.exp(-(a * x + b)))
+        return float((y * np.log(p) + (1 - y) * np.log(1 - p)).sum())
+
+    best = likelihood(slope, offset)
+    assert all(likelihood(slope + a, offset + b) < best for a, b in ((0.5, 0), (-0.5, 0), (0, 0.05), (0, -0.05), (0.4, 0.04), (-0.4, 0.04)))
+
+
 def test_quality_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(5, 1), (6, 0), (6, 1), (8, None), (None, 1)], "doc_id long, quality int")
     m = quality.train(odd, labels)
@@ -260,25 +294,6 @@ def packed_rows(df, **kw):
     return [tuple(r) for r in packing.pack(df, WORDS, **kw).orderBy("doc_id", "start").collect()]
 
 
-def check_packing(rows, ids, size):
-    at, sequences = {}, {}
-    for doc, start, length, crc, total, sequence, offset in rows:
-        assert at.get(doc, 0) == start and length > 0 and total == len(ids[doc])
-        assert crc == zlib.crc32(np.asarray(ids[doc][start : start + length], "<u4").tobytes())
-        at[doc] = start + length
-        sequences.setdefault(sequence, []).append((offset, length))
-    assert at == {k: len(v) for k, v in ids.items()}
-    padding = 0
-    for pieces in sequences.values():
-        used = 0
-        for offset, length in sorted(pieces):
-            assert offset == used
-            used += length
-        assert used <= size
-        padding += 0 if used & (used - 1) == 0 else size - used
-    return padding / max(1, sum(map(len, ids.values())))
-
-
 @pytest.mark.parametrize("size,windows,merge", [(2048, 16, 32), (64, 2, 2)])
 def test_packing(spark, docs, size, windows, merge):
     from tokenizers import Tokenizer
