@@ -314,15 +314,17 @@ def plausible(kind: str, text: str) -> bool:
     return 16 <= n <= 19 and luhn("".join(numbers)) if kind == "card" else 8 <= n <= 15
 
 
-def hopeless(kind: str, text: str) -> bool:
-    """Whether no longer span around a fragment can be plausible."""
+def hopeful(kind: str, text: str) -> bool:
+    """Whether a longer span around a fragment can be plausible. An address holds its sign, so the windows that hold the
+    sign answer for it; numbers have few digits, and no more than WINDOW characters."""
     if kind == "email":
-        return len(AT.findall(text)) > 1 or bool(re.search(r"\s\S+\s\S+\s\S+\s\S+\s\S+\s", text))
-    return len(re.findall("[0-9]", text)) > {"ip": 12, "card": 19, "phone": 15}[kind] or bool(re.search(r"[^\W\d_]", text))
+        return len(AT.findall(text)) == 1 and not re.search(r"\s", DOTS.sub(".", AT.sub("@", text)).strip())
+    return len(text) <= WINDOW and len(re.findall("[0-9]", text)) <= {"ip": 12, "card": 19, "phone": 15}[kind] and not re.search(r"[^\W\d_]", text)
 
 
 #: The sign between the sides of an address, and a dot of its host; both may be written out.
 AT = re.compile(r"\s*(?:@|[(\[{]\s?at\s?[)\]}])\s*", re.I)
+DOTS = re.compile(r"\s?[(\[{]\s?dot\s?[)\]}]\s?", re.I)
 DOT = re.compile(r"[A-Za-z0-9-](?:\.|\s?[(\[{]\s?dot\s?[)\]}]\s?)[A-Za-z0-9-]+", re.I)
 
 
@@ -420,7 +422,7 @@ def tag(texts: list[str], tagger: Tagger, most: int = 1024) -> list[tuple[list[S
                         found[k].append((kind, a, b))
         width, stride = 2 * width, 2 * stride
         known = {k: Covered([*base[k], *found[k]]) for k in {k for k, _ in cut}}
-        todo = sorted({(k, n * stride) for k, (kind, a, b) in cut if not known[k].meets(a, b) and not hopeless(kind, texts[k][a:b]) for n in around(a, stride) if n >= 0})
+        todo = sorted({(k, n * stride) for k, (kind, a, b) in cut if not known[k].meets(a, b) and hopeful(kind, texts[k][a:b]) for n in around(a, stride) if n >= 0})
     return [(b, reconciled(f, b) if f else []) for f, b in zip(found, base, strict=True)]
 
 
