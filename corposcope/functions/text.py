@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,7 +20,6 @@ FUNCTION_CHARS = "的一了是在和与也都就而或把被让给再并及时
 TIMESTAMP = r"\[?\d{1,2}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?\]?"
 SENTENCE = r"[^。！？!?；;\r\n]+"
 TOKEN = r"[a-z0-9]+(?:\.[0-9]+)?|[\x{4e00}-\x{9fff}]+"
-LEXICAL = r"^(?:[a-z][a-z0-9_+.-]*|[\x{4e00}-\x{9fff}]+)$"
 
 #: Stated in outputs that depend on it; another tokenizer is any function from a text column to an array column.
 TOKENIZER = "ascii-words+cjk-runs"
@@ -34,8 +34,17 @@ def clean(text: Column | str) -> Column:
     return F.trim(F.regexp_replace(_col(text), r"(?U)\s+", " "))
 
 
+def without_times(text: Column | str) -> Column:
+    return F.regexp_replace(_col(text), TIMESTAMP, "")
+
+
 def clean_fragment(text: Column | str) -> Column:
-    return clean(F.regexp_replace(_col(text), TIMESTAMP, ""))
+    return clean(without_times(text))
+
+
+def has_fragment(text: Column | str) -> Column:
+    """Whether anything but time stamps, sentence ends and white space is in a text."""
+    return without_times(F.coalesce(_col(text), F.lit(""))).rlike(r"(?U)[^。！？!?；;\s]")
 
 
 def sentences(text: Column | str) -> Column:
@@ -56,7 +65,7 @@ def sentence_count(text: Column | str) -> Column:
 def tokens(text: Column | str) -> Column:
     """Lexical tokens, lower case: ASCII words that start with a letter, and CJK runs."""
     found = F.regexp_extract_all(F.lower(_col(text)), F.lit(TOKEN), F.lit(0))
-    return F.filter(found, lambda x: x.rlike(LEXICAL))
+    return F.filter(found, lambda x: ~F.left(x, F.lit(1)).between("0", "9"))
 
 
 def is_term(token: Column) -> Column:
@@ -83,15 +92,24 @@ def windows(words: Column, low: int = 2, high: int = 6) -> Column:
     return F.concat(*[of(n) for n in range(low, high + 1)])
 
 
+def holds_any(low: Column, keywords: Sequence[str]) -> Column:
+    """Whether any keyword is in a text that is lower case."""
+    return reduce(Column.__or__, [F.contains(low, F.lit(k.lower())) for k in keywords], F.lit(False))
+
+
 def has_any(text: Column, keywords: Sequence[str]) -> Column:
     """Whether any keyword is in the text, case aside."""
-    low = F.lower(text)
-    return F.exists(F.array(*[F.lit(k.lower()) for k in keywords]), lambda k: F.contains(low, k)) if keywords else F.lit(False)
+    return holds_any(F.lower(text), keywords)
 
 
 def labels(text: Column, groups: Mapping[str, Sequence[str]]) -> Column:
     """Labels of all groups with a keyword in the text, in the order of the groups."""
-    return F.array_compact(F.array(*[F.when(has_any(text, ks), F.lit(name)) for name, ks in groups.items()]))
+    return labels_in(F.lower(text), groups)
+
+
+def labels_in(low: Column, groups: Mapping[str, Sequence[str]]) -> Column:
+    """labels() of a text that is lower case."""
+    return F.array_compact(F.array(*[F.when(holds_any(low, ks), F.lit(name)) for name, ks in groups.items()]))
 
 
 def first_with(parts: Column, keywords: Sequence[str], limit: int = 180) -> Column:

@@ -1,11 +1,13 @@
 """Terms, phrases and topics of a corpus, with the fragments they stand in.
 
-Documents are rows (video_id, title, text); title may be null. Aggregates are partial before every shuffle.
+Documents are rows (video_id, title, text); title may be null. A video_id is unique; where it isn't, each row is a
+document. Tokens never reach over the end of a sentence, so frequencies come from whole texts in one pass, and
+fragments are made only where their ids are asked for. Aggregates are partial before every shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corposcope.functions import ratios, text
@@ -15,18 +17,15 @@ from corposcope.sources.scratch import written
 def fragments(docs: DataFrame) -> DataFrame:
     """(video_id, kind, n, fragment_id, text): the title, then the sentences, numbered from 1 over the non-empty ones."""
     title = text.clean_fragment(F.coalesce("title", F.lit("")))
-    titled = docs.select("video_id", F.lit("title").alias("kind"), F.lit(0).alias("n"), F.concat("video_id", F.lit("#title")).alias("fragment_id"), title.alias("text")).where("text <> ''")
-    said = docs.select("video_id", F.posexplode(text.sentences("text")).alias("n", "text")).select(
-        "video_id", F.lit("transcript").alias("kind"), (F.col("n") + 1).alias("n"), F.concat("video_id", F.lit("#transcript:"), F.lpad((F.col("n") + 1).cast("string"), 4, "0")).alias("fragment_id"), "text"
-    )
-    return titled.unionByName(said)
+    said = docs.select("video_id", F.posexplode(F.concat(F.array(title), text.sentences("text"))).alias("n", "text")).where("text <> ''")
+    titled = F.col("n") == 0
+    number = F.concat(F.lit("#transcript:"), F.lpad(F.col("n").cast("string"), F.greatest(F.lit(4), F.length(F.col("n").cast("string"))), "0"))
+    return said.select("video_id", F.when(titled, "title").otherwise("transcript").alias("kind"), "n", F.concat("video_id", F.when(titled, "#title").otherwise(number)).alias("fragment_id"), "text")
 
 
 def analysed(docs: DataFrame) -> DataFrame:
     """One row: how many documents have a fragment."""
-    said = F.size(text.sentences("text")) > 0
-    titled = text.clean_fragment(F.coalesce("title", F.lit(""))) != ""
-    return docs.agg(F.count_if(said | titled).alias("n_docs"))
+    return docs.agg(F.count_if(text.has_fragment("text") | text.has_fragment("title")).alias("n_docs"))
 
 
 def term_rows(docs: DataFrame, tokenizer=text.tokens) -> DataFrame:
@@ -34,14 +33,27 @@ def term_rows(docs: DataFrame, tokenizer=text.tokens) -> DataFrame:
     return fragments(docs).select("video_id", "kind", "fragment_id", F.explode(tokenizer(F.col("text"))).alias("term")).where(text.is_term(F.col("term")))
 
 
+def occurrences(docs: DataFrame, tokenizer=text.tokens) -> DataFrame:
+    """(video_id, term, hits): what each document gives for the counts of its terms, hits being 0 for an occurrence,
+    1 for its first one in the document, 2 for its first one in the title. One pass, before any shuffle."""
+    title, said = (tokenizer(text.without_times(F.coalesce(c, F.lit("")))) for c in ("title", "text"))
+    split = docs.select("video_id", title.alias("title"), F.concat(title, said).alias("every"))
+    marked = lambda c, hit: F.transform(c, lambda t: F.struct(t.alias("term"), F.lit(hit).alias("hits")))
+    rows = F.concat(marked(F.col("every"), 0), marked(F.array_distinct("every"), 1), marked(F.array_distinct("title"), 2))
+    return split.select("video_id", F.inline(rows))
+
+
+def _counts(*more: Column) -> list[Column]:
+    named = lambda hit, name: F.count_if(F.col("hits") == hit).alias(name)
+    return [named(1, "document_frequency"), named(0, "total_frequency"), named(2, "title_document_frequency"), *more]
+
+
 def term_evidence(docs: DataFrame, tokenizer=text.tokens) -> DataFrame:
-    """Document, title and total frequency of each term, and the share of documents that have it."""
-    per_doc = term_rows(docs, tokenizer).groupBy("term", "video_id").agg(F.count("*").alias("n"), F.max((F.col("kind") == "title").cast("int")).alias("titled"))
-    found = per_doc.groupBy("term").agg(
-        F.count("*").alias("document_frequency"),
-        F.sum("n").alias("total_frequency"),
-        F.sum("titled").alias("title_document_frequency"),
-    )
+    """Document, title and total frequency of each term, and the share of documents that have it.
+
+    One shuffle, of counts by term; whether a token is a term is asked once for each.
+    """
+    found = occurrences(docs, tokenizer).groupBy("term").agg(*_counts()).where(text.is_term(F.col("term")))
     return found.crossJoin(F.broadcast(analysed(docs))).withColumn("coverage_ratio", ratios.floored_ratio(F.col("document_frequency"), F.col("n_docs"))).drop("n_docs")
 
 
@@ -54,8 +66,9 @@ def top_terms(docs: DataFrame, limit: int, tokenizer=text.tokens) -> DataFrame:
 
 
 def term_sources(docs: DataFrame, terms: DataFrame, tokenizer=text.tokens) -> DataFrame:
-    """(term, representative_video_ids, source_fragment_ids) of chosen terms, sorted."""
-    rows = term_rows(docs, tokenizer).join(terms.select("term"), "term", "left_semi")
+    """(term, representative_video_ids, source_fragment_ids) of chosen terms, sorted. A list is as long as the frequency
+    of its term, so this is for the few terms of a report."""
+    rows = term_rows(docs, tokenizer).join(F.broadcast(terms.select("term")), "term", "left_semi")
     return rows.groupBy("term").agg(F.sort_array(F.collect_set("video_id")).alias("representative_video_ids"), F.sort_array(F.collect_set("fragment_id")).alias("source_fragment_ids"))
 
 
@@ -66,40 +79,77 @@ def raw_token_counts(docs: DataFrame, stop=("这个", "一个", "我们", "你
 
 
 def phrase_rows(docs: DataFrame, tokenizer=text.tokens) -> DataFrame:
-    """(video_id, fragment_id, phrase, n_tokens) of every window of two to six tokens that can be a phrase."""
-    said = fragments(docs).select("video_id", "fragment_id", tokenizer(F.col("text")).alias("tokens")).where(F.size("tokens") >= 2)
-    runs = said.select("video_id", "fragment_id", F.explode(text.windows(F.col("tokens"))).alias("run"))
+    """(video_id, fragment_id, n_fragment, phrase, n_tokens) of every window of two to six tokens that can be a phrase."""
+    said = fragments(docs).select("video_id", "fragment_id", "n", tokenizer(F.col("text")).alias("tokens")).where(F.size("tokens") >= 2)
+    runs = said.select("video_id", "fragment_id", F.col("n").alias("n_fragment"), F.explode(text.windows(F.col("tokens"))).alias("run"))
     phrase = text.joined_phrase(F.col("run"))
     visible = F.length(F.translate("phrase", " ", ""))
     terms = F.size(F.filter("run", text.is_term))
     fit = (terms >= 2) & visible.between(4, 32) & (F.size(F.array_distinct(F.split("phrase", ""))) > 2)
-    return runs.withColumn("phrase", phrase).where(fit).select("video_id", "fragment_id", "phrase", F.size("run").alias("n_tokens"))
+    return runs.withColumn("phrase", phrase).where(fit).select("video_id", "fragment_id", "n_fragment", "phrase", F.size("run").alias("n_tokens"))
 
 
-def doc_set():
-    """Identity of a set of documents as an aggregate of fixed size: count, sum and xor of id hashes."""
-    return F.concat_ws(":", F.count("video_id"), F.sum(F.xxhash64("video_id").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("video_id", F.lit(1))))
+def doc_set() -> Column:
+    """Identity of a set of documents as an aggregate of fixed size over its ids, each met once: count, sum and xor of hashes."""
+    return F.concat_ws(":", F.count("video_id"), F.sum(F.shiftrightunsigned(F.xxhash64("video_id"), 32)), F.bit_xor(F.xxhash64("video_id", F.lit(1))))
+
+
+def ranked_phrases(docs: DataFrame, least_docs: int = 2, tokenizer=text.tokens) -> DataFrame:
+    """(phrase, document_frequency, total_frequency, n_tokens, docs, rank) of the phrases of `least_docs` documents or more.
+
+    Ranks: documents, tokens, occurrences (all descending), phrase. The tokens of a phrase are those of its last
+    occurrence, by document, fragment and length.
+    """
+    per_doc = phrase_rows(docs, tokenizer).groupBy("phrase", "video_id").agg(F.count("*").alias("n"), F.max(F.struct("n_fragment", "n_tokens")).alias("last"))
+    found = per_doc.groupBy("phrase").agg(F.count("*").alias("document_frequency"), F.sum("n").alias("total_frequency"), F.max(F.struct("video_id", "last"))["last"]["n_tokens"].cast("long").alias("n_tokens"), doc_set().alias("docs"))
+    rank = F.struct(F.negative("document_frequency").alias("a"), F.negative("n_tokens").alias("b"), F.negative("total_frequency").alias("c"), F.col("phrase").alias("d"))
+    return found.where(F.col("document_frequency") >= least_docs).withColumn("rank", rank)
 
 
 def repeated_phrases(docs: DataFrame, least_docs: int = 2, tokenizer=text.tokens) -> DataFrame:
     """Phrases of `least_docs` documents or more, but those inside a phrase of the same documents that ranks before them.
 
-    Ranks: documents, tokens, occurrences (all descending), phrase. A phrase inside another is found by an equi join
-    on its text and the document set: phrases have 37 characters at most, so each gives a bounded number of substrings.
-    First each phrase meets only itself less its first or last word. The phrase that ranks first of those around another
-    is inside none itself, so all substrings are needed of what this leaves only.
+    A phrase inside another is found by an equi join on its text and the document set: phrases have 37 characters at
+    most, so each gives a bounded number of substrings. First each phrase meets only itself less its first or last
+    word. The phrase that ranks first of those around another is inside none itself, so all substrings are needed of
+    what this leaves only.
     """
-    per_doc = phrase_rows(docs, tokenizer).groupBy("phrase", "video_id").agg(F.count("*").alias("n"), F.max("n_tokens").alias("n_tokens"))
-    found = per_doc.groupBy("phrase").agg(F.count("*").alias("document_frequency"), F.sum("n").alias("total_frequency"), F.max("n_tokens").cast("long").alias("n_tokens"), doc_set().alias("docs"))
-    rank = F.struct(F.negative("document_frequency").alias("a"), F.negative("n_tokens").alias("b"), F.negative("total_frequency").alias("c"), F.col("phrase").alias("d"))
-    ranked = written(found.where(F.col("document_frequency") >= least_docs).withColumn("rank", rank), "phrases")
+    ranked = written(ranked_phrases(docs, least_docs, tokenizer), "phrases")
     left = written(_outermost(ranked, _one_less), "phrases")
-    kept = _outermost(left, _inside).crossJoin(F.broadcast(analysed(docs)))
+    return _with_confidence(_outermost(left, _inside), docs)
+
+
+def _with_confidence(phrases: DataFrame, docs: DataFrame) -> DataFrame:
+    kept = phrases.crossJoin(F.broadcast(analysed(docs)))
     kept = kept.withColumn("coverage_ratio", ratios.floored_ratio(F.col("document_frequency"), F.col("n_docs")))
     level, score = ratios.phrase_confidence(F.col("document_frequency"), F.col("coverage_ratio"))
     return kept.select("phrase", "document_frequency", "total_frequency", "n_tokens", "coverage_ratio", level.alias("confidence_level"), score.alias("confidence_score"))
 
 
+def top_phrases(docs: DataFrame, limit: int = 40, least_docs: int = 2, tokenizer=text.tokens) -> DataFrame:
+    """The first `limit` of repeated_phrases() with their documents and fragments, and an id of phrase and documents.
+
+    Phrases are taken in the order of their rank, so only as many are looked at as it takes to keep `limit`; the lists
+    are of these alone, each as long as the frequency of its phrase.
+    """
+    ranked = written(ranked_phrases(docs, least_docs, tokenizer).drop("rank"), "phrases")
+    order = [F.desc("document_frequency"), F.desc("n_tokens"), F.desc("total_frequency"), F.col("phrase")]
+    most, kept = 64 * limit, []
+    while True:
+        rows = ranked.orderBy(*order).limit(most).select("phrase", "docs").collect()
+        kept = []
+        for phrase, where in rows:
+            if len(kept) < limit and not any(phrase in p and where == d for p, d in kept):
+                kept.append((phrase, where))
+        if len(kept) == limit or len(rows) < most:
+            break
+        most *= 4
+    chosen = docs.sparkSession.createDataFrame([(p,) for p, _ in kept], "phrase string")
+    sources = phrase_rows(docs, tokenizer).join(F.broadcast(chosen), "phrase", "left_semi").groupBy("phrase").agg(F.sort_array(F.collect_set("video_id")).alias("representative_video_ids"), F.sort_array(F.collect_set("fragment_id")).alias("source_fragment_ids"))
+    rows = _with_confidence(ranked.join(F.broadcast(chosen), "phrase", "left_semi"), docs).join(sources, "phrase")
+    return rows.withColumn("phrase_id", text.short_id("phrase", F.concat_ws("\n", "phrase", F.array_join("representative_video_ids", "\n"))))
+
+
 def _outermost(ranked: DataFrame, parts) -> DataFrame:
     """ranked less the phrases that are among the `parts` of one of the same documents that ranks before them."""
     inner = ranked.select("docs", F.col("rank").alias("outer"), F.explode(parts(F.col("phrase"))).alias("phrase"))
@@ -120,10 +170,14 @@ def _inside(phrase):
 
 def topic_groups(docs: DataFrame, tokenizer=text.tokens) -> DataFrame:
     """Terms of exactly the same documents: (docs, first_id, document_frequency, total_frequency, n_terms, terms ranked)."""
-    per_doc = term_rows(docs, tokenizer).groupBy("term", "video_id").agg(F.count("*").alias("n"))
-    terms = per_doc.groupBy("term").agg(doc_set().alias("docs"), F.count("*").alias("df"), F.min("video_id").alias("first_id"), F.sum("n").alias("tf"))
+    # first occurrences alone carry the id, so each document is met once in its set
+    rows = occurrences(docs, tokenizer).where("hits < 2").withColumn("video_id", F.when(F.col("hits") == 1, F.col("video_id")))
+    first = rows.withColumn("h", F.xxhash64("video_id")).withColumn("k", F.xxhash64("video_id", F.lit(1)))
+    once = F.col("hits") == 1
+    identity = F.concat_ws(":", F.count("video_id"), F.sum(F.when(once, F.shiftrightunsigned("h", 32))), F.bit_xor(F.when(once, F.col("k"))))
+    terms = first.groupBy("term").agg(identity.alias("docs"), F.count("video_id").alias("df"), F.min("video_id").alias("first_id"), F.count_if(F.col("hits") == 0).alias("tf"))
     many = docs.agg(F.when(F.count("*") <= 1, 1).otherwise(2).alias("least"))
-    terms = terms.crossJoin(F.broadcast(many)).where(F.col("df") >= F.col("least"))
+    terms = terms.crossJoin(F.broadcast(many)).where((F.col("df") >= F.col("least")) & text.is_term(F.col("term")))
     order = F.array_sort(F.collect_list(F.struct(F.negative("tf").alias("o"), F.negative(F.length("term")).alias("l"), F.col("term").alias("term"))))
     return terms.groupBy("docs", F.col("df").alias("document_frequency"), "first_id").agg(F.sum("tf").alias("total_frequency"), F.count("*").alias("n_terms"), F.transform(order, lambda x: x["term"]).alias("terms"))
 
@@ -136,17 +190,20 @@ def distinct_terms(terms, limit: int = 6):
 
 
 def topic_candidates(docs: DataFrame, limit: int = 12, tokenizer=text.tokens) -> DataFrame:
-    """The first `limit` topic groups with two distinct terms, with confidence and status."""
+    """The first `limit` topic groups with two distinct terms, with their documents, confidence and status.
+
+    Groups rank by documents and occurrences, both descending, then by their sorted ids; groups that tie beyond the
+    limit are kept until the ids, made for the chosen groups only, settle them.
+    """
     total = docs.agg(F.count_if((F.coalesce("title", F.lit("")) != "") | (F.coalesce("text", F.lit("")) != "")).alias("n_docs"))
-    groups = topic_groups(docs, tokenizer).withColumn("distinguishing_terms", distinct_terms(F.col("terms"))).where(F.size("distinguishing_terms") >= 2)
-    top = groups.orderBy(F.desc("document_frequency"), F.desc("total_frequency"), "first_id", F.element_at("terms", 1)).limit(limit).crossJoin(F.broadcast(total))
+    groups = written(topic_groups(docs, tokenizer).withColumn("distinguishing_terms", distinct_terms(F.col("terms"))).where(F.size("distinguishing_terms") >= 2).drop("terms"), "topics")
+    order = [F.desc("document_frequency"), F.desc("total_frequency")]
+    last = groups.orderBy(*order).limit(limit).agg(F.min(F.struct("document_frequency", "total_frequency")).alias("last"))
+    near = groups.join(F.broadcast(last), F.struct("document_frequency", "total_frequency") >= F.col("last")).withColumn("term", F.col("distinguishing_terms")[0])
+    ids = occurrences(docs, tokenizer).where("hits = 1").join(F.broadcast(near.select("term")), "term", "left_semi").groupBy("term").agg(F.sort_array(F.collect_list("video_id")).alias("video_ids"))
+    top = near.join(F.broadcast(ids), "term").orderBy(*order, "video_ids").limit(limit).crossJoin(F.broadcast(total))
     top = top.withColumn("coverage_ratio", ratios.floored_ratio(F.col("document_frequency"), F.col("n_docs")))
     level, score = ratios.topic_confidence(F.col("document_frequency"), F.col("coverage_ratio"), F.size("distinguishing_terms"))
+    ident = text.short_id("topic", F.concat_ws("\n", F.array_join("distinguishing_terms", "\n"), F.lit("--"), F.array_join("video_ids", "\n")))
     label = F.array_join(F.slice("distinguishing_terms", 1, 3), " / ")
-    ident = text.short_id("topic", F.concat_ws("\n", F.array_join("distinguishing_terms", "\n"), F.col("docs")))
-    return top.select(ident.alias("candidate_id"), label.alias("provisional_label"), "document_frequency", "total_frequency", "coverage_ratio", level.alias("confidence_level"), score.alias("confidence_score"), F.array_join("distinguishing_terms", ",").alias("distinguishing_terms"))
-
-
-def ranked(df: DataFrame, *order, name: str = "rank") -> DataFrame:
-    """Row numbers over a small result."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    return top.select(ident.alias("candidate_id"), label.alias("provisional_label"), "document_frequency", "total_frequency", "coverage_ratio", level.alias("confidence_level"), score.alias("confidence_score"), F.array_join("distinguishing_terms", ",").alias("distinguishing_terms"), "video_ids")
