@@ -45,27 +45,29 @@ def weighted_score(likes, favorites, shares, comments):
 
 
 def signals(docs: DataFrame, preset) -> DataFrame:
-    """Hook, argument, ending and contribution labels, and the boundary flag, of each document."""
+    """Hook, argument, ending and contribution labels, and the boundary flag, of each document.
+
+    What several labels look at is made once, in a projection of its own: the sentences and lower-case texts.
+    """
     title, body = F.coalesce("title", F.lit("")), F.coalesce("text", F.lit(""))
-    parts = text.sentences_with_ends(body)
-    first = F.concat_ws(" ", F.slice(parts, 1, 3))
-    last = F.concat_ws(" ", F.slice(parts, F.greatest(F.size(parts) - 2, F.lit(1)), F.lit(3)))
-    both = F.concat_ws(" ", title, body)
-    themes = text.labels(title, preset.themes)
+    made = docs.select("video_id", F.length(body).cast("long").alias("transcript_chars"), F.lower(title).alias("title"), F.lower(F.concat_ws(" ", title, body)).alias("both"), text.sentences_with_ends(body).alias("parts"))
+    first = F.lower(F.concat_ws(" ", F.slice("parts", 1, 3)))
+    last = F.lower(F.concat_ws(" ", F.slice("parts", F.greatest(F.size("parts") - 2, F.lit(1)), F.lit(3))))
+    made = made.withColumns({"first": F.when(F.length(first) > 0, first).otherwise(F.col("title")), "last": last, "themes": text.labels_in(F.col("title"), preset.themes)})
     none = F.array().cast("array<string>")
     pairs = [x for k, v in preset.contributions.items() for x in (F.lit(k), F.array(*[F.lit(y) for y in v]))]
-    given = F.flatten(F.transform(themes, lambda t: F.coalesce(F.element_at(F.create_map(*pairs), t), none))) if pairs else none
-    extra = F.array_compact(F.array(*[F.when(text.has_any(both, ks), F.lit(name)) for name, ks in preset.extra_contributions.items()]))
-    every = F.concat(given, extra)
-    return docs.select(
+    given = F.flatten(F.transform("themes", lambda t: F.coalesce(F.element_at(F.create_map(*pairs), t), none))) if pairs else none
+    every = F.concat(given, text.labels_in(F.col("both"), preset.extra_contributions))
+    return made.select(
         "video_id",
-        themes.alias("themes"),
-        text.labels(F.when(F.length(first) > 0, first).otherwise(title), preset.hooks).alias("hooks"),
-        text.labels(both, preset.arguments).alias("arguments"),
-        text.labels(last, preset.endings).alias("endings"),
+        "transcript_chars",
+        "themes",
+        text.labels_in(F.col("first"), preset.hooks).alias("hooks"),
+        text.labels_in(F.col("both"), preset.arguments).alias("arguments"),
+        text.labels_in(F.col("last"), preset.endings).alias("endings"),
         F.when(F.size(every) > 0, every).otherwise(F.array(F.lit("evidence:general_style"))).alias("contributions"),
-        (F.arrays_overlap(themes, F.array(*[F.lit(x) for x in preset.boundary_themes])) | text.has_any(both, preset.boundary_words)).alias("boundary"),
-        text.first_with(parts, preset.judgments).alias("judgment_sentence"),
+        (F.arrays_overlap("themes", F.array(*[F.lit(x) for x in preset.boundary_themes]).cast("array<string>")) | text.holds_any(F.col("both"), preset.boundary_words)).alias("boundary"),
+        text.first_with(F.col("parts"), preset.judgments).alias("judgment_sentence"),
     )
 
 
@@ -136,12 +138,15 @@ def coverage_gaps(members: DataFrame, records: DataFrame, state: DataFrame, limi
     return out.orderBy("priority", F.desc("score"), F.desc("transcript_chars"), "video_id").limit(limit)
 
 
-def short_forms(records: DataFrame, found: DataFrame) -> DataFrame:
-    """(pattern, strength, n) of hooks and endings of texts under 800 characters; weak ones have fewer than 300."""
-    chars = F.col("transcript_chars")
-    rows = records.where((chars > 0) & (chars < SHORT)).select("video_id", F.when(chars < 300, "weak").otherwise("normal").alias("strength")).join(found, "video_id", "left")
+def short_forms(docs: DataFrame, preset) -> DataFrame:
+    """(pattern, strength, n) of hooks and endings of texts under 800 characters; weak ones have fewer than 300.
+
+    Long texts are left out before anything is made of them; the only shuffle is of counts.
+    """
+    found = signals(docs.where((F.length("text") > 0) & (F.length("text") < SHORT)), preset)
     marks = F.concat(F.transform("hooks", lambda x: F.concat(F.lit("hook:"), x)), F.transform("endings", lambda x: F.concat(F.lit("ending:"), x)))
-    return rows.select("strength", F.explode(marks).alias("pattern")).groupBy("pattern", "strength").agg(F.count("*").alias("n"))
+    rows = found.select(F.when(F.col("transcript_chars") < 300, "weak").otherwise("normal").alias("strength"), F.explode(marks).alias("pattern"))
+    return rows.groupBy("pattern", "strength").agg(F.count("*").alias("n"))
 
 
 def periods(rows: DataFrame, order: Sequence, parts: int = 3, name: str = "period") -> DataFrame:

@@ -16,11 +16,13 @@ SECRET_MARKERS = ("APIKEY", "APPKEY", "PRIVATEKEY", "ACCESSKEY", "ACCESSTOKEN",
 
 
 def encoding_columns(text: Column) -> dict[str, Column]:
-    """Replacement characters, question marks, their longest run and density, and whether a text passes."""
-    t = F.coalesce(text, F.lit(""))
+    """Replacement characters of a text; question marks, their longest run and density outside fenced code; whether it passes."""
+    whole = F.coalesce(text, F.lit(""))
+    # only texts with a fence go to Python
+    t = F.coalesce(without_fenced_code(F.when(whole.rlike(r"(?m)^[ \t]{0,3}(?:```|~~~)"), whole)), whole)
     marks = F.regexp_count(t, F.lit("[?？]"))
     visible = F.length(F.regexp_replace(t, r"(?U)\s", ""))
-    bad = F.regexp_count(t, F.lit("�"))
+    bad = F.regexp_count(whole, F.lit("�"))
     longest = F.coalesce(F.array_max(F.transform(F.regexp_extract_all(t, F.lit("[?？]+"), F.lit(0)), F.length)), F.lit(0))
     density = F.when(visible == 0, F.lit(0.0)).otherwise(F.round(marks / visible, 4))
     ok = ~((bad > 0) | ((marks >= 4) & (longest >= 4)) | ((marks >= 12) & (marks / F.greatest(visible, F.lit(1)) >= 0.15)))
@@ -46,7 +48,7 @@ def _unfenced(text: str) -> str:
             held.append(line)
             if indent <= 3 and run >= len(fence) and bare[0] == fence[0] and run == len(bare):
                 fence, held = "", []
-        elif indent <= 3 and run >= 3:
+        elif indent <= 3 and run >= 3 and not (bare[0] == "`" and "`" in bare[run:]):
             fence, held = bare[0] * run, [line]
         else:
             kept.append(line)
@@ -69,45 +71,72 @@ def generic_phrase_columns(text: Column, phrases=GENERIC_PHRASES, most: int = 6,
 
 def is_secret_key(key: Column) -> Column:
     compact = F.regexp_replace(F.upper(key), "[^A-Z0-9]", "")
-    return F.exists(F.array(*[F.lit(m) for m in SECRET_MARKERS]), lambda m: F.contains(compact, m)) | compact.endswith("TOKEN")
+    return compact.rlike("|".join(SECRET_MARKERS) + "|TOKEN$")
 
 
 def is_sensitive_query_key(key: Column) -> Column:
-    return is_secret_key(key) | F.lower(key).isin(*SENSITIVE_QUERY)
+    return is_secret_key(key) | F.regexp_replace(F.lower(key), "[^a-z0-9]", "").isin(*SENSITIVE_QUERY)
+
+
+def _form_encoded(value: Column) -> Column:
+    """A query key or value, decoded and encoded again as forms are; what can't be decoded is encoded as it is."""
+    plain = F.coalesce(F.try_url_decode(value), value)
+    return F.replace(F.replace(F.url_encode(plain), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
 
 def redacted_url(url: Column) -> Column:
-    """The URL without user, fragment and sensitive parameters, its scheme in lower case; <redacted-url> for other schemes."""
+    """The URL without user, fragment and sensitive parameters, scheme and host in lower case; <redacted-url> for other schemes."""
     u = F.trim(url)
     scheme = F.lower(F.regexp_extract(u, "^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
     rest = F.regexp_replace(F.regexp_replace(u, "^[A-Za-z][A-Za-z0-9+.-]*://", ""), "#.*$", "")
-    host = F.regexp_replace(F.regexp_extract(rest, "^([^/?]*)", 1), "^.*@", "")
+    host = F.lower(F.regexp_replace(F.regexp_extract(rest, "^([^/?]*)", 1), "^.*@", ""))
     path = F.regexp_extract(rest, r"^[^/?]*([^?]*)", 1)
     query = F.regexp_extract(rest, r"\?(.*)$", 1)
-    kept = F.filter(F.split(query, "&"), lambda p: (p != "") & ~is_sensitive_query_key(F.regexp_extract(p, "^([^=]*)", 1)))
+    name = lambda p: F.regexp_extract(p, "^([^=]*)", 1)
+    kept = F.filter(F.split(query, "&"), lambda p: (p != "") & ~is_sensitive_query_key(F.coalesce(F.try_url_decode(name(p)), name(p))))
+    kept = F.transform(kept, lambda p: F.concat(_form_encoded(name(p)), F.lit("="), _form_encoded(F.regexp_extract(p, "^[^=]*=(.*)$", 1))))
     tail = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
     return F.when(scheme.isin("http", "https") & (host != ""), F.concat(scheme, F.lit("://"), host, path, tail)).otherwise("<redacted-url>")
 
 
-_LABEL = r"[A-Za-z0-9_-]*(?:api[_-]?key|app[_-]?key|access[_-]?key|private[_-]?key|access[_-]?token|refresh[_-]?token|token|password|secret|signature|credential|cookie|session)[A-Za-z0-9_-]*"
+# What a URL in a text, an authorisation, a label of a secret and a private path look like.
+EMBEDDED_URL = r"""(?i)https?://[^\s<>"';,)\]}]+"""
+AUTHORIZATION = r"""(?i)\bAuthorization\b(?:["']?\s*[:=]\s*["']?|\s+)(?:Bearer\s+)?(?:<redacted>|[^\s,;}\]>'"]+)"""
+BEARER = r"""(?i)\bBearer\s+(?:<redacted>|[^\s,;}\]>'"]+)"""
+LABEL = r"[A-Za-z0-9_-]*(?:api[_-]?key|app[_-]?key|access[_-]?key|private[_-]?key|access[_-]?token|refresh[_-]?token|token|password|secret|signature|credential|cookie|session)[A-Za-z0-9_-]*"
+WINDOWS_PATH = r"""(?<![A-Za-z0-9])[A-Za-z]:[\\/][^;\r\n,"'<>]+"""
+POSIX_PATH = r"""(?i)(?<![A-Za-z0-9])/(?:home|Users|root|private|var|tmp|mnt)/[^;\s,"'<>]+"""
+
+#: A label can only start where a word starts, as it takes in all word characters before it: so no token is gone
+#: through from each of its characters.
+START = r"(?<![A-Za-z0-9_-])"
+QUOTED_SECRET = r"""(?i)(["']?""" + START + LABEL + r"""["']?\s*[:=]\s*)(["'])(.*?)\2"""
+PLAIN_SECRET = r"(?i)(" + START + r"-*+\b" + LABEL + r"\b\s*[:=]\s*)([^&\s,;}\]]+)"
+
+
+def scrubbed(text: Column, known: tuple[str, ...] = (), limit: int | None = None) -> Column:
+    """Free text without known secrets, authorisation values, labelled secrets and private paths; URLs in it are redacted.
+
+    Each step runs only where a cheap pattern finds what it looks for.
+    """
 
-#: Patterns and replacements of scrubbed(), in order (fixed values).
-SCRUB = (
-    (r"""(?i)\bAuthorization\b(?:["']?\s*[:=]\s*["']?|\s+)(?:Bearer\s+)?(?:<redacted>|[^\s,;}\]>'"]+)""", "Authorization: <redacted>"),
-    (r"""(?i)\bBearer\s+(?:<redacted>|[^\s,;}\]>'"]+)""", "Bearer <redacted>"),
-    (r"""(?i)(["']?""" + _LABEL + r"""["']?\s*[:=]\s*)"[^"\n]*\"""", '$1"<redacted>"'),
-    (r"""(?i)(\b""" + _LABEL + r"""\b\s*[:=]\s*)([^&\s,;}\]"]+)""", "$1<redacted>"),
-    (r"""(?i)(^|[^A-Za-z0-9])/(?:home|Users|root|private|var|tmp|mnt)/[^;\s,"'<>]+""", "$1<redacted-path>"),
-)
+    def step(where: str, done) -> None:
+        # bound by a lambda, so that the steps before are not written out once for each use of their result
+        nonlocal text
+        text = F.transform(F.array(text), lambda t: F.when(t.rlike(where), done(t)).otherwise(t))[0]
 
+    def urls(t: Column) -> Column:
+        return F.array_join(F.zip_with(F.split(t, EMBEDDED_URL, -1), F.regexp_extract_all(t, F.lit(EMBEDDED_URL), F.lit(0)), lambda x, u: F.when(u.isNull(), x).otherwise(F.concat(x, redacted_url(u)))), "")
 
-def scrubbed(text: Column, known: tuple[str, ...] = ()) -> Column:
-    """Free text without known secrets, authorisation values, labelled secrets and private paths."""
+    step("(?i)https?://", urls)
     for secret in sorted(known, key=len, reverse=True):
         text = F.replace(text, F.lit(secret), F.lit("<redacted>"))
-    for pattern, to in SCRUB:
-        text = F.regexp_replace(text, pattern, to)
-    return text
+    step("(?i)authorization", lambda t: F.regexp_replace(t, AUTHORIZATION, "Authorization: <redacted>"))
+    step("(?i)bearer", lambda t: F.regexp_replace(t, BEARER, "Bearer <redacted>"))
+    step("(?i)key|token|password|secret|signature|credential|cookie|session", lambda t: F.regexp_replace(F.regexp_replace(t, QUOTED_SECRET, "$1$2<redacted>$2"), PLAIN_SECRET, "$1<redacted>"))
+    step(r"[A-Za-z]:[\\/]", lambda t: F.regexp_replace(t, WINDOWS_PATH, "<redacted-path>"))
+    step("(?i)/(?:home|users|root|private|var|tmp|mnt)/", lambda t: F.regexp_replace(t, POSIX_PATH, "<redacted-path>"))
+    return text if limit is None else F.left(text, F.lit(limit))
 
 
 def redacted_config(config: Column) -> Column:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corposcope.functions.text import overlap_text
+from corposcope.sources.scratch import written
 
 RUN = 48
 #: Targets of up to this many seed rows are broadcast; beyond it the join shuffles.
@@ -27,24 +28,26 @@ def overlap(targets: DataFrame, corpus: DataFrame, run: int = RUN, key: str = "i
     seed = run // 2 + 1
     every = run - seed + 1
     goal = targets.select(key, overlap_text(F.coalesce("text", F.lit(""))).alias("t"))
-    said = corpus.select(source, overlap_text(F.coalesce("text", F.lit(""))).alias("s")).where(F.length("s") >= run)
-    at = lambda c, n: F.sequence(F.lit(0), F.length(c) - seed, F.lit(n))
-    cut = lambda c, i: F.xxhash64(F.substring(c, i + 1, F.lit(seed)))
-    goals = goal.where(F.length("t") >= run).select(key, F.explode(F.transform(at("t", 1), lambda i: F.struct(i.alias("tpos"), cut("t", i).alias("h")))).alias("x")).select(key, "x.tpos", "x.h")
-    seeds = said.select(source, F.explode(F.transform(at("s", every), lambda i: F.struct(i.alias("spos"), cut("s", i).alias("h")))).alias("x")).select(source, "x.spos", "x.h")
+    said = corpus.select(source, overlap_text(F.coalesce("text", F.lit(""))).alias("s"))
+    spots = F.sequence(F.lit(0), F.length("t") - seed)
+    goals = goal.where(F.length("t") >= run).select(key, F.posexplode(F.transform(spots, lambda i: F.xxhash64(F.substring("t", i + 1, F.lit(seed))))).alias("tpos", "h"))
+    # a text is cut into blocks once; a seed is a block and the start of the next
+    blocks = said.select(source, F.regexp_extract_all("s", F.lit(f".{{1,{every}}}"), F.lit(0)).alias("b"))
+    seeds = blocks.select(source, F.posexplode(F.zip_with("b", F.slice("b", 2, F.greatest(F.size("b"), F.lit(1))), lambda x, y: F.left(F.concat(x, F.coalesce(y, F.lit(""))), F.lit(seed)))).alias("block", "seed"))
+    seeds = seeds.where(F.length("seed") == seed).select(source, (F.col("block") * every).alias("spos"), F.xxhash64("seed").alias("h"))
     small = goal.agg(F.sum(F.length("t"))).first()[0] or 0
     goals = F.broadcast(goals) if small <= BROADCAST_ROWS else goals
-    shifts = seeds.join(goals, "h").select(key, source, (F.col("tpos") - F.col("spos")).alias("shift")).distinct()
-    both = shifts.join(said, source).join(F.broadcast(goal) if small <= BROADCAST_ROWS else goal, key).select(key, source, "shift", "s", "t")
-    kind, skind = dict(targets.dtypes)[key], dict(corpus.dtypes)[source]
+    # one row for each target and document, so a text is taken once however often it quotes a target
+    shifts = seeds.join(goals, "h").groupBy(key, source).agg(F.collect_set(F.col("tpos") - F.col("spos")).alias("shifts"))
+    both = shifts.join(said, source).join(F.broadcast(goal) if small <= BROADCAST_ROWS else goal, key).select(key, source, "shifts", "s", "t")
+    kind = dict(targets.dtypes)[key]
 
     def extend(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = [(r[0], r[1], a, b) for r in frame.itertuples(index=False) for a, b in _runs(r[3], r[4], int(r[2]), run)]
-            yield pd.DataFrame(out, columns=[key, source, "start", "end"])
+            found = [(r[0], sorted({x for shift in r[2] for x in _runs(r[3], r[4], int(shift), run)})) for r in frame.itertuples(index=False)]
+            yield pd.DataFrame([(k, [{"start": a, "end": b} for a, b in runs]) for k, runs in found if runs], columns=[key, "runs"])
 
-    runs = both.mapInPandas(extend, f"{key} {kind}, {source} {skind}, start int, end int")
-    return _summed(goal, runs, key, source)
+    return _summed(goal, both.mapInPandas(extend, f"{key} {kind}, runs array<struct<start:int,end:int>>"), key)
 
 
 def _runs(s: str, t: str, shift: int, least: int) -> list[tuple[int, int]]:
@@ -60,10 +63,17 @@ def _runs(s: str, t: str, shift: int, least: int) -> list[tuple[int, int]]:
     return out
 
 
-def _summed(goal: DataFrame, runs: DataFrame, key: str, source: str) -> DataFrame:
-    per = runs.groupBy(key).agg(F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("start"), F.col("end") - 1)))).alias("covered"), F.max(F.col("end") - F.col("start")).alias("longest"), F.count_distinct(source).alias("n_sources"))
-    out = goal.select(key, F.length("t").cast("long").alias("chars")).join(per, key, "left")
-    matched = F.coalesce(F.size("covered"), F.lit(0)).cast("long")
+def _summed(goal: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Totals of each target. Runs are first reduced to the longest from each start, so a target has as many as it has
+    characters at most, however many documents quote it; the rest of a run beyond all earlier ones is what it adds."""
+    found = written(found, "runs")
+    sources = found.groupBy(key).agg(F.count("*").alias("n_sources"))
+    runs = found.select(key, F.inline("runs")).groupBy(key, "start").agg(F.max("end").alias("end"))
+    before = Window.partitionBy(key).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("reach", F.coalesce(F.max("end").over(before), F.lit(0)))
+    per = runs.groupBy(key).agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", "reach"))).alias("covered"), F.max(F.col("end") - F.col("start")).alias("longest"))
+    out = goal.select(key, F.length("t").cast("long").alias("chars")).join(per.join(sources, key), key, "left")
+    matched = F.coalesce("covered", F.lit(0)).cast("long")
     ratio = F.when(F.col("chars") == 0, F.lit(0.0)).otherwise(F.round(matched / F.col("chars"), 4))
     return out.select(key, "chars", matched.alias("matched_chars"), F.coalesce("longest", F.lit(0)).cast("long").alias("longest"), ratio.alias("copied_ratio"), F.coalesce("n_sources", F.lit(0)).alias("n_sources"))
 
