@@ -65,37 +65,42 @@ def rendered(segments: DataFrame, key: str) -> DataFrame:
 
 
 def merge_chunks(segments: DataFrame, key: str, window_ms: int = 2000, least_chars: int = 4, alike: float = 0.92) -> DataFrame:
-    """(key, chunk_index, text, start_ms, end_ms) in global time, without the repeats at chunk boundaries.
+    """(key, segment_index, chunk_index, text, start_ms, end_ms) in global time and order, without the repeats at chunk boundaries.
 
     Rows (key, chunk_index, chunk_start_ms, chunk_end_ms, text, start_ms, end_ms, source_index), times local to the
-    chunk. A segment goes if one kept of the chunk before says nearly the same and both are within `window_ms`
-    of each other and of the boundary. Each media is one group, as what is kept depends on what was kept before;
-    it holds the segments of one recording.
+    chunk. Segments come by their start, untimed ones at the start of their chunk, after those timed there. A segment goes
+    if one kept of the chunk before says nearly the same, both texts have `least_chars` characters, that one ends within
+    `window_ms` of its chunk's end, this one starts within `window_ms` of its chunk's start, and as near to each other.
+    Empty segments go too. Each media is one group, as what is kept depends on what was kept before; it holds the
+    segments of one recording.
     """
     kind = dict(segments.dtypes)[key]
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["chunk_index", "start_ms", "source_index"], na_position="last", kind="stable")
-        kept: list[tuple] = []
-        before: list[tuple] = []
-        for chunk, part in frame.groupby("chunk_index", sort=True):
-            mine = []
-            for r in part.itertuples():
-                start = None if pd.isna(r.start_ms) else int(r.chunk_start_ms + r.start_ms)
-                end = None if pd.isna(r.end_ms) else int(r.chunk_start_ms + r.end_ms)
-                edge = int(r.chunk_start_ms)
-                low = r.text.casefold()
-                near = [x for x in before if start is not None and x[1] is not None and x[2] is not None and abs(start - x[1]) <= window_ms and abs(start - edge) <= window_ms and abs(x[2] - edge) <= window_ms]
-                if len(low) >= least_chars and any(difflib.SequenceMatcher(None, x[0].casefold(), low).ratio() >= alike for x in near):
+        chunks = frame[["chunk_start_ms", "chunk_index"]].drop_duplicates().sort_values(["chunk_start_ms", "chunk_index"])
+        frame = frame.assign(
+            text=frame["text"].fillna("").map(lambda x: " ".join(x.split())),
+            place=frame["chunk_index"].map({c: n for n, c in enumerate(chunks["chunk_index"])}),
+            begin=frame["chunk_start_ms"] + frame["start_ms"],
+            until=frame["chunk_start_ms"] + frame["end_ms"],
+        )
+        frame = frame[frame["text"] != ""].assign(when=lambda f: f["begin"].fillna(f["chunk_start_ms"]), loose=lambda f: f["begin"].isna())
+        tails: dict[int, list[tuple[str, float]]] = {}
+        stay = []
+        for r in frame.sort_values(["when", "loose", "chunk_index", "source_index"], kind="stable").itertuples():
+            said, at_edge = r.text.casefold(), not r.loose and abs(r.begin - r.chunk_start_ms) <= window_ms
+            if at_edge and len(r.text) >= least_chars:
+                near = [x for x, end in tails.get(r.place - 1, []) if abs(r.begin - end) <= window_ms]
+                if any(difflib.SequenceMatcher(None, x, said).ratio() >= alike for x in near):
                     continue
-                mine.append((r.text, start, end))
-            kept += [(int(chunk), *x) for x in mine]
-            before = mine
-        out = pd.DataFrame(kept, columns=["chunk_index", "text", "start_ms", "end_ms"])
-        out.insert(0, key, frame[key].iloc[0])
+            stay.append(r.Index)
+            if not pd.isna(r.until) and abs(r.chunk_end_ms - r.until) <= window_ms and len(r.text) >= least_chars:
+                tails.setdefault(r.place, []).append((said, r.until))
+        kept = frame.loc[stay].reset_index(drop=True)
+        out = pd.DataFrame({key: kept[key], "segment_index": range(len(kept)), "chunk_index": kept["chunk_index"], "text": kept["text"], "start_ms": kept["begin"], "end_ms": kept["until"]})
         return out.astype({"start_ms": "Int64", "end_ms": "Int64"})
 
-    return segments.groupBy(key).applyInPandas(merge, f"{key} {kind}, chunk_index int, text string, start_ms long, end_ms long")
+    return segments.groupBy(key).applyInPandas(merge, f"{key} {kind}, segment_index int, chunk_index int, text string, start_ms long, end_ms long")
 
 
 def subtitle_text(texts: DataFrame, key: str, paragraph: int = 240) -> DataFrame:

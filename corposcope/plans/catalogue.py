@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corposcope.functions import text
-from corposcope.operators import coverage, entities, evidence, hygiene, ids, notes, overlap, retention, status, terms, transcripts
+from corposcope.operators import checks, coverage, entities, evidence, hygiene, ids, notes, overlap, retention, status, terms, transcripts
 from corposcope.plans.presets import ENGLISH
 from corposcope.sources import reports
 
@@ -170,16 +170,58 @@ def topic_groups(spark, sf):
     return terms.topic_groups(documents(spark, sf)).drop("docs").withColumn("terms", F.array_join("terms", ","))
 
 
-@query()
+PICK = "list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform(terms, lambda t: [t])), lambda a, x: CASE WHEN length(a) >= 6 OR length(list_filter(a, lambda y: contains(y, x[1]) OR contains(x[1], y))) > 0 THEN a ELSE list_concat(a, x) END)"
+TOPICS = f"""
+WITH {SOURCE}, {FRAGMENTS}, t AS (SELECT id, unnest(list_filter(w, lambda x: {IS_TERM})) AS term FROM toks),
+p AS (SELECT term, list_sort(list(DISTINCT id)) AS ids, count(*) AS tf FROM t GROUP BY term HAVING count(DISTINCT id) >= 2),
+g AS (SELECT ids, length(ids) AS df, sum(tf)::BIGINT AS tf, list(term ORDER BY tf DESC, length(term) DESC, term) AS terms FROM p GROUP BY ids),
+k AS (SELECT *, {PICK} AS picked FROM g)"""
+
+
+@query(TOPICS + f""", c AS (SELECT *, df / greatest((SELECT count(*) FROM src WHERE text <> ''), 1) AS cov FROM k WHERE length(picked) >= 2 ORDER BY df DESC, tf DESC, array_to_string(ids, chr(1)) LIMIT 12),
+r AS (SELECT *, round(cov, 4) AS ratio, 0.35::DOUBLE * least(df / 5, 1.0::DOUBLE) + 0.45::DOUBLE * round(cov, 4) + 0.2::DOUBLE * least(length(picked) / 4, 1.0::DOUBLE) AS raw FROM c),
+s AS (SELECT *, CASE WHEN df >= 3 AND ratio >= 0.5 THEN 'high' WHEN ratio >= 0.25 THEN 'medium' ELSE 'low' END AS confidence_level,
+        round(CASE WHEN df >= 3 AND ratio >= 0.5 THEN greatest(raw, 0.75) WHEN ratio >= 0.25 THEN least(greatest(raw, 0.4), 0.74) ELSE least(raw, 0.39) END, 3)::DOUBLE AS confidence_score FROM r)
+SELECT 'topic-' || left(sha256(array_to_string(picked, chr(10)) || chr(10) || '--' || chr(10) || array_to_string(ids, chr(10))), 12) AS candidate_id, array_to_string(picked[1:3], ' / ') AS provisional_label,
+       df::BIGINT AS document_frequency, tf AS total_frequency, ratio AS coverage_ratio, confidence_level, confidence_score, array_to_string(picked, ',') AS distinguishing_terms, array_to_string(ids, ',') AS video_ids FROM s""")
 def topic_candidates(spark, sf):
-    return terms.topic_candidates(documents(spark, sf))
+    return terms.topic_candidates(documents(spark, sf)).withColumn("video_ids", F.array_join("video_ids", ","))
 
 
-@query()
+@query(TOPICS + " SELECT ids[1] AS first_id, df::BIGINT AS document_frequency, array_to_string(picked, ',') AS picked FROM k")
 def distinct_terms(spark, sf):
     return terms.topic_groups(documents(spark, sf)).select("first_id", "document_frequency", F.array_join(terms.distinct_terms(F.col("terms")), ",").alias("picked"))
 
 
+@query(TOPICS + """, c AS (SELECT ids FROM k WHERE length(picked) >= 2 ORDER BY df DESC, tf DESC, array_to_string(ids, chr(1)) LIMIT 12)
+SELECT count(DISTINCT id) AS represented FROM (SELECT unnest(ids) AS id FROM c)""")
+def represented_documents(spark, sf):
+    return terms.topic_candidates(documents(spark, sf)).select(F.explode("video_ids").alias("id")).agg(F.count_distinct("id").alias("represented"))
+
+
+@query(rf"""
+WITH {SOURCE}, cut AS (
+  SELECT id, i, trim(regexp_replace(regexp_replace(f, '\[?\d{{1,2}}:\d{{2}}(?::\d{{2}})?(?:[.,]\d{{1,3}})?\]?', '', 'g'), '\s+', ' ', 'g')) AS t
+  FROM (SELECT id, unnest(fs) AS f, generate_subscripts(fs, 1) AS i FROM (SELECT id, regexp_extract_all(text, '[^。！？!?；;\r\n]+') AS fs FROM src))
+), frag AS (SELECT id, t, row_number() OVER (PARTITION BY id ORDER BY i) AS n FROM cut WHERE t <> ''),
+toks AS (
+  SELECT id, id || '#transcript:' || CASE WHEN n < 10000 THEN lpad(n::VARCHAR, 4, '0') ELSE n::VARCHAR END AS fragment, regexp_extract_all(lower(t), '[a-z0-9]+(?:\.[0-9]+)?|[\x{{4e00}}-\x{{9fff}}]+') AS w FROM frag
+), t AS (SELECT id, fragment, unnest(list_filter(w, lambda x: regexp_full_match(x, '[a-z][a-z0-9_+.-]*|[\x{{4e00}}-\x{{9fff}}]+') AND {IS_TERM})) AS term FROM toks),
+g AS (SELECT term, count(DISTINCT id) AS df, count(*) AS tf, array_to_string(list_sort(list(DISTINCT id)), ',') AS ids, array_to_string(list_sort(list(DISTINCT fragment)), ',') AS fragments FROM t GROUP BY term)
+SELECT term, df AS document_frequency, tf AS total_frequency, ids AS representative_video_ids, fragments AS source_fragment_ids FROM g ORDER BY df DESC, tf DESC, length(term), term LIMIT 30""")
+def term_sources(spark, sf):
+    docs = documents(spark, sf)
+    top = terms.top_terms(docs, 30).select("term", "document_frequency", "total_frequency")
+    lists = terms.term_sources(docs, top)
+    return top.join(lists, "term").withColumn("representative_video_ids", F.array_join("representative_video_ids", ",")).withColumn("source_fragment_ids", F.array_join("source_fragment_ids", ","))
+
+
+@query(PHRASES.replace(ITEMS, SOURCE).replace(" AS cov FROM kept)", " AS cov FROM kept ORDER BY df DESC, k DESC, tf DESC, phrase LIMIT 40)").replace(
+    "AS confidence_score\nFROM c", "AS confidence_score, 'phrase-' || left(sha256(phrase || chr(10) || replace(ids, ',', chr(10))), 12) AS phrase_id, ids AS representative_video_ids\nFROM c"))
+def top_phrases(spark, sf):
+    return terms.top_phrases(documents(spark, sf)).withColumn("representative_video_ids", F.array_join("representative_video_ids", ",")).drop("source_fragment_ids")
+
+
 BOTH = "lower(concat_ws(' ', coalesce(string_split(text, chr(10))[1], ''), coalesce(text, '')))"
 
 
@@ -194,9 +236,9 @@ def signal_counts(spark, sf):
     return coverage.label_counts(coverage.signals(headed(spark, sf), ENGLISH), ["themes", "arguments", "contributions"])
 
 
-@query(f"SELECT role, label, count(*) AS n FROM (SELECT role, unnest({_theme_case('text', ENGLISH.themes)}) AS label FROM conversations) GROUP BY role, label")
+@query(f"SELECT lang, label, count(*) AS n FROM (SELECT lang, unnest({_theme_case('text', ENGLISH.themes)}) AS label FROM documents) GROUP BY lang, label")
 def theme_labels(spark, sf):
-    return table(spark, sf, "conversations").select("role", F.explode(text.labels(F.coalesce("text", F.lit("")), ENGLISH.themes)).alias("label")).groupBy("role", "label").agg(F.count("*").alias("n"))
+    return table(spark, sf, "documents").select("lang", F.explode(text.labels(F.coalesce("text", F.lit("")), ENGLISH.themes)).alias("label")).groupBy("lang", "label").agg(F.count("*").alias("n"))
 
 
 def _records(spark, sf) -> DataFrame:
@@ -257,8 +299,7 @@ x AS (
     CASE WHEN contains(z, 'license') OR contains(z, 'reserved') THEN 'ending:licence' END, CASE WHEN contains(z, 'idiot') OR contains(z, 'moron') THEN 'ending:abuse' END], lambda y: y IS NOT NULL)) AS pattern FROM l
 ) SELECT pattern, strength, count(*) AS n FROM x GROUP BY pattern, strength""")
 def short_form(spark, sf):
-    docs = headed(spark, sf)
-    return coverage.short_forms(coverage.corpus_records(docs, ENGLISH.themes), coverage.signals(docs, ENGLISH).select("video_id", "hooks", "endings"))
+    return coverage.short_forms(headed(spark, sf), ENGLISH)
 
 
 PERIODS = """
@@ -408,24 +449,36 @@ def generic_phrases(spark, sf):
     return table(spark, sf, "documents").select("doc_id", *[c.alias(k) for k, c in hygiene.generic_phrase_columns(F.col("text"), WORDS).items() if k != "passed"])
 
 
-@query(r"""
-WITH u AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS u FROM pages),
-p AS (SELECT page_id, lower(regexp_extract(u, '^([A-Za-z]+)://', 1)) AS s, regexp_extract(u, '^[A-Za-z]+://(?:[^/?]*@)?([^/?]*)', 1) AS h, regexp_extract(u, '^[A-Za-z]+://[^/?]*([^?]*)', 1) AS path,
-  list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'), lambda x: x <> '' AND NOT regexp_matches(lower(split_part(x, '=', 1)), '^(auth|authorization|code|jwt|key|policy|sig|signed)$|token$|secret|password|session|cookie|signature|credential')) AS q FROM u)
-SELECT page_id, s || '://' || h || path || CASE WHEN length(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS url FROM p""")
+def _url_sql(x: str) -> str:
+    """A URL without user, fragment and sensitive parameters."""
+    form = lambda v: f"replace(url_encode(url_decode(replace({v}, '+', ' '))), '%20', '+')"
+    secret = "'apikey|appkey|privatekey|accesskey|accesstoken|refreshtoken|authorization|credential|password|signature|secret|cookie|session|token$|^(auth|code|jwt|key|policy|sig|signed)$'"
+    params = rf"list_filter(string_split(regexp_extract({x}, '\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(regexp_replace(lower(split_part(p, '=', 1)), '[^a-z0-9]', '', 'g'), {secret}))"
+    query = rf"array_to_string(list_transform({params}, lambda p: {form("split_part(p, '=', 1)")} || '=' || {form("regexp_extract(p, '^[^=]*=(.*)$', 1)")}), '&')"
+    return rf"(lower(regexp_extract({x}, '^([A-Za-z]+)://', 1)) || '://' || lower(regexp_extract({x}, '^[A-Za-z]+://(?:[^/?#]*@)?([^/?#]*)', 1)) || regexp_extract({x}, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) || CASE WHEN {query} <> '' THEN '?' || {query} ELSE '' END)"
+
+
+@query(f"SELECT page_id, {_url_sql('trim(url)')} AS url FROM pages")
 def redact_urls(spark, sf):
     return table(spark, sf, "pages").select("page_id", hygiene.redacted_url(F.col("url")).alias("url"))
 
 
-_SCRUB_SQL = "text"
-for _p, _to in hygiene.SCRUB:
-    _SCRUB_SQL = "regexp_replace({}, '{}', '{}', 'g')".format(_SCRUB_SQL, _p.replace("'", "''"), _to.replace("$1", "\\1"))
+_WORD = "[A-Za-z0-9_-]*(?:api[_-]?key|app[_-]?key|access[_-]?key|private[_-]?key|access[_-]?token|refresh[_-]?token|token|password|secret|signature|credential|cookie|session)[A-Za-z0-9_-]*"
 
 
-@query(f"SELECT doc_id, sha256({_SCRUB_SQL}) AS scrubbed_sha256, {_SCRUB_SQL} <> text AS changed FROM documents")
+@query(rf"""
+WITH a AS (SELECT doc_id, text, string_split_regex(text, '(?i)https?://[^\s<>"'';,)\]}}]+') AS s, regexp_extract_all(text, '(?i)https?://[^\s<>"'';,)\]}}]+') AS u FROM documents),
+b AS (SELECT doc_id, text, array_to_string(list_transform(range(1, length(s) + 1), lambda i: s[i] || CASE WHEN i <= length(u) THEN {_url_sql("u[i]")} ELSE '' END), '') AS t FROM a),
+c AS (SELECT doc_id, text, regexp_replace(t, '\bAuthorization\b(?:["'']?\s*[:=]\s*["'']?|\s+)(?:Bearer\s+)?(?:<redacted>|[^\s,;}}\]>''"]+)', 'Authorization: <redacted>', 'gi') AS t FROM b),
+d AS (SELECT doc_id, text, regexp_replace(t, '\bBearer\s+(?:<redacted>|[^\s,;}}\]>''"]+)', 'Bearer <redacted>', 'gi') AS t FROM c),
+e AS (SELECT doc_id, text, regexp_replace(regexp_replace(t, '(["'']?{_WORD}["'']?\s*[:=]\s*)"[^"\n]*"', '\1"<redacted>"', 'gi'), '(["'']?{_WORD}["'']?\s*[:=]\s*)''[^''\n]*''', '\1''<redacted>''', 'gi') AS t FROM d),
+f AS (SELECT doc_id, text, regexp_replace(t, '(\b{_WORD}\b\s*[:=]\s*)([^&\s,;}}\]]+)', '\1<redacted>', 'gi') AS t FROM e),
+g AS (SELECT doc_id, text, regexp_replace(t, '(^|[^A-Za-z0-9])[A-Za-z]:[\\/][^;\r\n,"''<>]+', '\1<redacted-path>', 'g') AS t FROM f),
+h AS (SELECT doc_id, text, regexp_replace(t, '(^|[^A-Za-z0-9])/(?:home|Users|root|private|var|tmp|mnt)/[^;\s,"''<>]+', '\1<redacted-path>', 'gi') AS t FROM g)
+SELECT doc_id, sha256(t) AS scrubbed_sha256, t <> text AS changed FROM h""")
 def scrub_text(spark, sf):
-    t = hygiene.scrubbed(F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", F.sha2(t, 256).alias("scrubbed_sha256"), (t != F.col("text")).alias("changed"))
+    rows = table(spark, sf, "documents").select("doc_id", "text", hygiene.scrubbed(F.col("text")).alias("t"))
+    return rows.select("doc_id", F.sha2("t", 256).alias("scrubbed_sha256"), (F.col("t") != F.col("text")).alias("changed"))
 
 
 @query(r"SELECT page_id, regexp_matches(lower(ltrim(left(html, 4096))), '^(<!doctype|<html|<\?xml|<head|<body|[{\[])') AS not_media FROM pages")
@@ -446,10 +499,162 @@ def ascii_entities(spark, sf):
     return entities.ascii_candidates(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
 
 
+#: Entities that stand in the documents.
+ENTITIES = {"Apache License": ("apache-license 2.0",), "MIT License": (), "GNU General Public License": ("GPL",), "CC BY-NC": ("CC BY",)}
+
+
 @query()
 def entity_spans(spark, sf):
-    names = {"Apache License": ("apache-license",), "MIT License": (), "GNU General Public License": ("GPL",), "CC BY-NC": ()}
-    return entities.entity_spans(table(spark, sf, "documents"), names, "doc_id")
+    return entities.entity_spans(table(spark, sf, "documents"), ENTITIES, "doc_id")
+
+
+def _entity_sql() -> str:
+    """Counts by document: white space and marks doubled, so that each match takes a guard of its own at both ends; longer forms first."""
+    one = []
+    for name, aliases in ENTITIES.items():
+        forms = sorted(("".join(c for c in f if c.isalnum()) for f in (name, *aliases)), key=len, reverse=True)
+        pattern = "|".join(r"[\s._\-/\\·・]*".join(f.replace(".", "") for f in form) for form in forms)
+        one.append(f"SELECT '{name}' AS canonical, doc_id, length(regexp_extract_all(t, '(?i)(?:^|[^A-Za-z0-9])(?:{pattern})(?:[^A-Za-z0-9]|$)')) AS n FROM d")
+    return " UNION ALL ".join(one)
+
+
+@query(rf"""
+WITH d AS (SELECT doc_id, regexp_replace(text, '([^A-Za-z0-9])', '\1\1', 'g') AS t FROM documents), m AS ({_entity_sql()}),
+k AS (SELECT *, regexp_replace(lower(canonical), '[\s._\-/]+', '', 'g') AS entity_key FROM m WHERE n > 0)
+SELECT canonical, entity_key, 'entity-' || left(sha256(entity_key), 12) AS candidate_id, count(*) AS document_frequency, sum(n)::BIGINT AS occurrences, 0.95::DOUBLE AS confidence FROM k GROUP BY canonical, entity_key""")
+def entity_candidates(spark, sf):
+    return entities.registered_candidates(entity_spans(spark, sf), "doc_id").drop("observed_forms")
+
+
+@query(r"""
+WITH f AS (SELECT DISTINCT regexp_replace(lower(p_brand), '[\s._\-/]+', '', 'g') AS o, regexp_replace(lower(p_type), '[\s._\-/]+', '', 'g') AS a FROM part),
+k AS (SELECT a AS alias_key, o FROM f UNION SELECT o, o FROM f)
+SELECT alias_key, count(*) AS owners FROM k GROUP BY alias_key HAVING count(*) > 1""")
+def alias_collisions(spark, sf):
+    return entities.alias_collisions(table(spark, sf, "part").select(F.col("p_brand").alias("canonical"), F.col("p_type").alias("form")))
+
+
+def _review(spark, sf) -> DataFrame:
+    """Documents as candidates, labels and events as decisions on them."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("candidate_id"), F.when(F.col("lang") == "en", "high").otherwise("medium").alias("impact"))
+    e = table(spark, sf, "events").where("user_id <= 400")
+    kind = F.when(F.col("event_type") == "view", "confirmed").when(F.col("event_type") == "click", "corrected").when(F.col("event_type") == "signup", "ignored").when(F.col("event_type") == "purchase", "unresolved").otherwise("closed")
+    note = F.when(F.col("value") > 20, "seen")
+    made = e.select(F.col("user_id").alias("candidate_id"), F.col("event_id").alias("ordinal"), kind.alias("status"), note.alias("treatment_note"), F.when(F.col("value") > 60, "name").alias("corrected_term"), F.when(F.col("value") > 40, F.array(F.lit("skill/a.md#x"))).alias("final_references"), F.lit("me").alias("reviewed_by"), F.when(F.col("event_id") % 7 != 0, "now").otherwise(" ").alias("reviewed_at"))
+    return entities.reviewed(docs, made.withColumn("reviewed_by", F.when(F.col("status") != "unresolved", F.col("reviewed_by"))).withColumn("reviewed_at", F.when(F.col("status") != "unresolved", F.col("reviewed_at"))))
+
+
+REVIEW = """
+WITH d AS (SELECT doc_id, CASE WHEN lang = 'en' THEN 'high' ELSE 'medium' END AS impact FROM documents),
+e AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS turn, value > 20 AS note, value > 60 AS term, value > 40 AS refs, event_id % 7 <> 0 AS dated,
+        CASE event_type WHEN 'view' THEN 'confirmed' WHEN 'click' THEN 'corrected' WHEN 'signup' THEN 'ignored' WHEN 'purchase' THEN 'unresolved' ELSE 'closed' END AS kind FROM events WHERE user_id <= 400),
+j AS (SELECT coalesce(doc_id, user_id) AS id, impact, doc_id IS NULL OR coalesce(turn, 1) > 1 AS stray, kind, coalesce(note, false) AS note, coalesce(term, false) AS term, coalesce(refs, false) AS refs, dated, turn FROM d FULL JOIN e ON doc_id = user_id),
+r AS (SELECT id, impact, CASE WHEN NOT stray AND kind <> 'closed' THEN kind END AS status,
+  CASE WHEN stray THEN 'candidate_id' WHEN turn IS NULL THEN 'decision' WHEN kind = 'closed' THEN 'status'
+       ELSE concat_ws(',', CASE WHEN kind = 'unresolved' AND (note OR term OR refs) THEN 'unresolved_fields' END, CASE WHEN kind <> 'unresolved' AND NOT note THEN 'treatment_note' END,
+         CASE WHEN kind <> 'unresolved' AND NOT dated THEN 'reviewed_at' END, CASE WHEN kind IN ('confirmed', 'ignored') AND (term OR refs) THEN 'non_correction_fields' END,
+         CASE WHEN kind = 'corrected' AND NOT term THEN 'corrected_term' END, CASE WHEN kind = 'corrected' AND NOT refs THEN 'final_references' END) END AS errors FROM j)"""
+
+
+@query(REVIEW + " SELECT id AS candidate_id, impact, status, errors FROM r")
+def entity_decisions(spark, sf):
+    return _review(spark, sf).withColumn("errors", F.array_join("errors", ","))
+
+
+@query(REVIEW + """, t AS (SELECT count(impact) AS candidates, count(*) FILTER (status = 'confirmed') AS confirmed, count(*) FILTER (status = 'corrected') AS corrected, count(*) FILTER (status = 'ignored') AS ignored,
+  count(*) FILTER (status = 'unresolved') AS unresolved, count(*) FILTER (status = 'unresolved' AND impact = 'high') AS unresolved_high, count(*) FILTER (status = 'unresolved' AND coalesce(impact, '') <> 'high') AS warnings, count(*) FILTER (errors <> '') AS wrong FROM r),
+u AS (SELECT *, confirmed + corrected + ignored AS processed FROM t)
+SELECT *, unresolved_high + (wrong > 0)::BIGINT + (candidates > 0 AND processed = 0 AND unresolved_high = 0)::BIGINT AS blockers, unresolved_high + (wrong > 0)::BIGINT + (candidates > 0 AND processed = 0 AND unresolved_high = 0)::BIGINT = 0 AS complete FROM u""")
+def entity_review(spark, sf):
+    return entities.review_totals(_review(spark, sf))
+
+
+@query("""
+WITH t AS (SELECT event_id AS ordinal, user_id AS c, event_type AS k, value > 30 AS named, event_id % 90 AS into_, event_id % 5 <> 0 AS why FROM events),
+m AS (SELECT t.*, a.doc_id IS NOT NULL AS here, b.doc_id IS NOT NULL AND b.doc_id <> c AS there FROM t LEFT JOIN documents a ON a.doc_id = c LEFT JOIN documents b ON b.doc_id = into_),
+p AS (SELECT ordinal, unnest(list_filter([CASE WHEN NOT here THEN 'candidate_id' END, CASE WHEN k = 'error' THEN 'decision' END, CASE WHEN NOT why THEN 'reason' END,
+  CASE WHEN k = 'click' AND NOT coalesce(named, false) THEN 'replacement_label' END, CASE WHEN k = 'view' AND NOT there THEN 'merged_into' END], lambda x: x IS NOT NULL)) AS problem FROM m)
+SELECT ordinal, problem FROM p""")
+def topic_decisions(spark, sf):
+    kind = F.when(F.col("event_type") == "signup", "accepted").when(F.col("event_type") == "click", "renamed").when(F.col("event_type") == "view", "merged").when(F.col("event_type") == "purchase", "rejected").otherwise("none")
+    made = table(spark, sf, "events").select(F.col("event_id").alias("ordinal"), F.col("user_id").alias("candidate_id"), kind.alias("decision"), F.when(F.col("event_id") % 5 != 0, "why").alias("reason"), F.lit("me").alias("reviewed_by"), F.lit("now").alias("reviewed_at"), F.when(F.col("value") > 30, "new").alias("replacement_label"), (F.col("event_id") % 90).alias("merged_into"))
+    return entities.topic_decision_problems(table(spark, sf, "documents").select(F.col("doc_id").alias("candidate_id")), made)
+
+
+@query("""WITH r AS (SELECT doc_id, sum(n_chars) OVER (ORDER BY doc_id) AS total FROM documents) SELECT doc_id, total::BIGINT AS total FROM r WHERE total > 100000 ORDER BY doc_id LIMIT 1""")
+def first_over_limit(spark, sf):
+    return checks.first_over(table(spark, sf, "documents"), "doc_id", "n_chars", 100_000)
+
+
+@query("""WITH l AS (SELECT conv_id, turn, length(text) AS s, lag(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM conversations)
+SELECT conv_id, count(*) FILTER (s < b) AS faults FROM l GROUP BY conv_id""")
+def timeline_faults(spark, sf):
+    return checks.unordered(table(spark, sf, "conversations").select("conv_id", "turn", F.length("text").alias("start_ms")), "conv_id", ["turn"], "start_ms")
+
+
+@query("""WITH p AS (SELECT event_type, '/events/' || event_id AS pointer FROM events)
+SELECT event_type, array_to_string((list(pointer ORDER BY pointer))[1:50], ',') AS pointers, count(*) AS n, count(*) > 50 AS truncated FROM p GROUP BY event_type""")
+def truncated_pointers(spark, sf):
+    rows = table(spark, sf, "events").select("event_type", F.concat(F.lit("/events/"), F.col("event_id").cast("string")).alias("pointer"))
+    return checks.truncated(rows, "event_type", "pointer").withColumn("pointers", F.array_join("pointers", ","))
+
+
+@query("""SELECT o_orderkey, CASE WHEN left(o_orderpriority, 1)::INT BETWEEN 2 AND 4 THEN left(o_orderpriority, 1)::BIGINT END AS priority, CASE WHEN o_custkey BETWEEN 10 AND 90.5 THEN o_custkey::DOUBLE END AS share FROM orders""")
+def bounded_numbers(spark, sf):
+    orders = table(spark, sf, "orders")
+    return orders.select("o_orderkey", checks.bounded_int(F.concat(F.lit(" +"), F.left("o_orderpriority", F.lit(1))), 2, 4).alias("priority"), checks.bounded_float(F.col("o_custkey").cast("string"), 10, 90.5).alias("share"))
+
+
+@query("""SELECT CASE WHEN l IN ('cn', 'zh-cn', 'zh_cn') THEN 'zh' ELSE l END AS lang, count(*) AS n FROM (SELECT CASE WHEN doc_id % 3 = 0 THEN 'zh-cn' WHEN doc_id % 3 = 1 THEN 'cn' ELSE lang END AS l FROM documents) GROUP BY 1""")
+def languages(spark, sf):
+    name = F.when(F.col("doc_id") % 3 == 0, " ZH-CN ").when(F.col("doc_id") % 3 == 1, "cn").otherwise(F.upper("lang"))
+    return table(spark, sf, "documents").select(checks.language(name).alias("lang")).groupBy("lang").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT o_custkey, CASE WHEN bool_and(o_orderstatus IN ('F', 'O') AND o_orderpriority <> '1-URGENT') THEN 'complete' WHEN bool_or(o_orderstatus = 'P') THEN 'action_required' ELSE 'active' END AS state FROM orders GROUP BY o_custkey""")
+def manifest_states(spark, sf):
+    kind = F.when(F.col("o_orderstatus") == "P", "cleanup_failed").when(F.col("o_orderpriority") == "1-URGENT", "uploaded").when(F.col("o_orderstatus") == "F", "deleted").otherwise("retained")
+    return checks.manifest_status(table(spark, sf, "orders").select("o_custkey", kind.alias("status")), "o_custkey")
+
+
+@query("""SELECT w AS name, coalesce(c.n, 0) AS n FROM (SELECT unnest(['EUROPE', 'ASIA', 'ATLANTIS', 'AFRICA']) AS w) LEFT JOIN (SELECT upper(r_name) AS r, count(*) AS n FROM region GROUP BY 1) c ON c.r = w WHERE coalesce(c.n, 0) <> 1""")
+def case_problems(spark, sf):
+    return checks.case_problems(table(spark, sf, "region").select(F.upper("r_name").alias("name")), ("EUROPE", "ASIA", "ATLANTIS", "AFRICA"))
+
+
+@query("""SELECT count(DISTINCT user_id) AS selected, count(DISTINCT user_id) FILTER (user_id IN (SELECT doc_id FROM documents WHERE trim(text) <> '')) AS covered FROM events""")
+def text_coverage(spark, sf):
+    return checks.covered_count(table(spark, sf, "events").select(F.col("user_id").alias("doc_id")), table(spark, sf, "documents"), "doc_id")
+
+
+CODED = """
+WITH e AS (SELECT event_id, CASE event_id % 12 WHEN 0 THEN '[RATE_LIMIT] slow down' WHEN 1 THEN 'ReadTimeout' WHEN 2 THEN 'mediaTooShort' WHEN 3 THEN 'asr parse error' WHEN 4 THEN '' WHEN 5 THEN 'Fingerprint-Mismatch' WHEN 6 THEN 'workflow corrupt' WHEN 7 THEN 'http server error'
+  WHEN 8 THEN 'poll deadline exceeded' WHEN 9 THEN '[bad] x' WHEN 10 THEN 'DOWNLOAD_EMPTY' ELSE event_type END AS m FROM events)"""
+
+
+@query(CODED + """ SELECT CASE m WHEN '[RATE_LIMIT] slow down' THEN 'RATE_LIMIT' WHEN 'ReadTimeout' THEN 'NETWORK_TIMEOUT' WHEN 'poll deadline exceeded' THEN 'NETWORK_TIMEOUT' WHEN 'mediaTooShort' THEN 'INVALID_MEDIA' WHEN 'DOWNLOAD_EMPTY' THEN 'INVALID_MEDIA'
+  WHEN 'asr parse error' THEN 'ASR_PARSE_FAILED' WHEN 'Fingerprint-Mismatch' THEN 'STALE_ARTIFACT' WHEN 'workflow corrupt' THEN 'WORKFLOW_STATE_ERROR' WHEN 'http server error' THEN 'PROVIDER_UNAVAILABLE' ELSE 'UNEXPECTED_ERROR' END AS code, count(*) AS n FROM e GROUP BY 1""")
+def stable_codes(spark, sf):
+    messages = "[RATE_LIMIT] slow down|ReadTimeout|mediaTooShort|asr parse error||Fingerprint-Mismatch|workflow corrupt|http server error|poll deadline exceeded|[bad] x|DOWNLOAD_EMPTY"
+    one = F.get(F.split(F.lit(messages), r"\|"), (F.col("event_id") % 12).cast("int"))
+    rows = table(spark, sf, "events").select(F.coalesce(one, "event_type").alias("m"))
+    return rows.select(checks.stable_code(F.col("m")).alias("code")).groupBy("code").agg(F.count("*").alias("n"))
+
+
+@query(PHRASES.replace("c AS (SELECT *, round", "x AS (SELECT ids, phrase, row_number() OVER (ORDER BY df DESC, k DESC, tf DESC, phrase) AS place FROM kept ORDER BY place LIMIT 40), c AS (SELECT *, round").split("SELECT phrase, df AS")[0]
+  + "SELECT video_id, array_to_string(list(phrase ORDER BY place), '|') AS phrases FROM (SELECT unnest(string_split(ids, ',')) AS video_id, phrase, place FROM x) GROUP BY video_id")
+def phrases_by_document(spark, sf):
+    rows = terms.top_phrases(documents(spark, sf, "benchmark", "item_id"))
+    return checks.by_document(rows, "representative_video_ids", [F.desc("document_frequency"), F.desc("n_tokens"), F.desc("total_frequency"), "phrase"]).withColumn("phrases", F.array_join("phrases", "|"))
+
+
+@query("SELECT page_id, regexp_extract(url, '^https?://.*') AS url FROM pages")
+def nested_urls(spark, sf):
+    """The address of each page, found in an object around it."""
+    raw = F.to_json(F.struct(F.lit(1).alias("n"), F.struct(F.array(F.lit("x"), F.col("url")).alias("url_list")).alias("video")))
+    return table(spark, sf, "pages").select("page_id", checks.json_url(raw).alias("url"))
+
+
 
 
 @query("SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")
@@ -628,7 +833,7 @@ def chunk_continuity(spark, sf):
     return status.discontinuities(rows, "conv_id", ["start_ms"], "start_ms", "end_ms").drop("end_ms")
 
 
-@query()
+@query(r"""SELECT conv_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text, turn * 1000 AS start_ms, turn * 1000 + 900 AS end_ms, 0 AS source_index, 'sentences' AS provider FROM conversations WHERE trim(regexp_replace(text, '\s+', ' ', 'g')) <> ''""")
 def parsed_segments(spark, sf):
     payload = F.to_json(F.struct(F.array(F.struct(F.array(F.struct((F.col("turn") * 1000).alias("begin_time"), (F.col("turn") * 1000 + 900).alias("end_time"), F.col("text"))).alias("sentences"))).alias("transcripts")))
     return transcripts.parse_responses(table(spark, sf, "conversations").select("conv_id", payload.alias("payload")), "conv_id", "payload")
@@ -653,6 +858,11 @@ def retention_totals(spark, sf):
     return retention.totals(retention.plan(files, "derived"))
 
 
-@query()
+@query(rf"""
+WITH src AS (SELECT conv_id || '-' || turn AS id, coalesce(text, '') AS text FROM conversations),
+w AS (SELECT id, unnest(list_filter(regexp_extract_all(lower(text), '[a-z0-9]+(?:\.[0-9]+)?|[\x{{4e00}}-\x{{9fff}}]+'), lambda x: regexp_full_match(x, '[a-z][a-z0-9_+.-]*|[\x{{4e00}}-\x{{9fff}}]+') AND {IS_TERM})) AS term FROM src),
+c AS (SELECT id, term, count(*) AS n FROM w GROUP BY id, term),
+t AS (SELECT id, array_to_string((list(term || ': ' || n ORDER BY n DESC, term))[1:30], ', ') AS top_terms FROM c GROUP BY id)
+SELECT src.id, length(text) AS chars, length(regexp_extract_all(text, '[。！？!?]')) AS sentence_breaks, coalesce(top_terms, '') AS top_terms FROM src LEFT JOIN t USING (id)""")
 def transcript_summaries(spark, sf):
     return reports.transcript_summary(table(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), "text"), "id").withColumn("top_terms", F.array_join("top_terms", ", "))

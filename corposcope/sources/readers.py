@@ -34,9 +34,9 @@ def read_corpus(spark: SparkSession, folder: str, max_chars: int = MAX_CHARS, ma
     return rows
 
 
-def limit_plan(observed: int, limit: int) -> dict[str, int]:
-    parts = max(2, -(-observed // limit))
-    return {"batches": parts, "segments": parts}
+def limit_plan(observed: int, limit: int, largest: int = 0, per_text: int | None = None) -> dict[str, int]:
+    """Batches that a corpus over its limit needs, and segments that its largest text needs under the limit of a text."""
+    return {"batches": max(2, -(-observed // limit)), "segments": max(1, -(-largest // per_text)) if per_text else 1}
 
 
 def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -87,7 +87,7 @@ def selected(items: DataFrame, limit: int) -> DataFrame:
 
 
 def table_rows(texts: DataFrame, key: str, aliases: dict[str, Sequence[str]]) -> DataFrame:
-    """(key, ordinal, <columns>) of the first Markdown table of each text whose header names them (name -> aliases)."""
+    """(key, ordinal, <columns>) of all Markdown tables of a text whose header names them (name -> aliases), in order."""
     kind = dict(texts.dtypes)[key]
     names = list(aliases)
 
@@ -95,23 +95,28 @@ def table_rows(texts: DataFrame, key: str, aliases: dict[str, Sequence[str]]) ->
         bare = line.strip()
         return [c.strip() for c in bare.strip("|").split("|")] if "|" in bare else None
 
+    def columns(head: list[str], rule: list[str] | None) -> list[int | None] | None:
+        if not rule or not all(c and set(c) <= set(":-") for c in rule):
+            return None
+        heads = [h.casefold().replace(" ", "_").replace("-", "_") for h in head]
+        where = [next((i for i, h in enumerate(heads) if h in aliases[n]), None) for n in names]
+        return None if where[0] is None else where
+
     def scan(text: str) -> list[list[str | None]]:
         lines = [cells(x) for x in text.splitlines()]
-        for k in range(len(lines) - 1):
-            head, rule = lines[k], lines[k + 1]
-            if not head or not rule or not all(c and set(c) <= set(":-") for c in rule):
-                continue
-            heads = [h.casefold().replace(" ", "_").replace("-", "_") for h in head]
-            where = [next((i for i, h in enumerate(heads) if h in aliases[n]), None) for n in names]
-            if where[0] is None:
-                continue
-            out = []
-            for row in lines[k + 2 :]:
-                if row is None:
-                    break
-                out.append([row[i] if i is not None and i < len(row) else None for i in where])
-            return out
-        return []
+        out: list[list[str | None]] = []
+        where, skip = None, False
+        for line, below in zip(lines, [*lines[1:], None], strict=False):
+            found = columns(line, below) if line else None
+            if line is None:
+                where = None
+            elif found:
+                where, skip = found, True
+            elif skip:
+                skip = False
+            elif where:
+                out.append([line[i] if i is not None and i < len(line) else None for i in where])
+        return out
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corposcope.operators.notes import markdown_escaped
@@ -22,11 +22,13 @@ def bullet_list(df: DataFrame, column: str, limit: int) -> str:
 
 
 def transcript_summary(docs: DataFrame, key: str, terms: int = 30) -> DataFrame:
-    """(key, chars, sentence_breaks, top_terms) of each text; the terms of one text are ranked inside its row."""
+    """(key, chars, sentence_breaks, top_terms) of each text; a key names one text. Terms are counted by text and term, the first few of each text are kept before they are gathered."""
     from corposcope.functions import text
 
-    words = text.tokens(F.coalesce("text", F.lit("")))
-    kept = F.array_sort(F.filter(words, text.is_term))
-    counted = F.transform(F.array_distinct(kept), lambda t: F.struct(F.negative(F.size(F.filter(kept, lambda x: x == t))).alias("n"), t.alias("term")))
-    top = F.transform(F.slice(F.array_sort(counted), 1, terms), lambda x: F.concat(x["term"], F.lit(": "), F.negative(x["n"]).cast("string")))
-    return docs.select(key, F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"), text.sentence_count(F.coalesce("text", F.lit(""))).cast("long").alias("sentence_breaks"), top.alias("top_terms"))
+    body = F.coalesce("text", F.lit(""))
+    words = docs.select(key, F.explode(text.tokens(body)).alias("term")).groupBy(key, "term").agg(F.count("*").alias("n")).where(text.is_term(F.col("term")))
+    ranked = words.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "term"))).where(F.col("place") <= terms)
+    best = F.array_sort(F.collect_list(F.struct("place", F.concat("term", F.lit(": "), F.col("n").cast("string")).alias("text"))))
+    top = ranked.groupBy(key).agg(F.transform(best, lambda x: x["text"]).alias("top_terms"))
+    sizes = docs.select(key, F.length(body).cast("long").alias("chars"), text.sentence_count(body).cast("long").alias("sentence_breaks"))
+    return sizes.join(top, key, "left").withColumn("top_terms", F.coalesce("top_terms", F.array().cast("array<string>")))

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from corposcope.functions import ratios, text
-from corposcope.operators import coverage, entities, evidence, hygiene, ids, notes, overlap, retention, status, terms, transcripts
+from corposcope.operators import checks, coverage, entities, evidence, hygiene, ids, notes, overlap, retention, status, terms, transcripts
 from corposcope.sources import readers, reports, writers
 
 
@@ -102,20 +102,39 @@ def test_overlap_brute_force(spark):
 
 
 def test_entities(spark):
-    df = spark.createDataFrame([(1, "Use Open-AI and open ai, openais no. The Vision Pro"), (2, None)], "doc_id int, text string")
-    got = rows(entities.entity_spans(df, {"OpenAI": ("Open AI",), "Vision Pro": ()}, "doc_id"), "canonical", "surface")
-    assert got == [("OpenAI", "Open-AI"), ("OpenAI", "open ai"), ("Vision Pro", "Vision Pro")]
+    df = spark.createDataFrame([(1, "Use Open-AI and open ai, openais no, O.p.e.n AI. The Vision Pro Max, VisionPro"), (2, None)], "doc_id int, text string")
+    found = entities.entity_spans(df, {"OpenAI": (), "Vision Pro": ("Vision Pro Max", "Pro Max VisionPro")}, "doc_id")
+    # the earliest match wins, then the longest
+    assert rows(found, "canonical", "surface") == [("OpenAI", "O.p.e.n AI"), ("OpenAI", "Open-AI"), ("OpenAI", "open ai"), ("Vision Pro", "Vision Pro Max"), ("Vision Pro", "VisionPro")]
+    assert rows(entities.registered_candidates(found, "doc_id"), "canonical", "document_frequency", "occurrences", "entity_key") == [("OpenAI", 1, 3, "openai"), ("Vision Pro", 1, 2, "visionpro")]
+
+
+SEGMENT = "media string, chunk_index int, chunk_start_ms long, chunk_end_ms long, text string, start_ms long, end_ms long, source_index int"
 
 
 def test_chunk_merge_drops_boundary_repeats(spark):
     df = spark.createDataFrame(
         [("m", 0, 0, 10000, "hello there", 0, 3000, 0), ("m", 0, 0, 10000, "at the boundary now", 8500, 10000, 1), ("m", 1, 10000, 20000, "at the boundary now!", 200, 900, 0), ("m", 1, 10000, 20000, "later text", 5000, 6000, 1)],
-        "media string, chunk_index int, chunk_start_ms long, chunk_end_ms long, text string, start_ms long, end_ms long, source_index int",
+        SEGMENT,
     )
     got = rows(transcripts.merge_chunks(df, "media"), "chunk_index", "text", "start_ms")
     assert got == [(0, "at the boundary now", 8500), (0, "hello there", 0), (1, "later text", 15000)]
 
 
+def test_chunk_merge_in_global_order(spark):
+    df = spark.createDataFrame(
+        [
+            ("m", 1, 120000, 240000, "second chunk", 5000, 6000, 0), ("m", 0, 0, 120000, "no time", None, None, 1), ("m", 0, 0, 120000, "past the start", 0, 900, 0),
+            ("m", 0, 0, 120000, "runs over", 121000, 122000, 2), ("m", 1, 120000, 240000, " ", 1, 2, 1), ("m", 1, 120000, 240000, "abc", 100, 200, 2), ("m", 0, 0, 120000, "abc", 119000, 120000, 3), ("m", 1, 120000, 240000, "untimed too", None, None, 3),
+        ],
+        SEGMENT,
+    )
+    got = [(r["text"], r["start_ms"]) for r in transcripts.merge_chunks(df, "media").orderBy("segment_index").collect()]
+    # three characters are too few to be a repeat
+    assert got == [("past the start", 0), ("no time", None), ("abc", 119000), ("untimed too", None), ("abc", 120100), ("runs over", 121000), ("second chunk", 125000)]
+    assert [t for t, s in got if s is not None] == ["past the start", "abc", "abc", "runs over", "second chunk"] and got[1] == ("no time", None)
+
+
 def test_responses(spark):
     df = spark.createDataFrame(
         [
@@ -137,11 +156,35 @@ def test_subtitles(spark):
 
 def test_redaction(spark):
     df = spark.createDataFrame([("HTTPS://u:p@Ex.com/a?token=1&x=2&sig=3#f",), ("ftp://x/y",), ("http://h/p?api_key=9",)], "u string")
-    assert [r[0] for r in df.select(hygiene.redacted_url(F.col("u"))).collect()] == ["https://Ex.com/a?x=2", "<redacted-url>", "http://h/p"]
+    assert [r[0] for r in df.select(hygiene.redacted_url(F.col("u"))).collect()] == ["https://ex.com/a?x=2", "<redacted-url>", "http://h/p"]
     row = spark.createDataFrame([('Authorization: Bearer abc password="q w" key /home/me/x',)], "t string").select(hygiene.scrubbed(F.col("t"))).first()[0]
     assert "abc" not in row and "q w" not in row and "/home/me" not in row
 
 
+def test_scrub_rules(spark):
+    cases = {
+        "see https://u:p@Ex.com/a?token=1&x=a+b#f, and more": "see https://ex.com/a?x=a+b, and more",
+        "API_KEY='a b c' rest": "API_KEY=<redacted> rest",
+        '"my-secret": "x y"': '"my-secret": "<redacted>"',
+        "--access-token=abc&z": "--access-token=<redacted>&z",
+        "at C:\\Users\\me\\x.txt; ok": "at <redacted-path>; ok",
+        "in /home/me/x, ok a/home/me": "in <redacted-path>, ok a/home/me",
+        "Authorization: Bearer abc": "Authorization: <redacted>",
+        "no secrets here": "no secrets here",
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    assert {r[0]: r[1] for r in df.select("t", hygiene.scrubbed(F.col("t"))).collect()} == cases
+    assert df.select(hygiene.scrubbed(F.lit("ab known cd"), known=("known",), limit=6)).first()[0] == "ab <re"
+
+
+def test_scrub_is_linear_in_long_words(spark):
+    import time
+
+    df = spark.createDataFrame([("a" * 200_000 + " " + "b-" * 100_000 + "key",)], "t string")
+    began = time.time()
+    assert df.select(F.length(hygiene.scrubbed(F.col("t")))).first()[0] == 400_004 and time.time() - began < 20
+
+
 def test_fences(spark):
     df = spark.createDataFrame([("a\n```py\n????\n```\nb\n~~~\nopen",)], "t string")
     assert df.select(hygiene.without_fenced_code("t")).first()[0] == "a\nb\n~~~\nopen"
@@ -227,3 +270,45 @@ def test_overlay_and_range_anti_join(spark):
     assert rows(entities.overlaid_definitions(preset, project), "entity_key", "canonical", "alias", "origin") == [("k", "K!", "Kay", "project"), ("p", "Pea", None, "preset")]
     found = spark.createDataFrame([(1, 2, 4), (1, 8, 12)], "d int, start int, end int")
     assert rows(entities.outside_spans(found, spark.createDataFrame([(1, 0, 5)], "d int, start int, end int"), "d"), "start") == [(8,)]
+
+
+def test_tables_of_a_text(spark):
+    text = "| Video ID | Status |\n|---|---|\n| 1 | used |\n\nwords\n\n| other | x |\n|--|--|\n| 9 | 9 |\n\n| status | video-id |\n| :-- | --: |\n| no | 2 |\n| yes | 3 |"
+    df = spark.createDataFrame([(1, text), (2, None)], "d int, text string")
+    got = readers.table_rows(df, "d", {"video_id": ("video_id", "id"), "status": ("status",)})
+    assert rows(got, "ordinal", "video_id", "status") == [(1, "1", "used"), (2, "2", "no"), (3, "3", "yes")]
+
+
+def test_fences_with_an_info_string(spark):
+    df = spark.createDataFrame([("a ?\n```sh\n????\n```\nb",), ("``` x ` y\n????",), ("~~~ a ` b\n????\n~~~",)], "t string")
+    got = [tuple(r) for r in df.select(*[c.alias(k) for k, c in hygiene.encoding_columns(F.col("t")).items()]).select("question_marks", "longest_run", "passed").collect()]
+    assert got == [(1, 1, True), (4, 4, False), (0, 0, True)]
+
+
+def test_nested_json(spark):
+    raw = ['{"a": {"video": {"url_list": ["x", "https://v/1"]}}, "author": {"nickname": "null", "uid": "7"}}', '{"user": {"nickname": "Ann", "unique_id": "ann"}, "items": [{"desc": "", "title": "T"}]}', "no json", None]
+    df = spark.createDataFrame(list(enumerate(raw)), "position int, raw string")
+    assert [r[0] for r in df.orderBy("position").select(checks.json_url(F.col("raw"))).collect()] == ["https://v/1", None, None, None]
+    assert [r[0] for r in df.orderBy("position").select(checks.json_key(F.col("raw"), ("title", "desc", "uid"))).collect()] == ["7", "T", None, None]
+    assert tuple(checks.creator_profile(df).first()) == ("Ann", "ann", "", "")
+    assert tuple(checks.creator_profile(df.where("position > 1")).first()) == ("", "", "", "")
+
+
+def test_small_rules(spark):
+    one = lambda c: spark.range(1).select(c).first()[0]
+    lit = F.lit
+    assert [one(checks.bounded_int(lit(x), 1, 9)) for x in (" +7 ", "1e1", "10", "")] == [7, None, None, None]
+    assert [one(checks.bounded_float(lit(x), 0, 2)) for x in ("1.5", "nan", "inf", "x", "3")] == [1.5, None, None, None, None]
+    assert [one(checks.is_metadata_role(lit(x))) for x in ("Metadata", "metadata-source", "元数据：x", "transcript", None)] == [True, True, True, False, False]
+    assert [one(checks.needs_transcript(F.array(*map(lit, x)))) for x in (("a.Script_Style", "b"), ("c",))] == [True, False]
+    assert one(checks.nonempty(F.array(lit("1"), lit(" null"), lit("[]"), lit('"x"'), lit("{}")))) == ["1", '"x"']
+    assert [one(checks.is_final_reference(lit(x))) for x in ("skill/a/b.md#p", "skill/../x#p", "skill/a.md", "other/a#p", "skill/a\\b#p")] == [True, False, False, False, False]
+    assert [one(checks.trace_verdict(lit(x))) for x in ("not traceable", "creator-specific", "hm")] == ["negative", "positive", "unclear"]
+    assert [one(checks.stable_code(lit(x))) for x in ("[ASR_FAILED] x", "ConnectTimeout", "", None)] == ["ASR_FAILED", "NETWORK_TIMEOUT", "UNEXPECTED_ERROR", "UNEXPECTED_ERROR"]
+
+
+def test_limits_in_order(spark):
+    df = spark.createDataFrame([(k, 10) for k in range(40)], "k int, n int").repartition(5)
+    assert [tuple(r) for r in checks.first_over(df, "k", "n", 205).collect()] == [(20, 210)]
+    assert checks.first_over(df, "k", "n", 400).count() == 0
+    assert readers.limit_plan(10, 4) == {"batches": 3, "segments": 1} and readers.limit_plan(10, 4, 9, 2)["segments"] == 5
