@@ -98,3 +98,48 @@ def keep_first(rows: DataFrame, keys: Sequence[str], order) -> DataFrame:
 def upserted(state: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """state with the rows of changes (same columns) put in place of those of equal key, or added."""
     return state.join(changes.select(key), key, "left_anti").unionByName(changes)
+
+
+# Statuses of a log that say a stage was done.
+DONE = {"downloaded": ("downloaded", "succeeded", "completed"), "audio": ("extracted", "succeeded", "completed"), "transcribed": ("transcribed", "succeeded", "completed")}
+
+
+def stage_states(selected: DataFrame, logs: dict[str, DataFrame], files: dict[str, DataFrame], offline: bool = False) -> DataFrame:
+    """(video_id, stage, status, code) of every selected item in each of four stages; code is null where nothing is wrong.
+
+    selected is (video_id, artifact_id, download_url); logs are (id, status) by stage, one row for an id, found by the
+    item's own id or else by its artifact's; files are (artifact_id) by stage. What a stage's log says of a failure
+    counts before the file. A stage without a log is blocked where the one before it isn't covered. Offline runs need
+    no download and no audio. Seven left joins, each on one key; the ladder is one projection.
+    """
+    rows = selected
+    for stage in ("downloaded", "audio", "transcribed"):
+        for by in ("video_id", "artifact_id"):
+            log = logs[stage].select(F.col("id").alias(by), F.lower("status").alias(f"{stage}_{by}"), F.lit(True).alias(f"{stage}_{by}_row"))
+            rows = rows.join(log, by, "left")
+        held = files[stage].select("artifact_id").distinct().withColumn(f"{stage}_file", F.lit(True))
+        rows = rows.join(held, "artifact_id", "left")
+    found = lambda s: F.coalesce(f"{s}_video_id_row", f"{s}_artifact_id_row", F.lit(False))
+    said = lambda s: F.coalesce(F.when(F.col(f"{s}_video_id_row"), F.col(f"{s}_video_id")).otherwise(F.col(f"{s}_artifact_id")), F.lit(""))
+    file = lambda s: F.coalesce(f"{s}_file", F.lit(False))
+    done = lambda s: said(s).isin(*DONE[s])
+
+    def produced(s: str, name: str, absent: str, ladder):
+        """What to say where a stage left no file."""
+        return ladder.when(~found(s), absent).when(done(s), f"{name}_ARTIFACT_MISSING").when(said(s) == "skipped", f"{name}_SKIPPED").otherwise(f"{name}_FAILED")
+
+    no_url = F.trim(F.coalesce("download_url", F.lit(""))) == ""
+    fetched = F.when(no_url, "DOWNLOAD_URL_MISSING").when(said("downloaded") == "failed", "DOWNLOAD_FAILED").when(file("downloaded"), None)
+    rows = rows.withColumn("downloaded", produced("downloaded", "DOWNLOAD", "DOWNLOAD_NOT_RECORDED", fetched))
+    heard = F.when(said("audio") == "failed", "AUDIO_FAILED").when(file("audio"), None).when(F.col("downloaded").isNotNull() & ~found("audio"), "AUDIO_BLOCKED")
+    rows = rows.withColumn("audio", produced("audio", "AUDIO", "AUDIO_NOT_PRODUCED", heard))
+    blocked = F.lit(not offline) & F.col("audio").isNotNull()
+    written_out = F.when(file("transcribed"), None).when(said("transcribed") == "skipped", "ASR_SKIPPED").when(found("transcribed") & ~done("transcribed"), "ASR_FAILED")
+    rows = rows.withColumn("transcribed", written_out.when(blocked, "TRANSCRIPTION_BLOCKED").otherwise("TRANSCRIPT_MISSING"))
+    state = lambda c: F.when(c.isNull(), "covered").when(c.endswith("_BLOCKED"), "blocked").otherwise("failed")
+    exempt = F.struct(F.lit("not_required").alias("status"), F.lit(None).cast("string").alias("code"))
+    one = lambda s: F.struct(state(F.col(s)).alias("status"), F.col(s).alias("code"))
+    picked = F.when(F.trim(F.coalesce("video_id", F.lit(""))) == "", "VIDEO_ID_INVALID")
+    stages = {"selected": F.struct(state(picked).alias("status"), picked.alias("code")), "downloaded": exempt if offline else one("downloaded"), "audio": exempt if offline else one("audio"), "transcribed": one("transcribed")}
+    every = F.array(*[F.struct(F.lit(s).alias("stage"), x["status"].alias("status"), x["code"].alias("code")) for s, x in stages.items()])
+    return rows.select("video_id", F.inline(every))

@@ -361,6 +361,30 @@ def stage_coverage(spark, sf):
     return status.stage_coverage(ev, ev, STAGES, "user_id")
 
 
+@query("""
+WITH sel AS (SELECT o_orderkey::VARCHAR AS v, 'a' || o_orderkey AS a, CASE WHEN o_orderpriority = '1-URGENT' THEN ' ' ELSE 'u' END AS url FROM orders),
+e AS (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+dl AS (SELECT user_id::VARCHAR AS id, CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'Skipped' ELSE 'downloaded' END AS s FROM e WHERE n = 1),
+au AS (SELECT 'a' || user_id AS id, CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'skipped' ELSE 'extracted' END AS s FROM e WHERE n = 2),
+tr AS (SELECT user_id::VARCHAR AS id, CASE event_type WHEN 'error' THEN 'broken' WHEN 'view' THEN 'skipped' ELSE 'completed' END AS s FROM e WHERE n = 3),
+j AS (SELECT v, url, lower(dl.s) AS d, lower(au.s) AS x, lower(tr.s) AS t, o_k % 3 <> 0 AS df, o_k % 4 <> 0 AS af, o_k % 5 <> 0 AS tf
+  FROM (SELECT *, v::BIGINT AS o_k FROM sel) s LEFT JOIN dl ON dl.id = s.v LEFT JOIN au ON au.id = s.a LEFT JOIN tr ON tr.id = s.v),
+k AS (SELECT *, CASE WHEN trim(url) = '' THEN 'DOWNLOAD_URL_MISSING' WHEN d = 'failed' THEN 'DOWNLOAD_FAILED' WHEN df THEN NULL WHEN d IS NULL THEN 'DOWNLOAD_NOT_RECORDED' WHEN d = 'downloaded' THEN 'DOWNLOAD_ARTIFACT_MISSING' ELSE 'DOWNLOAD_SKIPPED' END AS dc FROM j),
+l AS (SELECT *, CASE WHEN x = 'failed' THEN 'AUDIO_FAILED' WHEN af THEN NULL WHEN dc IS NOT NULL AND x IS NULL THEN 'AUDIO_BLOCKED' WHEN x IS NULL THEN 'AUDIO_NOT_PRODUCED' WHEN x = 'extracted' THEN 'AUDIO_ARTIFACT_MISSING' ELSE 'AUDIO_SKIPPED' END AS ac FROM k),
+m AS (SELECT *, CASE WHEN tf THEN NULL WHEN t = 'skipped' THEN 'ASR_SKIPPED' WHEN t = 'broken' THEN 'ASR_FAILED' WHEN ac IS NOT NULL THEN 'TRANSCRIPTION_BLOCKED' ELSE 'TRANSCRIPT_MISSING' END AS tc FROM l),
+c AS (SELECT 'selected' AS stage, NULL::VARCHAR AS code FROM m UNION ALL SELECT 'downloaded', dc FROM m UNION ALL SELECT 'audio', ac FROM m UNION ALL SELECT 'transcribed', tc FROM m)
+SELECT stage, CASE WHEN code IS NULL THEN 'covered' WHEN code LIKE '%BLOCKED' THEN 'blocked' ELSE 'failed' END AS status, code, count(*) AS n FROM c GROUP BY ALL""")
+def stage_states(spark, sf):
+    key = F.col("o_orderkey")
+    selected = table(spark, sf, "orders").select(key.cast("string").alias("video_id"), F.concat(F.lit("a"), key.cast("string")).alias("artifact_id"), F.when(F.col("o_orderpriority") == "1-URGENT", " ").otherwise("u").alias("download_url"))
+    turns = coverage.recent(table(spark, sf, "events"), ["user_id"], ["event_id"], 3)
+    log = lambda n, prefix, done, bad: turns.where(F.col("n") == n).select(F.concat(F.lit(prefix), F.col("user_id").cast("string")).alias("id"), F.when(F.col("event_type") == "error", bad).when(F.col("event_type") == "view", "Skipped").otherwise(done).alias("status"))
+    held = lambda m: table(spark, sf, "orders").where(key % m != 0).select(F.concat(F.lit("a"), key.cast("string")).alias("artifact_id"))
+    logs = {"downloaded": log(1, "", "downloaded", "failed"), "audio": log(2, "a", "extracted", "failed"), "transcribed": log(3, "", "completed", "broken")}
+    states = status.stage_states(selected, logs, {"downloaded": held(3), "audio": held(4), "transcribed": held(5)})
+    return states.groupBy("stage", "status", "code").agg(F.count("*").alias("n"))
+
+
 STEPS = """
 WITH e AS (SELECT user_id AS step_id, CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'skipped' ELSE 'completed' END AS s, value > 50 AS v FROM events),
 g AS (SELECT step_id, count(*) AS total, count(*) FILTER (s = 'completed' OR (s = 'skipped' AND coalesce(v, false))) AS succeeded,
