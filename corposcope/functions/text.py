@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -68,6 +69,22 @@ def tokens(text: Column | str) -> Column:
     return F.filter(found, lambda x: ~F.left(x, F.lit(1)).between("0", "9"))
 
 
+def vocabulary_tokens(words: Sequence[str]) -> Callable[[Column | str], Column]:
+    """A tokenizer that splits CJK runs by forward longest match over `words`; other characters are tokens of their own.
+
+    For corpora without spaces between words, where tokens() gives whole runs. The words are one alternation, longest
+    first, so nothing leaves the JVM; some thousands are fine.
+    """
+    known = "|".join(sorted((w.lower() for w in set(words) if re.fullmatch("[\u4e00-\u9fff]{2,}", w)), key=lambda w: (-len(w), w)))
+    pattern = r"[a-z0-9]+(?:\.[0-9]+)?|" + (known + "|" if known else "") + r"[\x{4e00}-\x{9fff}]"
+
+    def split(text: Column | str) -> Column:
+        found = F.regexp_extract_all(F.lower(_col(text)), F.lit(pattern), F.lit(0))
+        return F.filter(found, lambda x: ~F.left(x, F.lit(1)).between("0", "9"))
+
+    return split
+
+
 def is_term(token: Column) -> Column:
     cjk = token.rlike(r"^[\x{4e00}-\x{9fff}]")
     chars = F.length(token)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corposcope.functions import ratios, text
 from corposcope.operators import checks, coverage, entities, evidence, hygiene, ids, notes, overlap, retention, status, terms, transcripts
+from corposcope.plans import presets
 from corposcope.sources import readers, reports, writers
 
 
@@ -272,6 +273,28 @@ def test_overlay_and_range_anti_join(spark):
     assert rows(entities.outside_spans(found, spark.createDataFrame([(1, 0, 5)], "d int, start int, end int"), "d"), "start") == [(8,)]
 
 
+def test_chinese_text_by_a_vocabulary(spark):
+    docs = spark.createDataFrame(
+        [("v1", "炒菜要点", "先控制火候保持口感。控制火候保持口感最重要！"), ("v2", None, "老师傅说控制火候保持口感；API 2.0 也行"), ("v3", "别的", "完全不同的话题")],
+        "video_id string, title string, text string",
+    )
+    split = text.vocabulary_tokens(("控制", "火候", "保持", "口感", "老师傅", "话题"))
+    plain = {r["term"]: (r["document_frequency"], r["total_frequency"]) for r in terms.term_evidence(docs, split).collect()}
+    assert plain["火候"] == (2, 3) and plain["话题"] == (1, 1) and plain["api"] == (1, 1) and "菜" not in plain
+    top = {r["phrase"]: r for r in terms.top_phrases(docs, tokenizer=split).collect()}["控制火候保持口感"]
+    assert (top["document_frequency"], top["total_frequency"], top["n_tokens"]) == (2, 3, 4)
+    assert top["representative_video_ids"] == ["v1", "v2"] and top["source_fragment_ids"] == ["v1#transcript:0001", "v1#transcript:0002", "v2#transcript:0001"]
+
+
+def test_signals_of_the_chinese_preset(spark):
+    docs = spark.createDataFrame([("a", "新手教程", "为什么要慢？第一步先放盐。其实原理简单。记住不要违规。"), ("b", None, None)], "video_id string, title string, text string")
+    got = {r["video_id"]: r for r in coverage.signals(docs, presets.GENERAL_ZH).collect()}
+    assert got["a"]["themes"] == ["教程 / 方法"] and got["a"]["hooks"] == ["问题 / 悬念入口", "反差 / 转折入口", "直接任务 / 方法入口"]
+    assert got["a"]["arguments"] == ["步骤说明", "机制解释"] and got["a"]["endings"] == ["行动建议", "风险提醒"]
+    assert got["a"]["contributions"] == ["topic_model:method_tutorial", "judgment_heuristic:mechanism"] and got["a"]["boundary"] and got["a"]["judgment_sentence"] == "为什么要慢？"
+    assert got["b"]["contributions"] == ["evidence:general_style"] and not got["b"]["boundary"] and got["b"]["hooks"] == []
+
+
 def test_tables_of_a_text(spark):
     text = "| Video ID | Status |\n|---|---|\n| 1 | used |\n\nwords\n\n| other | x |\n|--|--|\n| 9 | 9 |\n\n| status | video-id |\n| :-- | --: |\n| no | 2 |\n| yes | 3 |"
     df = spark.createDataFrame([(1, text), (2, None)], "d int, text string")
