@@ -238,3 +238,17 @@ def creator_profile(items: DataFrame, value: str = "raw", order: str = "position
     score = sum((F.when(F.col(f) != "", n).otherwise(0) for f, n in zip(fields, (4, 3, 2, 2), strict=True)), F.lit(0))
     best = F.max_by(F.struct(*fields), F.struct(score.alias("score"), F.negative("place").alias("p"), F.negative("n").alias("n")))
     return each.agg(best.alias("best")).select(*[F.coalesce(f"best.{f}", F.lit("")).alias(f) for f in fields])
+
+
+def dotted(value: Column, path: str) -> Column:
+    """The value at a dotted path of a JSON text; a number is a place in a list, or a name where there is no list."""
+    for part in path.split("."):
+        named = F.get_json_object(value, f"$['{part}']")
+        value = F.coalesce(F.get_json_object(value, f"$[{part}]"), named) if part.isdigit() else named
+    return value
+
+
+def layered(layers: DataFrame) -> DataFrame:
+    """(key, value, source) of settings (rank, source, key, value): the value of the highest rank that is set, and where it is from."""
+    one = F.max_by(F.struct("value", "source"), "rank")
+    return layers.where("value is not null").groupBy("key").agg(one.alias("one")).select("key", "one.value", "one.source")

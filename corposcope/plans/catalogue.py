@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corposcope.functions import text
-from corposcope.operators import checks, coverage, entities, evidence, hygiene, ids, notes, overlap, retention, status, terms, transcripts
+from corposcope.operators import checks, coverage, entities, evidence, hygiene, ids, notes, overlap, retention, schemas, status, terms, transcripts
 from corposcope.plans.presets import ENGLISH
 from corposcope.sources import reports
 
@@ -890,3 +890,18 @@ t AS (SELECT id, array_to_string((list(term || ': ' || n ORDER BY n DESC, term))
 SELECT src.id, length(text) AS chars, length(regexp_extract_all(text, '[。！？!?]')) AS sentence_breaks, coalesce(top_terms, '') AS top_terms FROM src LEFT JOIN t USING (id)""")
 def transcript_summaries(spark, sf):
     return reports.transcript_summary(table(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), "text"), "id").withColumn("top_terms", F.array_join("top_terms", ", "))
+
+
+#: What the props of an event should be.
+PROPS = {"type": "object", "required": ["k"], "properties": {"k": {"type": "integer", "minimum": 5, "maximum": 60}}}
+
+
+@query("""SELECT event_id, '/k' AS pointer, CASE WHEN k > 60 THEN 'maximum' ELSE 'minimum' END AS keyword FROM (SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events) WHERE k > 60 OR k < 5""")
+def schema_violations(spark, sf):
+    return schemas.schema_errors(table(spark, sf, "events"), PROPS, "event_id", "props")
+
+
+@query("""SELECT key, value, source FROM (SELECT user_id AS key, arg_max(event_id::VARCHAR, event_id) AS value, arg_max(event_type, event_id) AS source FROM events WHERE event_type <> 'error' GROUP BY user_id)""")
+def layered_settings(spark, sf):
+    value = F.when(F.col("event_type") != "error", F.col("event_id").cast("string"))
+    return checks.layered(table(spark, sf, "events").select(F.col("event_id").alias("rank"), F.col("event_type").alias("source"), F.col("user_id").alias("key"), value.alias("value")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -142,3 +143,51 @@ def inventory(spark: SparkSession, folder: str) -> DataFrame:
 def read_events(spark: SparkSession, folder: str, schema: str, streaming: bool = False) -> DataFrame:
     """The event log, as a table or (an extension) as a stream."""
     return (spark.readStream if streaming else spark.read).schema(schema).json(folder)
+
+
+def final_documents(spark: SparkSession, folder: str, suffixes: Sequence[str] = ("md", "txt", "json", "yaml", "yml")) -> DataFrame:
+    """(path, bytes, sha256, is_utf8, text) of the text files under a folder, at any depth; hidden files are left out.
+
+    path is relative to the folder. text is null where the bytes are no UTF-8; a byte order mark is dropped.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{" + ",".join(suffixes) + "}").load(folder)
+    base = folder.rstrip("/").split("://")[-1].lstrip("/")
+    sound = F.is_valid_utf8(F.col("content").cast("string"))
+    path = F.regexp_replace(F.substring_index("path", base + "/", -1), "^/+", "")
+    return files.select(path.alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), sound.alias("is_utf8"), F.when(sound, F.regexp_replace(F.col("content").cast("string"), "^﻿", "")).alias("text"))
+
+
+def manifests(spark: SparkSession, folder: str, names: Sequence[str], max_bytes: int = 1 << 20) -> DataFrame:
+    """(path, state, value) of required JSON files of a folder: missing, too_large, invalid (no JSON object) or ok."""
+    wanted = spark.createDataFrame([(n,) for n in names], "path string")
+    # the length comes first, so that the content of a large file is never read
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder).select(F.substring_index("path", "/", -1).alias("path"), "length", F.when(F.col("length") <= max_bytes, F.col("content").cast("string")).alias("value"))
+    is_object = F.get_json_object("value", "$").isNotNull() & F.ltrim(F.regexp_replace("value", "^﻿", "")).startswith("{")
+    state = F.when(F.col("length").isNull(), "missing").when(F.col("length") > max_bytes, "too_large").when(F.coalesce(is_object, F.lit(False)), "ok").otherwise("invalid")
+    rows = wanted.join(files, "path", "left").withColumn("state", state)
+    return rows.select("path", "state", F.when(F.col("state") == "ok", F.col("value")).alias("value"))
+
+
+IMPACTS = ("high", "medium", "low")
+
+
+def entity_dictionary(spark: SparkSession, path: str, max_bytes: int = 1 << 20, max_entities: int = 1000, max_aliases: int = 50) -> DataFrame:
+    """(canonical_term, aliases, category, impact, note) of a dictionary file; fails where it breaks its bounds or a rule of its fields."""
+    import json
+
+    size = spark.read.format("binaryFile").load(path).select("length").first()[0]
+    if size > max_bytes:
+        raise LimitExceeded(f"the dictionary has {size} bytes; the limit is {max_bytes}")
+    payload = json.loads(spark.read.text(path, wholetext=True).first()[0].removeprefix("﻿"))
+    entities = payload.get("entities") if isinstance(payload, dict) else None
+    if not isinstance(entities, list) or len(entities) > max_entities:
+        raise LimitExceeded(f"the dictionary needs a list of at most {max_entities} entities")
+    rows = []
+    for n, e in enumerate(entities):
+        fields = [e.get(k) for k in ("canonical_term", "category", "impact")] if isinstance(e, dict) else [None]
+        aliases = e.get("aliases") if isinstance(e, dict) else None
+        fine = all(isinstance(x, str) and x.strip() for x in fields) and isinstance(aliases, list) and len(aliases) <= max_aliases and all(isinstance(x, str) and x.strip() for x in aliases)
+        if not fine or not re.fullmatch("[a-z][a-z0-9]*(?:_[a-z0-9]+)*", fields[1]) or fields[2] not in IMPACTS or not isinstance(e.get("note", ""), str):
+            raise ValueError(f"entities[{n}] breaks a rule of its fields")
+        rows.append((fields[0].strip(), [x.strip() for x in aliases], fields[1], fields[2], e.get("note", "").strip()))
+    return spark.createDataFrame(rows, "canonical_term string, aliases array<string>, category string, impact string, note string")

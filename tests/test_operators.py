@@ -1,11 +1,13 @@
 """Operators on small inputs, against plain Python where there is a rule to hold."""
 
+import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from corposcope.functions import ratios, text
-from corposcope.operators import checks, coverage, entities, evidence, hygiene, ids, notes, overlap, retention, status, terms, transcripts
+from corposcope.operators import checks, coverage, entities, evidence, hygiene, ids, notes, overlap, retention, schemas, status, terms, transcripts
 from corposcope.plans import presets
 from corposcope.sources import readers, reports, writers
 
@@ -335,3 +337,53 @@ def test_limits_in_order(spark):
     assert [tuple(r) for r in checks.first_over(df, "k", "n", 205).collect()] == [(20, 210)]
     assert checks.first_over(df, "k", "n", 400).count() == 0
     assert readers.limit_plan(10, 4) == {"batches": 3, "segments": 1} and readers.limit_plan(10, 4, 9, 2)["segments"] == 5
+
+
+def test_schema_errors(spark):
+    schema = {
+        "type": "object", "required": ["id", "tags"], "additionalProperties": False,
+        "properties": {"id": {"type": "integer", "minimum": 1}, "tags": {"type": "array", "items": {"type": "string", "pattern": "^t"}, "uniqueItems": True}, "kind": {"enum": ["a", 1]}, "x": {"oneOf": [{"type": "null"}, {"$ref": "#/$defs/y"}]}},
+        "$defs": {"y": {"type": "object", "required": ["z"]}},
+    }
+    texts = ['{"id": 2, "tags": ["t1"], "kind": "a", "x": null}', '{"id": 0, "tags": ["t", "u", "t"], "kind": true, "a/b": 1}', '{"id": "1", "x": {}}', "[]", "{", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, value string")
+    got = rows(schemas.schema_errors(df, schema, "k"), "k", "pointer", "keyword")
+    want = [(1, "/a~1b", "additionalProperties"), (1, "/id", "minimum"), (1, "/kind", "enum"), (1, "/tags", "uniqueItems"), (1, "/tags/1", "pattern"), (2, "/id", "type"), (2, "/tags", "required"), (2, "/x/z", "required"), (3, "", "type"), (4, "", "json"), (5, "", "json")]
+    assert got == sorted(want, key=repr)
+    many = spark.createDataFrame([(1, json.dumps({"id": 1, "tags": ["x"] * 3 + [f"u{k}" for k in range(70)]})), (2, texts[0])], "k int, value string")
+    report = {r["k"]: r for r in schemas.schema_report(many, schema, "k").collect()}
+    assert (report[1]["errors"], len(report[1]["pointers"]), report[1]["truncated"]) == (74, 50, True) and report[2]["valid"] and report[2]["pointers"] == []
+
+
+def test_files_of_a_run(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "a.md").write_text("\ufeffhello")
+    (tmp_path / "deep" / "b.txt").write_bytes(b"\xff\xfe")
+    (tmp_path / "c.bin").write_text("no")
+    (tmp_path / "input.json").write_text('{"a": 1}')
+    (tmp_path / "list.json").write_text("[1]")
+    (tmp_path / "big.json").write_text("{" + " " * 200 + "}")
+    found = {r["path"]: (r["is_utf8"], r["text"]) for r in readers.final_documents(spark, str(tmp_path)).collect()}
+    assert found["a.md"] == (True, "hello") and found["deep/b.txt"] == (False, None) and "c.bin" not in found
+    states = rows(readers.manifests(spark, str(tmp_path), ["input.json", "list.json", "big.json", "none.json"], max_bytes=100), "path", "state")
+    assert states == [("big.json", "too_large"), ("input.json", "ok"), ("list.json", "invalid"), ("none.json", "missing")]
+
+
+def test_entity_dictionary(spark, tmp_path):
+    entity = {"canonical_term": " OpenAI ", "aliases": ["Open AI"], "category": "ai_lab", "impact": "high"}
+    path = tmp_path / "d.json"
+    path.write_text(json.dumps({"schema_version": 1, "entities": [entity]}))
+    assert tuple(readers.entity_dictionary(spark, str(path)).first()) == ("OpenAI", ["Open AI"], "ai_lab", "high", "")
+    for bad in ({**entity, "impact": "huge"}, {**entity, "category": "A b"}, {**entity, "aliases": ["x"] * 51}, {**entity, "canonical_term": " "}):
+        path.write_text(json.dumps({"entities": [bad]}))
+        with pytest.raises(ValueError):
+            readers.entity_dictionary(spark, str(path))
+    with pytest.raises(readers.LimitExceeded):
+        readers.entity_dictionary(spark, str(path), max_bytes=10)
+
+
+def test_paths_and_layers(spark):
+    raw = F.lit('{"a": [{"b": 1}, {"b": {"0": "x"}}]}')
+    assert [spark.range(1).select(checks.dotted(raw, p)).first()[0] for p in ("a.1.b.0", "a.0.b", "a.5.b", "z")] == ["x", "1", None, None]
+    layers = spark.createDataFrame([(0, "default", "k", "1"), (1, "file", "k", None), (2, "env", "k", "3"), (0, "default", "m", "x")], "rank int, source string, key string, value string")
+    assert rows(checks.layered(layers), "key", "value", "source") == [("k", "3", "env"), ("m", "x", "default")]
