@@ -22,18 +22,27 @@ def entity_key(name: str) -> str:
     return re.sub(r"[\s._\-/\\·・]+", "", unicodedata.normalize("NFKC", name).casefold())
 
 
-def ascii_candidates(texts: DataFrame, key: str, limit: int | None = 60) -> DataFrame:
+def ascii_candidates(texts: DataFrame, limit: int | None = 60) -> DataFrame:
     """(entity_key, form, document_frequency, occurrences, confidence, level): the `limit` that most documents have.
 
-    Forms are counted before candidates, in two partial aggregates; the form shown is the most frequent one,
-    then the smallest. Key of an ASCII name: lower case without separators.
+    A row of texts is a document. Forms and keys are counted in one partial aggregate, then candidates in another; the
+    form shown is the most frequent one, then the smallest. Key of an ASCII name: lower case without separators.
     """
-    found = texts.select(F.col(key).alias("doc"), F.explode(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).alias("form"))
-    named = found.where(~F.lower("form").isin(*IGNORED)).withColumn("entity_key", F.regexp_replace(F.lower("form"), "[._/-]+", "")).where("entity_key <> ''")
-    forms = named.groupBy("entity_key", "form").agg(F.count("*").alias("n"))
-    shown = forms.groupBy("entity_key").agg(F.min_by("form", F.struct(F.negative("n"), F.lower("form"), F.col("form"))).alias("form"), F.sum("n").alias("occurrences"))
-    docs = named.select("entity_key", "doc").distinct().groupBy("entity_key").agg(F.count("*").alias("document_frequency"))
-    out = shown.join(docs, "entity_key")
+    plain = lambda form: F.regexp_replace(F.lower(form), "[._/-]+", "")
+    kept = lambda form: ~F.lower(form).isin(*IGNORED)
+    split = texts.select(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("forms"))
+    # a row for each occurrence of a form, and one for each key that the document has
+    keys = F.array_distinct(F.transform(F.filter(F.array_distinct("forms"), kept), plain))
+    none = F.lit(None).cast("string")
+    rows = F.concat(F.transform("forms", lambda x: F.struct(x.alias("form"), none.alias("key"))), F.transform(keys, lambda x: F.struct(none.alias("form"), x.alias("key"))))
+    counted = split.select(F.inline(rows)).groupBy("form", "key").agg(F.count("*").alias("n")).where(F.col("form").isNull() | kept(F.col("form")))
+    named = counted.withColumn("entity_key", F.coalesce("key", plain(F.col("form")))).where("entity_key <> ''")
+    a_form = F.col("form").isNotNull()
+    out = named.groupBy("entity_key").agg(
+        F.min_by("form", F.when(a_form, F.struct(F.negative("n"), F.lower("form"), F.col("form")))).alias("form"),
+        F.sum(F.when(a_form, F.col("n"))).alias("occurrences"),
+        F.sum(F.when(~a_form, F.col("n"))).alias("document_frequency"),
+    )
     df, occ = F.col("document_frequency"), F.col("occurrences")
     score = F.when(df >= 3, 0.85).when((df >= 2) | (occ >= 3), 0.60).otherwise(0.30)
     out = out.select("entity_key", "form", "document_frequency", "occurrences", score.alias("confidence"), F.when((df >= 2) | (occ >= 3), "medium").otherwise("low").alias("impact"), short_id("entity", F.col("entity_key")).alias("candidate_id"))

@@ -520,7 +520,7 @@ SELECT k AS entity_key, form, df AS document_frequency, occ AS occurrences, (CAS
        CASE WHEN df >= 2 OR occ >= 3 THEN 'medium' ELSE 'low' END AS impact, 'entity-' || left(sha256(k), 12) AS candidate_id
 FROM g JOIN s USING (k) ORDER BY df DESC, occ DESC, k LIMIT 60""")
 def ascii_entities(spark, sf):
-    return entities.ascii_candidates(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return entities.ascii_candidates(table(spark, sf, "documents"))
 
 
 #: Entities that stand in the documents.
