@@ -252,3 +252,34 @@ def layered(layers: DataFrame) -> DataFrame:
     """(key, value, source) of settings (rank, source, key, value): the value of the highest rank that is set, and where it is from."""
     one = F.max_by(F.struct("value", "source"), "rank")
     return layers.where("value is not null").groupBy("key").agg(one.alias("one")).select("key", "one.value", "one.source")
+
+
+# Names of lists of items, and of the fields that tell an item, with what each counts.
+ITEM_LISTS = ("aweme_list", "videos", "items", "list", "data")
+ITEM_FIELDS = (
+    (("platform_video_id", "aweme_id", "video_id", "item_id", "id"), 2),
+    (("title", "desc", "description", "caption"), 1),
+    (("download_url", "play_url", "play_addr", "download_addr", "play_addr_h264", "play_addr_265", "video_url", "url_list", "url", "src"), 2),
+)
+
+
+def _lists(value) -> Iterator[list]:
+    """Lists under a usual name, and lists of objects alone, at any depth, in the order of the document."""
+    for name, inner in value.items() if isinstance(value, dict) else ((None, x) for x in value) if isinstance(value, list) else ():
+        if isinstance(inner, list) and (name in ITEM_LISTS or (inner and all(isinstance(x, dict) for x in inner))):
+            yield inner
+        yield from _lists(inner)
+
+
+def _items(value) -> str:
+    """The objects of the list whose first ten look most like items, the first of equal ones."""
+    found = [value, *_lists(value)] if isinstance(value, list) and value and all(isinstance(x, dict) for x in value) else list(_lists(value))
+    worth = lambda items: sum(n for x in items[:10] if isinstance(x, dict) for names, n in ITEM_FIELDS if _key(x, names))
+    best = max(found, key=worth, default=[])
+    return json.dumps([json.dumps(x, ensure_ascii=False) for x in best if isinstance(x, dict)])
+
+
+def inferred_items(pages: DataFrame, value: str = "value", page: str = "path") -> DataFrame:
+    """(page, position, item) of the item list of each page, wherever it stands in the document."""
+    found = F.from_json(_over_json(_items, StringType())(F.col(value)), "array<string>")
+    return pages.select(F.col(page).alias("page"), F.posexplode(found).alias("position", "item"))

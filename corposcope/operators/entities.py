@@ -183,3 +183,15 @@ def topic_decision_problems(candidates: DataFrame, decisions: DataFrame) -> Data
     ]
     found = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(name)) for c, name in wrong]))
     return rows.select("ordinal", F.explode(found).alias("problem"))
+
+
+def candidate_problems(candidates: DataFrame) -> DataFrame:
+    """(entity_key, problem) of detected candidates whose id, confidence or counts are not what their key and counts give."""
+    df, occ = F.col("document_frequency"), F.col("occurrences")
+    due = F.when(df >= 3, 0.85).when((df >= 2) | (occ >= 3), 0.60).otherwise(0.30)
+    wrong = [
+        (~F.col("candidate_id").eqNullSafe(short_id("entity", F.col("entity_key"))), "candidate_id"),
+        (~F.col("confidence").eqNullSafe(due), "confidence"),
+        (~F.coalesce((df >= 1) & (occ >= df), F.lit(False)), "counts"),
+    ]
+    return candidates.select("entity_key", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(name)) for c, name in wrong]))).alias("problem"))

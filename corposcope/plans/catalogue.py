@@ -510,7 +510,7 @@ def media_sniff(spark, sf):
     return table(spark, sf, "pages").select("page_id", hygiene.is_not_media(F.col("html")).alias("not_media"))
 
 
-@query(r"""
+FORMS = r"""
 WITH t AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9.+/-]{2,}')) AS form FROM documents),
 n AS (SELECT *, regexp_replace(lower(form), '[._/-]+', '', 'g') AS k FROM t WHERE lower(form) NOT IN ('and', 'for', 'from', 'that', 'the', 'this', 'with')),
 f AS (SELECT k, form, count(*) AS c FROM n WHERE k <> '' GROUP BY k, form),
@@ -518,11 +518,22 @@ s AS (SELECT k, form FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY
 g AS (SELECT k, count(DISTINCT doc_id) AS df, count(*) AS occ FROM n WHERE k <> '' GROUP BY k)
 SELECT k AS entity_key, form, df AS document_frequency, occ AS occurrences, (CASE WHEN df >= 3 THEN 0.85 WHEN df >= 2 OR occ >= 3 THEN 0.60 ELSE 0.30 END)::DOUBLE AS confidence,
        CASE WHEN df >= 2 OR occ >= 3 THEN 'medium' ELSE 'low' END AS impact, 'entity-' || left(sha256(k), 12) AS candidate_id
-FROM g JOIN s USING (k) ORDER BY df DESC, occ DESC, k LIMIT 60""")
+FROM g JOIN s USING (k)"""
+
+
+@query(FORMS + " ORDER BY df DESC, occ DESC, k LIMIT 60")
 def ascii_entities(spark, sf):
     return entities.ascii_candidates(table(spark, sf, "documents"))
 
 
+@query(f"WITH c AS ({FORMS}) SELECT problem, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN document_frequency % 3 = 0 THEN 'candidate_id' END, CASE WHEN occurrences % 4 = 0 THEN 'confidence' END], lambda x: x IS NOT NULL)) AS problem FROM c) GROUP BY problem")
+def candidate_contract(spark, sf):
+    """Detected candidates, of which a third have another id and a quarter another confidence."""
+    rows = entities.ascii_candidates(table(spark, sf, "documents"), limit=None)
+    rows = rows.withColumn("candidate_id", F.when(F.col("document_frequency") % 3 == 0, "entity-0").otherwise(F.col("candidate_id"))).withColumn("confidence", F.when(F.col("occurrences") % 4 == 0, 0.5).otherwise(F.col("confidence")))
+    return entities.candidate_problems(rows).groupBy("problem").agg(F.count("*").alias("n"))
+
+
 #: Entities that stand in the documents.
 ENTITIES = {"Apache License": ("apache-license 2.0",), "MIT License": (), "GNU General Public License": ("GPL",), "CC BY-NC": ("CC BY",)}
 

@@ -387,3 +387,10 @@ def test_paths_and_layers(spark):
     assert [spark.range(1).select(checks.dotted(raw, p)).first()[0] for p in ("a.1.b.0", "a.0.b", "a.5.b", "z")] == ["x", "1", None, None]
     layers = spark.createDataFrame([(0, "default", "k", "1"), (1, "file", "k", None), (2, "env", "k", "3"), (0, "default", "m", "x")], "rank int, source string, key string, value string")
     assert rows(checks.layered(layers), "key", "value", "source") == [("k", "3", "env"), ("m", "x", "default")]
+
+
+def test_items_anywhere(spark):
+    pages = ['{"log": [{"n": 1}], "r": {"x": {"videos": [{"id": "1", "desc": "a"}, 3, {"id": "2", "video": {"play_addr": "http://v"}}]}}}', '[{"title": "t"}]', '{"list": []}', "{"]
+    df = spark.createDataFrame(list(enumerate(pages)), "path int, value string")
+    got = [(r["page"], r["position"], json.loads(r["item"]).get("id")) for r in checks.inferred_items(df).orderBy("page", "position").collect()]
+    assert got == [(0, 0, "1"), (0, 1, "2"), (1, 0, None)]
