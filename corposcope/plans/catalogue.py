@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corposcope.functions import text
 from corposcope.operators import checks, coverage, entities, evidence, hygiene, ids, notes, overlap, retention, schemas, status, terms, transcripts
 from corposcope.plans.presets import ENGLISH
-from corposcope.sources import reports
+from corposcope.sources import readers, reports
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -25,7 +25,9 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A table; texts, which are long work for each row, are dealt over all cores where their file is small."""
+    rows = spark.read.parquet(f"{sf}/{name}.parquet")
+    return readers.spread(rows) if name == "documents" else rows
 
 
 def documents(spark: SparkSession, sf: str, name: str = "documents", key: str = "doc_id") -> DataFrame:

@@ -191,3 +191,9 @@ def entity_dictionary(spark: SparkSession, path: str, max_bytes: int = 1 << 20,
             raise ValueError(f"entities[{n}] breaks a rule of its fields")
         rows.append((fields[0].strip(), [x.strip() for x in aliases], fields[1], fields[2], e.get("note", "").strip()))
     return spark.createDataFrame(rows, "canonical_term string, aliases array<string>, category string, impact string, note string")
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """rows dealt over all cores where their scan has fewer parts than there are cores, as one small file has; else as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows._jdf.queryExecution().toRdd().getNumPartitions() < cores else rows
