@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corposcope.sources.readers import spread
 from corposcope.sources.scratch import dropped, scope, scratch_path, shared_folder, written
 
 __all__ = ["components", "dropped", "id_crc", "portions", "scope", "scratch_path", "shared_folder", "table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; a small one, whose file has fewer parts than there are cores, is dealt over all of them."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def id_crc(column: str = "doc_id"):
