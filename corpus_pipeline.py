@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corposcope.llm import lang_id, line_dedup, near_dedup, packing, pii
-from corposcope.llm.common import dropped, scope, written
+from corposcope.llm.common import dropped, scope, table, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir; each stage's rows are written and read again. What a stage wrote for
     itself goes when its rows are written, and those go when the next stage's are."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         with scope() as kept:
             after = written(stage(spark, docs, sf_dir), name)
