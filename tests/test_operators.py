@@ -6,10 +6,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corposcope import streaming
 from corposcope.functions import ratios, text
 from corposcope.operators import checks, coverage, entities, evidence, hygiene, ids, notes, overlap, retention, schemas, status, terms, transcripts
 from corposcope.plans import presets
-from corposcope.sources import readers, reports, writers
+from corposcope.sources import readers, reports, scratch, writers
 
 
 def rows(df, *cols):
@@ -394,3 +395,36 @@ def test_items_anywhere(spark):
     df = spark.createDataFrame(list(enumerate(pages)), "path int, value string")
     got = [(r["page"], r["position"], json.loads(r["item"]).get("id")) for r in checks.inferred_items(df).orderBy("page", "position").collect()]
     assert got == [(0, 0, "1"), (0, 1, "2"), (1, 0, None)]
+
+
+def test_event_stream(spark, tmp_path):
+    schema = "event_id long, ts timestamp, event_type string"
+    first = [(1, "2026-01-01 00:10:00", "view"), (2, "2026-01-01 00:50:00", "click"), (1, "2026-01-01 00:10:00", "view")]
+    last = [(9, "2026-01-01 03:00:00", "view"), (10, "2026-01-01 06:00:00", "view")]
+    source = f"{tmp_path}/in"
+    for rows_ in (first, last):
+        spark.createDataFrame(rows_, "event_id long, ts string, event_type string").selectExpr("event_id", "to_timestamp(ts) ts", "event_type").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    once = streaming.without_repeated_events(stream).writeStream.format("memory").queryName("once").option("checkpointLocation", f"{tmp_path}/a").trigger(availableNow=True).start()
+    once.awaitTermination(120)
+    assert sorted(r["event_id"] for r in spark.table("once").collect()) == [1, 2, 9, 10]
+    counts = streaming.counts_by_window(stream).writeStream.format("memory").queryName("counts").outputMode("append").option("checkpointLocation", f"{tmp_path}/b").trigger(availableNow=True).start()
+    counts.awaitTermination(120)
+    got = {(r["window"]["start"].hour, r["event_type"]): r["n"] for r in spark.table("counts").collect()}
+    # windows that the watermark hasn't passed stay open
+    assert got == {(0, "view"): 2, (0, "click"): 1, (3, "view"): 1}
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    import os
+
+    def there(df):
+        return os.path.exists(df._scratch.removeprefix("file:"))
+
+    with scratch.scope() as kept:
+        a, b = (scratch.written(spark.range(3), "x") for _ in range(2))
+        kept.append(b)
+        assert there(a) and there(b)
+    assert not there(a) and there(b) and b.count() == 3
+    scratch.dropped(b)
+    assert not there(b)
