@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corposcope.functions import ratios, text
+from corposcope.operators import phrases
 from corposcope.sources.scratch import written
 
 
@@ -18,9 +19,12 @@ def fragments(docs: DataFrame) -> DataFrame:
     """(video_id, kind, n, fragment_id, text): the title, then the sentences, numbered from 1 over the non-empty ones."""
     title = text.clean_fragment(F.coalesce("title", F.lit("")))
     said = docs.select("video_id", F.posexplode(F.concat(F.array(title), text.sentences("text"))).alias("n", "text")).where("text <> ''")
-    titled = F.col("n") == 0
-    number = F.concat(F.lit("#transcript:"), F.lpad(F.col("n").cast("string"), F.greatest(F.lit(4), F.length(F.col("n").cast("string"))), "0"))
-    return said.select("video_id", F.when(titled, "title").otherwise("transcript").alias("kind"), "n", F.concat("video_id", F.when(titled, "#title").otherwise(number)).alias("fragment_id"), "text")
+    return said.select("video_id", F.when(F.col("n") == 0, "title").otherwise("transcript").alias("kind"), "n", _fragment_id(F.col("n")).alias("fragment_id"), "text")
+
+
+def _fragment_id(n: Column) -> Column:
+    number = F.concat(F.lit("#transcript:"), F.lpad(n.cast("string"), F.greatest(F.lit(4), F.length(n.cast("string"))), "0"))
+    return F.concat("video_id", F.when(n == 0, "#title").otherwise(number))
 
 
 def analysed(docs: DataFrame) -> DataFrame:
@@ -78,49 +82,13 @@ def raw_token_counts(docs: DataFrame, stop=("这个", "一个", "我们", "你
     return docs.select(F.explode(found).alias("term")).where(~F.col("term").isin(*stop)).groupBy("term").agg(F.count("*").alias("n"))
 
 
-def phrase_rows(docs: DataFrame, tokenizer=text.tokens) -> DataFrame:
-    """(video_id, fragment_id, n_fragment, phrase, n_tokens) of every window of two to six tokens that can be a phrase."""
-    said = fragments(docs).select("video_id", "fragment_id", "n", tokenizer(F.col("text")).alias("tokens")).where(F.size("tokens") >= 2)
-    runs = said.select("video_id", "fragment_id", F.col("n").alias("n_fragment"), F.explode(text.windows(F.col("tokens"))).alias("run"))
-    phrase = text.joined_phrase(F.col("run"))
-    visible = F.length(F.translate("phrase", " ", ""))
-    terms = F.size(F.filter("run", text.is_term))
-    fit = (terms >= 2) & visible.between(4, 32) & (F.size(F.array_distinct(F.split("phrase", ""))) > 2)
-    return runs.withColumn("phrase", phrase).where(fit).select("video_id", "fragment_id", "n_fragment", "phrase", F.size("run").alias("n_tokens"))
-
-
-def doc_set() -> Column:
-    """Identity of a set of documents as an aggregate of fixed size over its ids, each met once: count, sum and xor of hashes."""
-    return F.concat_ws(":", F.count("video_id"), F.sum(F.shiftrightunsigned(F.xxhash64("video_id"), 32)), F.bit_xor(F.xxhash64("video_id", F.lit(1))))
-
-
-def ranked_phrases(docs: DataFrame, least_docs: int = 2, tokenizer=text.tokens) -> DataFrame:
-    """(phrase, document_frequency, total_frequency, n_tokens, docs, rank) of the phrases of `least_docs` documents or more.
-
-    Ranks: documents, tokens, occurrences (all descending), phrase. The tokens of a phrase are those of its last
-    occurrence, by document, fragment and length.
-    """
-    per_doc = phrase_rows(docs, tokenizer).groupBy("phrase", "video_id").agg(F.count("*").alias("n"), F.max(F.struct("n_fragment", "n_tokens")).alias("last"))
-    found = per_doc.groupBy("phrase").agg(F.count("*").alias("document_frequency"), F.sum("n").alias("total_frequency"), F.max(F.struct("video_id", "last"))["last"]["n_tokens"].cast("long").alias("n_tokens"), doc_set().alias("docs"))
-    rank = F.struct(F.negative("document_frequency").alias("a"), F.negative("n_tokens").alias("b"), F.negative("total_frequency").alias("c"), F.col("phrase").alias("d"))
-    return found.where(F.col("document_frequency") >= least_docs).withColumn("rank", rank)
-
-
 def repeated_phrases(docs: DataFrame, least_docs: int = 2, tokenizer=text.tokens) -> DataFrame:
-    """Phrases of `least_docs` documents or more, but those inside a phrase of the same documents that ranks before them.
-
-    A phrase inside another is found by an equi join on its text and the document set: phrases have 37 characters at
-    most, so each gives a bounded number of substrings. First each phrase meets only itself less its first or last
-    word. The phrase that ranks first of those around another is inside none itself, so all substrings are needed of
-    what this leaves only.
-    """
-    ranked = written(ranked_phrases(docs, least_docs, tokenizer), "phrases")
-    left = written(_outermost(ranked, _one_less), "phrases")
-    return _with_confidence(_outermost(left, _inside), docs)
+    """Phrases of `least_docs` documents or more, but those inside a phrase of the same documents that ranks before them."""
+    return _with_confidence(phrases.outermost(phrases.blocks(docs, fragments, tokenizer), least_docs), docs)
 
 
-def _with_confidence(phrases: DataFrame, docs: DataFrame) -> DataFrame:
-    kept = phrases.crossJoin(F.broadcast(analysed(docs)))
+def _with_confidence(found: DataFrame, docs: DataFrame) -> DataFrame:
+    kept = found.crossJoin(F.broadcast(analysed(docs)))
     kept = kept.withColumn("coverage_ratio", ratios.floored_ratio(F.col("document_frequency"), F.col("n_docs")))
     level, score = ratios.phrase_confidence(F.col("document_frequency"), F.col("coverage_ratio"))
     return kept.select("phrase", "document_frequency", "total_frequency", "n_tokens", "coverage_ratio", level.alias("confidence_level"), score.alias("confidence_score"))
@@ -129,43 +97,15 @@ def _with_confidence(phrases: DataFrame, docs: DataFrame) -> DataFrame:
 def top_phrases(docs: DataFrame, limit: int = 40, least_docs: int = 2, tokenizer=text.tokens) -> DataFrame:
     """The first `limit` of repeated_phrases() with their documents and fragments, and an id of phrase and documents.
 
-    Phrases are taken in the order of their rank, so only as many are looked at as it takes to keep `limit`; the lists
-    are of these alone, each as long as the frequency of its phrase.
+    The lists are of these alone, each as long as the frequency of its phrase.
     """
-    ranked = written(ranked_phrases(docs, least_docs, tokenizer).drop("rank"), "phrases")
-    order = [F.desc("document_frequency"), F.desc("n_tokens"), F.desc("total_frequency"), F.col("phrase")]
-    most, kept = 64 * limit, []
-    while True:
-        rows = ranked.orderBy(*order).limit(most).select("phrase", "docs").collect()
-        kept = []
-        for phrase, where in rows:
-            if len(kept) < limit and not any(phrase in p and where == d for p, d in kept):
-                kept.append((phrase, where))
-        if len(kept) == limit or len(rows) < most:
-            break
-        most *= 4
-    chosen = docs.sparkSession.createDataFrame([(p,) for p, _ in kept], "phrase string")
-    sources = phrase_rows(docs, tokenizer).join(F.broadcast(chosen), "phrase", "left_semi").groupBy("phrase").agg(F.sort_array(F.collect_set("video_id")).alias("representative_video_ids"), F.sort_array(F.collect_set("fragment_id")).alias("source_fragment_ids"))
-    rows = _with_confidence(ranked.join(F.broadcast(chosen), "phrase", "left_semi"), docs).join(sources, "phrase")
-    return rows.withColumn("phrase_id", text.short_id("phrase", F.concat_ws("\n", "phrase", F.array_join("representative_video_ids", "\n"))))
-
-
-def _outermost(ranked: DataFrame, parts) -> DataFrame:
-    """ranked less the phrases that are among the `parts` of one of the same documents that ranks before them."""
-    inner = ranked.select("docs", F.col("rank").alias("outer"), F.explode(parts(F.col("phrase"))).alias("phrase"))
-    gone = ranked.alias("p").join(inner.alias("q"), (F.col("p.docs") == F.col("q.docs")) & (F.col("p.phrase") == F.col("q.phrase")) & (F.col("q.outer") < F.col("p.rank"))).select(F.col("p.phrase").alias("phrase")).distinct()
-    return ranked.join(gone, "phrase", "left_anti")
-
-
-def _one_less(phrase):
-    """A phrase less its first and less its last word, where it has spaces."""
-    return F.array(F.regexp_replace(phrase, "^[^ ]* ", ""), F.regexp_replace(phrase, " [^ ]*$", ""))
-
-
-def _inside(phrase):
-    """All substrings of a phrase that could be a phrase."""
-    n = F.length(phrase)
-    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(4), F.greatest(n - i + 1, F.lit(4))), lambda k: F.substring(phrase, i, k)))))
+    tokens = phrases.blocks(docs, fragments, tokenizer)
+    found = phrases.outermost(tokens, least_docs)
+    rows = found.orderBy(F.desc("document_frequency"), F.desc("n_tokens"), F.desc("total_frequency"), "phrase").limit(limit).collect()
+    chosen = docs.sparkSession.createDataFrame(rows, found.schema)
+    places = phrases.places(tokens, [r["phrase"] for r in rows]).withColumn("fragment_id", _fragment_id(F.col("n")))
+    sources = places.groupBy("phrase").agg(F.sort_array(F.collect_set("video_id")).alias("representative_video_ids"), F.sort_array(F.collect_set("fragment_id")).alias("source_fragment_ids"))
+    return _with_confidence(chosen, docs).join(sources, "phrase").withColumn("phrase_id", text.short_id("phrase", F.concat_ws("\n", "phrase", F.array_join("representative_video_ids", "\n"))))
 
 
 def topic_groups(docs: DataFrame, tokenizer=text.tokens) -> DataFrame:

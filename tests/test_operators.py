@@ -2,13 +2,14 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from corposcope import streaming
 from corposcope.functions import ratios, text
-from corposcope.operators import checks, coverage, entities, evidence, hygiene, ids, notes, overlap, retention, schemas, status, terms, transcripts
+from corposcope.operators import checks, coverage, entities, evidence, hygiene, ids, notes, overlap, phrases, retention, schemas, status, terms, transcripts
 from corposcope.plans import presets
 from corposcope.sources import readers, reports, scratch, writers
 
@@ -428,3 +429,71 @@ def test_scratch_tables_go_with_their_scope(spark):
     assert not there(a) and there(b) and b.count() == 3
     scratch.dropped(b)
     assert not there(b)
+
+
+def phrases_by_rule(docs, tokens):
+    """repeated_phrases() by sets and substrings: {phrase: (documents, occurrences, tokens)}."""
+    at = {}
+    for vid, said in docs:
+        for n, part in enumerate(text_parts(said)):
+            words = tokens(part)
+            for k in range(2, 7):
+                for i in range(len(words) - k + 1):
+                    run = words[i : i + k]
+                    phrase = ("" if all("一" <= w[0] <= "鿿" for w in run) else " ").join(run)
+                    if sum(map(phrases._is_term, run)) >= 2 and 4 <= len(phrase.replace(" ", "")) <= 32 and len(set(phrase)) > 2:
+                        at.setdefault(phrase, []).append((vid, n, k))
+    seen = {p: frozenset(v for v, _, _ in x) for p, x in at.items()}
+    rank = {p: (-len(seen[p]), -max(x)[2], -len(x), p) for p, x in at.items() if len(seen[p]) > 1}
+    return {p: (-r[0], -r[2], -r[1]) for p, r in rank.items() if not any(p in q and seen[q] == seen[p] and rank[q] < r for q in rank)}
+
+
+def text_parts(said):
+    return [p for p in re.split("[。.!?\n]", said) if p.strip()]
+
+
+def test_phrases_in_rounds_by_brute_force(spark, monkeypatch):
+    """Several rounds and buckets, copies, an id of three rows, runs of characters that other tokens give too."""
+    monkeypatch.setattr(phrases, "BUCKET_WINDOWS", 300)
+    rng = random.Random(8)
+    words = ["an", "than", "the", "then", "other", "aa", "a", "alpha", "beta", "火候", "控制", "控制火候", "保持"]
+    docs = [(str(i), "\n".join(" ".join(rng.choice(words) for _ in range(rng.randint(1, 9))) for _ in range(4))) for i in range(30)]
+    docs += [("c1", docs[3][1]), ("c2", docs[3][1] + "\nthan other 火候"), ("r", "alpha beta then 控制"), ("r", "the alpha beta then 控制 火候"), ("r", "")]
+    df = spark.createDataFrame([(v, None, t) for v, t in docs], "video_id string, title string, text string").repartition(3)
+    want = phrases_by_rule(docs, str.split)
+    got = {r[0]: tuple(r[1:4]) for r in terms.repeated_phrases(df).select("phrase", "document_frequency", "total_frequency", "n_tokens").collect()}
+    assert len(want) > 100 and got == want
+
+
+def test_phrases_inside_earlier_ones(monkeypatch):
+    rng = random.Random(3)
+    many = list(dict.fromkeys("".join(rng.choice("ab ") for _ in range(rng.randint(4, 9))) for _ in range(400)))
+    want = [any(p in q for q in many[:i]) for i, p in enumerate(many)]
+    assert phrases._inside_earlier(many) == want
+    monkeypatch.setattr(phrases, "FEW", 0)
+    assert phrases._inside_earlier(many) == want
+
+
+def most_shuffled(spark, run):
+    """Bytes that the stage of run() with the largest shuffle writes."""
+    sc, jvm = spark.sparkContext, spark._jvm
+    stages = lambda: sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    begun = max((stages().apply(i).stageId() for i in range(stages().size())), default=-1)
+    run()
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    found = stages()
+    return max(found.apply(i).shuffleWriteBytes() for i in range(found.size()) if found.apply(i).stageId() > begun)
+
+
+def made_up(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("bcdfgst") + rng.choice("aeiou") for _ in range(3)) for _ in range(3000)]
+    rows = [(str(i), None, "\n".join(" ".join(rng.choices(words, k=12)) for _ in range(150))) for i in range(60)]
+    return rows, spark.createDataFrame(rows, "video_id string, title string, text string").repartition(2)
+
+
+def test_phrases_are_never_dealt_as_rows(spark, monkeypatch):
+    """Windows are five a token; a round deals a small part of them."""
+    monkeypatch.setattr(phrases, "BUCKET_WINDOWS", 20_000)
+    rows, df = made_up(spark)
+    assert most_shuffled(spark, lambda: terms.repeated_phrases(df).collect()) < 3 * sum(len(r[2]) for r in rows)
