@@ -497,3 +497,9 @@ def test_phrases_are_never_dealt_as_rows(spark, monkeypatch):
     monkeypatch.setattr(phrases, "BUCKET_WINDOWS", 20_000)
     rows, df = made_up(spark)
     assert most_shuffled(spark, lambda: terms.repeated_phrases(df).collect()) < 3 * sum(len(r[2]) for r in rows)
+
+
+def test_top_phrases_are_never_dealt_as_rows(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "BUCKET_WINDOWS", 20_000)
+    rows, df = made_up(spark)
+    assert most_shuffled(spark, lambda: terms.top_phrases(df).collect()) < 3 * sum(len(r[2]) for r in rows)
