@@ -20,6 +20,7 @@ STOPWORDS = (
 FUNCTION_CHARS = "的一了是在和与也都就而或把被让给再并及时到从向对中上下里后前这那个们"
 TIMESTAMP = r"\[?\d{1,2}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?\]?"
 SENTENCE = r"[^。！？!?；;\r\n]+"
+SENTENCE_END = r"[。！？!?；;\r\n]+"
 TOKEN = r"[a-z0-9]+(?:\.[0-9]+)?|[\x{4e00}-\x{9fff}]+"
 
 #: Stated in outputs that depend on it; another tokenizer is any function from a text column to an array column.
@@ -50,7 +51,7 @@ def has_fragment(text: Column | str) -> Column:
 
 def sentences(text: Column | str) -> Column:
     """Non-empty cleaned runs between sentence ends and line ends."""
-    parts = F.regexp_extract_all(F.coalesce(_col(text), F.lit("")), F.lit(SENTENCE), F.lit(0))
+    parts = F.split(F.coalesce(_col(text), F.lit("")), SENTENCE_END)
     return F.filter(F.transform(parts, clean_fragment), lambda x: x != "")
 
 

@@ -6,15 +6,21 @@ makes the windows of one slice again and deals sorted, packed hashes with their
 its blocks and tells the first block of every repeated phrase its totals. Phrases of the same documents have the same
 first block, so which of them are inside another is settled in that block, where their texts are.
 
+The first phrases by documents need less: counts of documents by slots of the hash, a table of fixed size, bound the
+documents of every phrase from above. Phrases of the fullest slots are counted exactly, and if enough of them have as
+many documents as the emptiest of these slots, no other phrase can come before them.
+
 A phrase is known by 96 bits of hashes of its text, a set of documents by 64 bits within a block.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,10 +33,15 @@ SLICES, BLOCK_TOKENS, BUCKET_WINDOWS = 8, 400_000, 1_500_000
 SHORTEST, LONGEST, LOW, HIGH = 4, 32, 2, 6
 #: Phrases of one document set up to which plain search finds those inside another.
 FEW = 3000
+STOPWORDS = frozenset(text.STOPWORDS)
+#: Of first(): bits of a slot; slots that are looked into for each wanted phrase, and times as many after each try; phrases that the driver may be sent.
+SLOT_BITS, LIKELY, MORE, SENT = 22, 25, 8, 200_000
 
 BLOCK = "block long, n_tokens long, ids array<string>, words array<string>, codes binary, sizes binary, docs binary, numbers binary"
 DEALT = "bucket long, block long, hashes binary, checks binary, total binary, df binary, docs binary, cjk binary, cjk_ids array<string>, cjk_numbers binary, cjk_tokens binary"
 TOTALS = "block long, bucket long, at binary, df binary, total binary, docs binary, tokens binary"
+SLOTS, SLOT_PARTS = "part long, counts binary", 16
+PLACED = "phrase string, df long, total long, docs long, video_id string, n long, n_tokens long"
 COUNTED = "phrase string, document_frequency long, total_frequency long, n_tokens long"
 
 U = np.uint64
@@ -65,19 +76,19 @@ def _steps(x: np.ndarray) -> np.ndarray:
 
 def _is_term(w: str) -> bool:
     """text.is_term() of a string."""
-    if w in text.STOPWORDS:
+    if w in STOPWORDS:
         return False
     if "一" <= w[:1] <= "鿿":
         return 2 <= len(w) <= 12 and len(set(w)) > 1 and not set(w) <= set(text.FUNCTION_CHARS)
     return 2 <= len(w) <= 64
 
 
-def _text_hashes(words: list[str], sizes: np.ndarray) -> list[np.ndarray]:
-    """Two polynomials over the characters of each word, so that those of joined words follow from theirs."""
+def _text_hashes(words: list[str], sizes: np.ndarray, checked: bool = True) -> list[np.ndarray]:
+    """Two polynomials (one unless checked) over the characters of each word, so that those of joined words follow from theirs."""
     width = max(1, int(sizes.max(initial=0)))
     chars = np.array([w[:width] for w in words], dtype=f"U{width}").view(np.uint32).reshape(len(words), width).astype(U)
     out = []
-    for base, seed in zip(BASES, SEEDS, strict=True):
+    for base, seed in zip(BASES[: 1 + checked], SEEDS, strict=False):
         h = np.zeros(len(words), U)
         for j in range(width):
             h = np.where(sizes > j, h * base + _mixed(chars[:, j] + seed), h)
@@ -93,6 +104,10 @@ def phrase_keys(phrases: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return _keys(*_text_hashes(phrases, np.array([len(p) for p in phrases], np.int64)))
 
 
+def _slot(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> U(64 - bits)).astype(np.int64)
+
+
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> U(32)) * U(buckets)) >> U(32)
 
@@ -107,17 +122,18 @@ class Block:
         self.sentence = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
         self.doc, self.fragment = _unpacked(row["docs"]), _unpacked(row["numbers"])
 
-    def windows(self, keep) -> dict[str, np.ndarray]:
-        """Hash, check, place, number of tokens of every window that can be a phrase and whose hash `keep` holds; cjk: joined without spaces."""
+    def windows(self, keep, checked: bool = True) -> dict[str, np.ndarray]:
+        """Hash, check (0 unless checked), place, number of tokens of every window that can be a phrase and whose hash `keep` holds; cjk: joined without spaces."""
+        bases = BASES[: 1 + checked]
         c, n = self.codes, len(self.codes)
         visible = np.array([len(w.replace(" ", "")) for w in self.words], np.int64)
         sizes = np.where(visible > LONGEST, 0, np.array([len(w) for w in self.words], np.int64))
-        hashes = _text_hashes(self.words, sizes)
+        hashes = _text_hashes(self.words, sizes, checked)
         size, cjk = sizes[c], np.array(["一" <= w[:1] <= "鿿" for w in self.words])[c]
         visible, term = visible[c].astype(np.int32), np.array([_is_term(w) for w in self.words])[c].astype(np.int8)
         any_cjk = bool(cjk.any())
         own, power, space = [], [], []
-        for base, seed, h in zip(BASES, SEEDS, hashes, strict=True):
+        for base, seed, h in zip(bases, SEEDS, hashes, strict=False):
             powers = np.cumprod(np.concatenate([[U(1)], np.full(int(sizes.max(initial=0)), base, U)]), dtype=U)
             own.append(h[c])
             power.append(powers[size])
@@ -129,7 +145,7 @@ class Block:
             m, last = n - k + 1, slice(k - 1, None)
             if m <= 0:
                 break
-            for i, base in enumerate(BASES):
+            for i, base in enumerate(bases):
                 spaced[i] = (spaced[i][:m] * base + space[i]) * power[i][last] + own[i][last]
                 if any_cjk:
                     joined[i] = joined[i][:m] * power[i][last] + own[i][last]
@@ -137,7 +153,7 @@ class Block:
             all_cjk = all_cjk[:m] & cjk[last]
             at = np.flatnonzero((self.sentence[:m] == self.sentence[last]) & (terms >= 2) & (seen >= SHORTEST) & (seen <= LONGEST))
             pair = [np.where(all_cjk[at], j[at], s[at]) if any_cjk else s[at] for s, j in zip(spaced, joined, strict=True)]
-            hashed, check = _keys(*pair)
+            hashed, check = _keys(*pair) if checked else (_mixed(pair[0]), np.zeros(len(at), np.uint32))
             kept = keep(hashed)
             at = at[kept]
             found.append((hashed[kept], check[kept], at.astype(np.uint32), np.full(len(at), k, np.uint8), all_cjk[at]))
@@ -154,6 +170,19 @@ class Block:
         number[order] = np.cumsum(new) - 1
         return w | {"phrase": number, "first": order[starts], "total": np.diff(np.append(starts, len(order))).astype(np.uint32)}
 
+    def documents(self, w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The phrase and the document of every such pair of phrases(), in this order."""
+        pairs = np.sort((w["phrase"].astype(U) << U(32)) | self.doc[w["at"]].astype(U))
+        pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
+        return (pairs >> U(32)).astype(np.int64), pairs.astype(np.uint32)
+
+    def last_places(self, w: dict[str, np.ndarray], which: np.ndarray) -> np.ndarray:
+        """Of some windows of phrases() the last one of each phrase, by document, fragment and length."""
+        place = {x: r for r, x in enumerate(sorted(set(self.ids), key=lambda x: (x is not None, x or "")))}
+        rank, at = np.array([place[x] for x in self.ids]), w["at"][which]
+        which = which[np.lexsort((w["tokens"][which], self.fragment[at], rank[self.doc[at]], w["phrase"][which]))]
+        return which[np.append(w["phrase"][which][1:] != w["phrase"][which][:-1], True)]
+
     def texts(self, w: dict[str, np.ndarray], which: np.ndarray) -> list[str]:
         words, codes = self.words, self.codes
         return [("" if j else " ").join([words[x] for x in codes[a : a + k]]) for a, k, j in zip(w["at"][which].tolist(), w["tokens"][which].tolist(), w["cjk"][which].tolist(), strict=True)]
@@ -182,7 +211,7 @@ def _schema(ddl: str) -> pa.Schema:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of the fragments of a partition; rows of a document follow each other."""
+    """Blocks of the fragments of two tokens or more of a partition; rows of a document follow each other."""
     schema, part, made = _schema(BLOCK), TaskContext.get().partitionId(), 0
     words, sizes, docs, numbers, ids, held = [], [], [], [], [], 0
 
@@ -196,6 +225,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     last = object()
     for b in batches:
+        b = b.filter(pc.greater_equal(pc.list_value_length(b.column("tokens")), 2))  # noqa: PLW2901  here, as Spark would make the tokens twice for it
         lists = b.column("tokens")
         ends, flat = lists.offsets.to_numpy(), lists.values
         begun = 0
@@ -228,7 +258,7 @@ def blocks(docs: DataFrame, fragments, tokenizer) -> DataFrame:
         same = F.col("video_id").eqNullSafe(F.col("again"))
         many = fragments(docs.join(again, same, "left_semi")).repartition("video_id").sortWithinPartitions("video_id")
         said = fragments(docs.join(again, same, "left_anti")).unionByName(many)
-    rows = said.select("video_id", "n", tokenizer(F.col("text")).alias("tokens")).where(F.size("tokens") >= 2)
+    rows = said.select("video_id", "n", tokenizer(F.col("text")).alias("tokens"))
     out = written(rows.mapInArrow(_blocks, BLOCK), "tokens")
     dropped(again)
     return out
@@ -255,20 +285,14 @@ def _dealer(low: int, high: int, buckets: int):
                 continue
             first = w["first"]
             hashes, checks = w["hash"][first], w["check"][first]
-            pairs = np.sort((w["phrase"].astype(U) << U(32)) | block.doc[w["at"]].astype(U))
-            pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
-            whose, docs = (pairs >> U(32)).astype(np.int64), pairs.astype(np.uint32)
+            whose, docs = block.documents(w)
             df = np.bincount(whose, minlength=len(first)).astype(np.uint32)
             cuts = np.searchsorted(_bucket(hashes, buckets), np.arange(low, high + 1).astype(U))
             doc_cuts = np.searchsorted(whose, cuts)
             # of phrases without spaces, which other tokens could give too, the last place
             at = np.flatnonzero(w["cjk"])
-            place = {x: r for r, x in enumerate(sorted(set(block.ids), key=lambda x: (x is not None, x or "")))} if len(at) else {}
-            rank = np.array([place[x] for x in block.ids]) if len(at) else None
             if len(at):
-                where = w["at"][at]
-                at = at[np.lexsort((w["tokens"][at], block.fragment[where], rank[block.doc[where]], w["phrase"][at]))]
-                at = at[np.append(w["phrase"][at][1:] != w["phrase"][at][:-1], True)]
+                at = block.last_places(w, at)
             cjk = w["phrase"][at]
             cjk_cuts = np.searchsorted(cjk, cuts)
             out = []
@@ -351,6 +375,18 @@ def _inside_earlier(phrases: list[str]) -> list[bool]:
     return inside.tolist()
 
 
+def _outer(rows: list[tuple]) -> list[tuple]:
+    """Of (documents' hash, -documents, -tokens, -occurrences, phrase) those of three characters or more that are not inside an earlier one of the same documents."""
+    rows = sorted(x for x in rows if len(set(x[4])) > 2)
+    out, begin = [], 0
+    for i in range(1, len(rows) + 1):
+        if i == len(rows) or rows[i][:2] != rows[begin][:2]:
+            group = rows[begin:i]
+            out += [r for r, inside in zip(group, _inside_earlier([r[4] for r in group]) if len(group) > 1 else [False], strict=True) if not inside]
+            begin = i
+    return out
+
+
 def _settler(buckets: int):
     def settle(tokens: pa.Table, totals: pa.Table) -> pa.Table:
         schema = _schema(COUNTED)
@@ -385,20 +421,17 @@ def _settler(buckets: int):
         left = np.flatnonzero(~gone)
         texts = block.texts(w, first[left])
         del w, owns
-        rows = [x for x in zip(docs[left].tolist(), (-df[left]).tolist(), (-k[left]).tolist(), (-total[left]).tolist(), texts, strict=True) if len(set(x[4])) > 2]
-        rows.sort()
-        out, begin = [], 0
-        for i in range(1, len(rows) + 1):
-            if i == len(rows) or rows[i][:2] != rows[begin][:2]:
-                group = rows[begin:i]
-                out += [r for r, inside in zip(group, _inside_earlier([r[4] for r in group]) if len(group) > 1 else [False], strict=True) if not inside]
-                begin = i
+        out = _outer(list(zip(docs[left].tolist(), (-df[left]).tolist(), (-k[left]).tolist(), (-total[left]).tolist(), texts, strict=True)))
         columns = [[r[4] for r in out], *([-r[j] for r in out] for j in (1, 3, 2))]
         return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
 
     return settle
 
 
+def _windows_at_most(tokens: DataFrame) -> int:
+    return (tokens.agg(F.sum("n_tokens").alias("n")).first()["n"] or 0) * (HIGH - LOW + 1)
+
+
 def outermost(tokens: DataFrame, least_docs: int = 2) -> DataFrame:
     """(phrase, document_frequency, total_frequency, n_tokens) of the phrases of `least_docs` documents or more, but those
     inside one of the same documents that ranks before them. Ranks: documents, tokens, occurrences (all descending), phrase.
@@ -406,7 +439,7 @@ def outermost(tokens: DataFrame, least_docs: int = 2) -> DataFrame:
     The tokens of a phrase are those of its last occurrence, by document, fragment and length.
     """
     spark = tokens.sparkSession
-    size = (tokens.agg(F.sum("n_tokens").alias("n")).first()["n"] or 0) * (HIGH - LOW + 1)
+    size = _windows_at_most(tokens)
     rounds = min(SLICES, max(1, -(-size // (4 * BUCKET_WINDOWS))))
     each = max(1, -(-size // (rounds * BUCKET_WINDOWS)))
     parts = []
@@ -417,6 +450,81 @@ def outermost(tokens: DataFrame, least_docs: int = 2) -> DataFrame:
     return tokens.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(_settler(rounds * each), COUNTED)
 
 
+def document_bounds(tokens: DataFrame, bits: int) -> np.ndarray:
+    """Of each slot of hashes the documents of its phrases, added up: no phrase has more documents than its slot."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << bits, np.int64)
+        for row in _rows(batches):
+            block = Block(row)
+            w = block.windows(lambda h: slice(None), checked=False)
+            kind = np.uint32 if len(block.ids) << bits < 1 << 32 else U
+            once = np.sort((block.doc[w["at"]].astype(kind) << kind(bits)) | _slot(w["hash"], bits).astype(kind))
+            once = once[np.append(True, once[1:] != once[:-1])] if len(once) else once
+            counts += np.bincount(once & kind((1 << bits) - 1), minlength=1 << bits)
+        yield _batch([(i, _packed(x)) for i, x in enumerate(np.split(counts, SLOT_PARTS))], _schema(SLOTS))
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(_unpacked(x, np.int64) for x in table.column("counts").to_pylist())
+        return pa.Table.from_batches([_batch([(table.column("part")[0].as_py(), _packed(total))], _schema(SLOTS))])
+
+    rows = tokens.mapInArrow(count, SLOTS).groupBy("part").applyInArrow(add, SLOTS).collect()
+    found = {r["part"]: _unpacked(r["counts"], np.int64) for r in rows}
+    return np.concatenate([found[i] for i in range(SLOT_PARTS)]) if found else np.zeros(1 << bits, np.int64)
+
+
+def _in_slots(tokens: DataFrame, slots: np.ndarray, bits: int, least_docs: int) -> DataFrame:
+    """Phrases of some slots that stand in `least_docs` documents or more: documents, occurrences, hash of the documents and the tokens of the last one."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, hot = _schema(PLACED), np.zeros(1 << bits, bool)
+        hot[slots] = True
+        for row in _rows(batches):
+            block = Block(row)
+            w = block.phrases(lambda h: hot[_slot(h, bits)])
+            if not len(w["hash"]):
+                continue
+            whose, docs = block.documents(w)
+            df = np.bincount(whose)
+            ident = np.array([int.from_bytes(hashlib.blake2b(repr(x).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for x in block.ids], U)
+            sets = np.bitwise_xor.reduceat(ident[docs], np.cumsum(df) - df).view(np.int64)
+            last = block.last_places(w, np.arange(len(w["hash"])))
+            at = w["at"][last]
+            ids = [block.ids[d] for d in block.doc[at].tolist()]
+            yield _batch(list(zip(block.texts(w, w["first"]), df.tolist(), w["total"].tolist(), sets.tolist(), ids, block.fragment[at].tolist(), w["tokens"][last].tolist(), strict=True)), schema)
+
+    last = F.max(F.struct("video_id", "n", "n_tokens"))["n_tokens"]  # null is the smallest
+    found = tokens.mapInArrow(count, PLACED).groupBy("phrase").agg(F.sum("df").alias("df"), F.sum("total").alias("total"), F.bit_xor("docs").alias("docs"), last.alias("n_tokens"))
+    return found.where(F.col("df") >= least_docs)
+
+
+def first(tokens: DataFrame, limit: int, least_docs: int = 2) -> list[tuple]:
+    """The first `limit` rows of outermost() by documents, tokens, occurrences (all descending) and phrase.
+
+    A phrase can only be inside one of as many documents, so those of a number of documents or more settle it among
+    themselves. Where the first phrases stand in so few documents that too many slots are as full, all are counted.
+    """
+    size = _windows_at_most(tokens)
+    bits = min(SLOT_BITS, max(8, size.bit_length()))
+    bounds = document_bounds(tokens, bits)
+    ranked, total = np.sort(bounds)[::-1], int(bounds.sum())
+    looked, tried = LIKELY * limit, None
+    while True:
+        least = max(least_docs, int(ranked[looked - 1])) if 0 < looked <= len(ranked) else least_docs
+        looked *= MORE
+        if least == tried:
+            continue
+        tried, slots = least, np.flatnonzero(bounds >= least)
+        held = int(bounds[slots].sum())
+        if held > SENT * least or held > total // 8 and total > 4 * BUCKET_WINDOWS:
+            order = F.desc("document_frequency"), F.desc("n_tokens"), F.desc("total_frequency"), "phrase"
+            return [tuple(r) for r in outermost(tokens, least_docs).orderBy(*order).limit(limit).collect()]
+        rows = _in_slots(tokens, slots, bits, least).collect()
+        rows = sorted(x[1:] for x in _outer([(r["docs"], -r["df"], -r["n_tokens"], -r["total"], r["phrase"]) for r in rows]))
+        if len(rows) >= limit or least == least_docs:
+            return [(phrase, -df, -n, -k) for df, k, n, phrase in rows[:limit]]
+
+
 def written_once(df: DataFrame, label: str) -> DataFrame:
     """written(), after which the shuffle files of df go at once, as no other plan reads them."""
     conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -433,10 +541,16 @@ def places(tokens: DataFrame, phrases: list[str]) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = _schema("phrase string, video_id string, n long")
-        wanted, chosen = phrase_keys(phrases)[0], set(phrases)
+        wanted, chosen, near = phrase_keys(phrases)[0], set(phrases), np.zeros(1 << 16, bool)
+        near[_slot(wanted, 16)] = True
+
+        def keep(hashes):
+            some = np.flatnonzero(near[_slot(hashes, 16)])
+            return some[np.isin(hashes[some], wanted)]
+
         for row in _rows(batches):
             block = Block(row)
-            w = block.windows(lambda h: np.isin(h, wanted))
+            w = block.windows(keep, checked=False)
             texts = block.texts(w, np.arange(len(w["at"])))
             found = [(p, block.ids[block.doc[a]], int(block.fragment[a])) for p, a in zip(texts, w["at"].tolist(), strict=True) if p in chosen]
             if found:

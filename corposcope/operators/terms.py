@@ -100,10 +100,9 @@ def top_phrases(docs: DataFrame, limit: int = 40, least_docs: int = 2, tokenizer
     The lists are of these alone, each as long as the frequency of its phrase.
     """
     tokens = phrases.blocks(docs, fragments, tokenizer)
-    found = phrases.outermost(tokens, least_docs)
-    rows = found.orderBy(F.desc("document_frequency"), F.desc("n_tokens"), F.desc("total_frequency"), "phrase").limit(limit).collect()
-    chosen = docs.sparkSession.createDataFrame(rows, found.schema)
-    places = phrases.places(tokens, [r["phrase"] for r in rows]).withColumn("fragment_id", _fragment_id(F.col("n")))
+    rows = phrases.first(tokens, limit, least_docs)
+    chosen = docs.sparkSession.createDataFrame(rows, phrases.COUNTED)
+    places = phrases.places(tokens, [r[0] for r in rows]).withColumn("fragment_id", _fragment_id(F.col("n")))
     sources = places.groupBy("phrase").agg(F.sort_array(F.collect_set("video_id")).alias("representative_video_ids"), F.sort_array(F.collect_set("fragment_id")).alias("source_fragment_ids"))
     return _with_confidence(chosen, docs).join(sources, "phrase").withColumn("phrase_id", text.short_id("phrase", F.concat_ws("\n", "phrase", F.array_join("representative_video_ids", "\n"))))
 

@@ -269,6 +269,56 @@ def test_retention(spark):
     assert retention.listing_digest(df).first()["files"] == 2
 
 
+def all_shuffled(spark, run):
+    """Bytes that all stages of run() write into shuffles."""
+    sc, jvm = spark.sparkContext, spark._jvm
+    stages = lambda: sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    begun = max((stages().apply(i).stageId() for i in range(stages().size())), default=-1)
+    run()
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    found = stages()
+    return sum(found.apply(i).shuffleWriteBytes() for i in range(found.size()) if found.apply(i).stageId() > begun)
+
+
+def test_top_phrases_shuffle_no_packed_windows(spark, monkeypatch):
+    """The first phrases stand in many documents; the windows of one are only counted in a table of fixed size."""
+    monkeypatch.setattr(phrases, "BUCKET_WINDOWS", 20_000)
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("bcdfgst") + rng.choice("aeiou") for _ in range(3))
+    common = [" ".join(word() for _ in range(4)) for _ in range(60)]
+    rows = [(str(i), None, "\n".join([" ".join(word() for _ in range(12)) for _ in range(150)] + rng.sample(common, 30))) for i in range(60)]
+    df, got = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "video_id string, title string, text string"), []
+    assert all_shuffled(spark, lambda: got.extend(terms.top_phrases(df).collect())) < 2 * sum(len(r[2]) for r in rows)
+    assert len(got) == 40 and {r["phrase"] for r in got} <= {" ".join(c.split()[a:z]) for c in common for a in range(3) for z in range(a + 2, 5)}
+
+
+@pytest.mark.parametrize(("likely", "sent", "bits"), [(25, 200_000, 22), (1, 200_000, 22), (1, 200_000, 9), (1, 0, 22)])
+def test_top_phrases_by_brute_force(spark, monkeypatch, likely, sent, bits):
+    """Found at once, after several tries, in slots that many phrases share, and by counting all; rows that repeat an id, and an id that is null."""
+    for name, value in (("LIKELY", likely), ("MORE", 2), ("SENT", sent), ("SLOT_BITS", bits), ("BLOCK_TOKENS", 60)):
+        monkeypatch.setattr(phrases, name, value)
+    rng = random.Random(8)
+    words = ["an", "than", "the", "then", "other", "aa", "a", "alpha", "beta", "火候", "控制", "控制火候", "保持"]
+    docs = [(str(i), "\n".join(" ".join(rng.choice(words) for _ in range(rng.randint(1, 9))) for _ in range(4))) for i in range(30)]
+    docs += [("c1", docs[3][1]), ("c2", docs[3][1] + "\nthan other 火候"), ("r", "alpha beta then 控制"), ("r", "the alpha beta then 控制 火候"), ("r", "")]
+    df = spark.createDataFrame([(v, None, t) for v, t in docs], "video_id string, title string, text string").repartition(3)
+    want = phrases_by_rule(docs, str.split)
+    order = lambda p: (-want[p][0], -want[p][2], -want[p][1], p)
+    for limit in (3, 40, len(want) + 5):
+        got = terms.top_phrases(df, limit).select("phrase", "document_frequency", "total_frequency", "n_tokens").collect()
+        assert {r[0]: tuple(r[1:]) for r in got} == {p: want[p] for p in sorted(want, key=order)[:limit]}
+    none = spark.createDataFrame([(None, None, "alpha beta gamma"), ("1", None, "alpha beta gamma")], df.schema)
+    assert [tuple(r) for r in terms.top_phrases(none).select("phrase", "document_frequency", "representative_video_ids").collect()] == [("alpha beta gamma", 2, ["1"])]
+    assert terms.top_phrases(none.where("false")).count() == 0
+
+
+def test_sentences_between_ends(spark):
+    said = ["", "a.b! c？\r\n\n;d；", "！！", "  x  y 12:30 \u2003z。", None, "no end"]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in said], "t string").select(text.sentences("t")).collect()]
+    clean = lambda x: " ".join(re.sub("12:30", "", x).split())
+    assert got == [[c for x in re.findall(text.SENTENCE, t or "") if (c := clean(x))] for t in said]
+
+
 def test_overlay_and_range_anti_join(spark):
     preset = spark.createDataFrame([("k", "Kay", "x"), ("p", "Pea", "x")], "entity_key string, canonical string, category string")
     project = spark.createDataFrame([("k", "K!", "y")], "entity_key string, canonical string, category string")
